@@ -1,7 +1,14 @@
 """Length of the longest common subsequence of two token arrays."""
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# Ship the code with the query, so that executors need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def lcs_length(left: list, right: list) -> int:
@@ -19,7 +26,7 @@ def lcs_length(left: list, right: list) -> int:
     return len(right) - bin(state).count("1")
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def token_lcs(left: pd.Series, right: pd.Series) -> pd.Series:
     """Tokens arrive as one space-joined string per side."""
     return pd.Series(

@@ -4,6 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from colloquy import fixed
+from colloquy.functions import text as X
 
 
 def _jvm_pattern(pattern: str) -> str:
@@ -41,14 +42,20 @@ def pii_counts(text: Column) -> Column:
 
 
 def mask_by_counts(text: Column, counts: Column) -> Column:
-    """Replace, type by type, what the untouched text was found to hold."""
+    """Replace, type by type, what the untouched text was found to hold.  Texts
+    without any finding, nearly all of them, are passed through."""
+    def applied(t):
+        return lambda m: F.when(
+            counts[t] > 0, F.regexp_replace(m, JVM_PATTERNS[t], fixed.PII_TOKENS[t])
+        ).otherwise(m)
+
     masked = text
     for t in fixed.PII_TYPES:
-        masked = F.when(
-            counts[t] > 0, F.regexp_replace(masked, JVM_PATTERNS[t], fixed.PII_TOKENS[t])
-        ).otherwise(masked)
-    return masked
+        masked = X.let(masked, applied(t))
+    found = sum((counts[t] for t in fixed.PII_TYPES[1:]), counts[fixed.PII_TYPES[0]])
+    return F.when(found > 0, masked).otherwise(text)
 
 
 def mask_pii(text: Column) -> Column:
-    return mask_by_counts(text, pii_counts(text))
+    both = F.struct(text.alias("text"), pii_counts(text).alias("counts"))
+    return X.let(both, lambda b: mask_by_counts(b["text"], b["counts"]))

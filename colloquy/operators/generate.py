@@ -34,17 +34,19 @@ def fill_templates(
         pair = F.when(
             F.col("category") == category, F.get(choices, picks.pick(len(options), *key, "template"))
         ).otherwise(pair)
-    texts = candidates.where(F.col("category").isin(list(templates))).select("*", X.once(pair).alias("_pair"))
-    filled = {"user": F.col("_pair.user"), "assistant": F.col("_pair.assistant")}
-    for slot, pool in pools.items():
-        own = slot in candidates.columns
-        value = F.col(slot) if own else _slot_value(pool, *key, slot)
-        hole = "{" + slot + "}"
+    values = {
+        slot: F.col(slot) if slot in candidates.columns else _slot_value(pool, *key, slot)
+        for slot, pool in pools.items()
+    }
+    draw = F.struct(pair.alias("pair"), *[v.alias(slot) for slot, v in values.items()])
+    drawn = candidates.where(F.col("category").isin(list(templates))).select(
+        candidate, "category", X.once(draw).alias("_d")
+    )
+    filled = {"user": F.col("_d.pair.user"), "assistant": F.col("_d.pair.assistant")}
+    for slot in pools:
         for side in filled:
-            filled[side] = F.when(
-                F.col(f"_pair.{side}").contains(hole), F.replace(filled[side], F.lit(hole), value)
-            ).otherwise(filled[side])
-    return texts.select(candidate, "category", *[c.alias(side) for side, c in filled.items()])
+            filled[side] = F.replace(filled[side], F.lit("{" + slot + "}"), F.col(f"_d.{slot}"))
+    return drawn.select(candidate, "category", *[c.alias(side) for side, c in filled.items()])
 
 
 def opening(user: str = "user") -> Column:
@@ -119,37 +121,40 @@ def generate_all(
     return out
 
 
+def _with_ids(examples: DataFrame, categories: list[str]) -> DataFrame:
+    """Candidates are numbered within their category; together that is unique."""
+    index = F.array_position(F.array(*[F.lit(c) for c in categories]), F.col("category")) - 1
+    return examples.withColumn("example_id", F.col("candidate") * len(categories) + index)
+
+
 def hybrid(
     spark: SparkSession, total: int, ratio: float = 0.8, balanced: bool = True, seed: int = 42,
     second: DataFrame | None = None, templates=None, pools=None,
 ) -> DataFrame:
     """``int(total * ratio)`` template rows; the rest from a second producer's table
-    (``category, user, assistant, source``), or from the same generator when there is
-    none, its openings still unique."""
+    (``row, category, user, assistant, source`` with unique ``row``), or from the same
+    generator when there is none, its openings still unique."""
     n_template = int(total * ratio)
     n_rest = total - n_template
+    columns = ["example_id", "user", "assistant", "category", "source"]
+    names = list(templates or defaults.TEMPLATES)
+    tagged = lambda df, source: _with_ids(df, names).withColumn("source", F.lit(source)).select(*columns)
     first = generate_all(spark, n_template, balanced, seed, 0, templates, pools)
-    out = first.select("category", "user", "assistant", F.lit("template").alias("source"))
+    out = tagged(first, "template")
     if n_rest <= 0:
         return out
     if second is not None:
-        return out.unionByName(second.select("category", "user", "assistant", "source"))
+        return out.unionByName(second.withColumn("example_id", -1 - F.col("row")).select(*columns))
     seen = settle(first.select(opening().alias("opening")), "openings")
     extra = generate_all(
         spark, n_rest, balanced, seed, n_template * fixed.ATTEMPTS_PER_EXAMPLE, templates, pools, seen
     )
-    return out.unionByName(
-        extra.select("category", "user", "assistant", F.lit("template_fallback").alias("source"))
-    )
+    return out.unionByName(tagged(extra, "template_fallback"))
 
 
-def shuffled_ids(examples: DataFrame, seed: int = 42) -> DataFrame:
-    """Give generated rows an ``example_id`` whose order is a seeded shuffle.  The
-    number comes from the row's text, so nothing is sorted."""
-    text = F.concat_ws("\n", F.lit(str(seed)), "category", "user")
-    return examples.withColumn(
-        "example_id", F.conv(F.left(F.md5(text), F.lit(15)), 16, 10).cast("long")
-    )
+def shuffled(examples: DataFrame, seed: int = 42, key: str = "example_id") -> DataFrame:
+    """Seeded order, the same whatever the partitioning."""
+    return examples.orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))), key)
 
 
 def generation_summary(examples: DataFrame) -> DataFrame:
@@ -183,7 +188,7 @@ def parse_completion(text: Column) -> Column:
     )
     agent = X.strip(F.substring_index(text, "AGENT:", -1))
     for mark in ("USER:", "\n\n\n"):
-        agent = F.when(agent.contains(mark), X.strip(F.substring_index(agent, mark, 1))).otherwise(agent)
+        agent = X.strip(F.substring_index(agent, mark, 1))
     inside = lambda n, bounds: (n > bounds[0]) & (n < bounds[1])
     fits = (
         text.contains("USER:")

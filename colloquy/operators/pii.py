@@ -5,11 +5,15 @@ from pyspark.sql import functions as F
 
 from colloquy import fixed
 from colloquy.functions import pii
+from colloquy.functions import text as X
 
 
 def mask_fields(df: DataFrame, fields=("user", "assistant")) -> DataFrame:
     """Mask the fields in place; keep the counts beside them as ``<field>_pii``."""
-    counted = df.select("*", *[pii.pii_counts(F.col(f)).alias(f"{f}_pii") for f in fields])
+    counts = F.struct(*[pii.pii_counts(F.col(f)).alias(f) for f in fields])
+    counted = df.select("*", X.once(counts).alias("_pii")).select(
+        "*", *[F.col(f"_pii.{f}").alias(f"{f}_pii") for f in fields]
+    ).drop("_pii")
     return counted.withColumns(
         {f: pii.mask_by_counts(F.col(f), F.col(f"{f}_pii")) for f in fields}
     )

@@ -10,8 +10,7 @@ from colloquy.sources import files
 
 
 def generate_examples(spark: SparkSession, total: int, seed: int = 42, **kwargs) -> DataFrame:
-    mixed = generate.hybrid(spark, total, seed=seed, **kwargs)
-    return settle(generate.shuffled_ids(mixed, seed), "examples")
+    return settle(generate.shuffled(generate.hybrid(spark, total, seed=seed, **kwargs), seed), "examples")
 
 
 def prepare(examples: DataFrame, folder: str, system_prompt: str | None = None, seed: int = 42, **cleaning) -> Cleaned:
