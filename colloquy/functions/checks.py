@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from colloquy import fixed
 from colloquy.functions import text as X
+from colloquy.functions.picks import constant
 
 
 def keyword_coverage(
@@ -16,9 +17,10 @@ def keyword_coverage(
     """Struct ``score, found, missing, total``.  A keyword counts wherever it
     appears, inside longer words too.  Categories without a list score one."""
     lists = fixed.KEYWORDS if keywords is None else keywords
-    chosen = F.array().cast("array<string>")
-    for name, values in lists.items():
-        chosen = F.when(category == name, F.array(*[F.lit(v) for v in values])).otherwise(chosen)
+    chosen = F.coalesce(
+        F.try_element_at(constant(lists, "map<string,array<string>>"), category),
+        F.array().cast("array<string>"),
+    )
     found = X.let(
         F.lower(X.text_or_empty(prediction)),
         lambda lowered: F.filter(chosen, lambda k: F.contains(lowered, k)),
@@ -42,19 +44,23 @@ def format_compliance(prediction: Column) -> Column:
     """Struct ``score, checks, passed, total``.  A text without words has no
     repetition check, so it is scored on four."""
     lowered = F.lower(X.text_or_empty(prediction))
-    counts = X.let(
-        X.words(lowered),
-        lambda t: F.struct(F.size(t).alias("n"), X.max_word_count(t).alias("most")),
-    )
 
-    def checks(c):
-        return F.struct(
-            (c["n"] >= fixed.FORMAT_MIN_WORDS).alias("adequate_length"),
-            F.when(c["n"] > 0, c["most"].cast("double") / c["n"] < fixed.FORMAT_MAX_WORD_SHARE)
-            .alias("no_excessive_repetition"),
-            X.contains_any(lowered, fixed.TONE_PHRASES).alias("professional_tone"),
-            X.contains_any(lowered, fixed.CLOSING_PHRASES).alias("has_closing"),
-            (~X.contains_any(lowered, fixed.PLACEHOLDER_PHRASES)).alias("no_placeholders"),
+    def checks(text):
+        return X.let(
+            X.let(
+                X.words(text),
+                lambda t: F.struct(F.size(t).alias("n"), X.max_word_count(t).alias("most")),
+            ),
+            lambda c: F.struct(
+                (c["n"] >= fixed.FORMAT_MIN_WORDS).alias("adequate_length"),
+                F.when(
+                    c["n"] > 0,
+                    c["most"].cast("double") / c["n"] < fixed.FORMAT_MAX_WORD_SHARE,
+                ).alias("no_excessive_repetition"),
+                X.any_inside(text, fixed.TONE_PHRASES).alias("professional_tone"),
+                X.any_inside(text, fixed.CLOSING_PHRASES).alias("has_closing"),
+                (~X.any_inside(text, fixed.PLACEHOLDER_PHRASES)).alias("no_placeholders"),
+            ),
         )
 
     names = [
@@ -72,4 +78,4 @@ def format_compliance(prediction: Column) -> Column:
             total.alias("total"),
         )
 
-    return X.let(X.let(counts, checks), result)
+    return X.let(X.let(lowered, checks), result)

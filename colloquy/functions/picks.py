@@ -1,5 +1,7 @@
 """Seeded picks that depend on the row's key alone, never on partitioning."""
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,6 +17,11 @@ def pick(options: int, *parts) -> Column:
     return (hash_number(*parts) % F.lit(options)).cast("int")
 
 
+def constant(value, ddl: str) -> Column:
+    """A list, map or nested constant as one literal: Spark folds it before running."""
+    return F.from_json(F.lit(json.dumps(value, ensure_ascii=False)), ddl)
+
+
 def pick_value(values, *parts) -> Column:
-    """One of the given literal values."""
-    return F.get(F.array(*[F.lit(v) for v in values]), pick(len(values), *parts))
+    """One of the given texts."""
+    return F.get(constant(list(values), "array<string>"), pick(len(values), *parts))

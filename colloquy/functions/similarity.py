@@ -37,14 +37,12 @@ def multiset_overlap(left: Column, right: Column) -> Column:
 
 def gram_overlaps(left: Column, right: Column, max_n: int) -> Column:
     """Array of the overlaps of 1-grams to ``max_n``-grams."""
-    return F.array(
-        *[
-            X.let(
-                F.struct(X.grams(left, n).alias("l"), X.grams(right, n).alias("r")),
-                lambda g: multiset_overlap(g["l"], g["r"]),
-            )
-            for n in range(1, max_n + 1)
-        ]
+    return F.transform(
+        F.sequence(F.lit(1), F.lit(max_n)),
+        lambda n: X.let(
+            F.struct(X.grams_up_to(left, n).alias("l"), X.grams_up_to(right, n).alias("r")),
+            lambda g: multiset_overlap(g["l"], g["r"]),
+        ),
     )
 
 

@@ -4,6 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from colloquy import fixed
+from colloquy.functions.picks import constant
 
 
 def text_or_empty(text) -> Column:
@@ -97,8 +98,13 @@ def ascii_letter_count(text: Column) -> Column:
     return F.length(F.regexp_replace(text, "[^A-Za-z]+", ""))
 
 
-def contains_any(text: Column, phrases) -> Column:
-    found = F.lit(False)
-    for phrase in phrases:
-        found = found | text.contains(phrase)
-    return found
+def any_inside(text: Column, phrases) -> Column:
+    """Whether any of the phrases occurs in the text."""
+    return F.exists(constant(list(phrases), "array<string>"), lambda p: F.contains(text, p))
+
+
+def grams_up_to(tokens: Column, n: Column) -> Column:
+    """N-grams for an ``n`` that is a column; see ``grams``."""
+    last = F.size(tokens) - n
+    starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.array_join(F.slice(tokens, i + 1, n), " "))

@@ -9,13 +9,6 @@ from colloquy.operators.cuts import kth_smallest
 from colloquy.operators.lineage import settle
 
 
-def _slot_value(pool, *parts) -> Column:
-    if isinstance(pool, defaults.Numbered):
-        number = picks.hash_number(*parts) % F.lit(pool.count) + F.lit(pool.first)
-        return F.concat(F.lit(pool.prefix), F.lpad(number.cast("string"), 6, "0"))
-    return picks.pick_value(pool, *parts)
-
-
 def fill_templates(
     candidates: DataFrame, seed: int = 42, templates=None, pools=None, candidate: str = "candidate"
 ) -> DataFrame:
@@ -25,28 +18,41 @@ def fill_templates(
 
     A slot column already among the candidates is used instead of its pool."""
     templates, pools = templates or defaults.TEMPLATES, pools or defaults.POOLS
-    key = [seed, F.col("category"), F.col(candidate)]
-    pair = F.lit(None).cast("struct<user:string,assistant:string>")
-    for category, options in templates.items():
-        choices = F.array(
-            *[F.struct(F.lit(u).alias("user"), F.lit(a).alias("assistant")) for u, a in options]
-        )
-        pair = F.when(
-            F.col("category") == category, F.get(choices, picks.pick(len(options), *key, "template"))
-        ).otherwise(pair)
-    values = {
-        slot: F.col(slot) if slot in candidates.columns else _slot_value(pool, *key, slot)
-        for slot, pool in pools.items()
-    }
-    draw = F.struct(pair.alias("pair"), *[v.alias(slot) for slot, v in values.items()])
+    lists = {slot: pool for slot, pool in pools.items() if not isinstance(pool, defaults.Numbered)}
+    values = picks.constant(lists, "struct<" + ",".join(f"{s}:array<string>" for s in lists) + ">")
+
+    def draw(name):
+        parts = f"'{seed}', category, cast({candidate} as string), '{name}'"
+        return F.expr(f"cast(conv(left(md5(concat_ws(':', {parts})), 8), 16, 10) as bigint)")
+
+    def value(slot, pool):
+        if slot in candidates.columns:
+            return F.col(slot)
+        place = draw(slot) % F.lit(len(pool))
+        if slot in lists:
+            return F.get(values[slot], place.cast("int"))
+        return F.concat(F.lit(pool.prefix), F.lpad((place + pool.first).cast("string"), 6, "0"))
+
+    options = F.try_element_at(
+        picks.constant(
+            {c: [{"user": u, "assistant": a} for u, a in pairs] for c, pairs in templates.items()},
+            "map<string,array<struct<user:string,assistant:string>>>",
+        ),
+        F.col("category"),
+    )
+    pair = F.get(options, (draw("template") % F.size(options)).cast("int"))
+    picked = F.struct(pair.alias("pair"), *[value(s, p).alias(s) for s, p in pools.items()])
     drawn = candidates.where(F.col("category").isin(list(templates))).select(
-        candidate, "category", X.once(draw).alias("_d")
+        candidate, "category", X.once(picked).alias("_d")
     )
-    filled = {"user": F.col("_d.pair.user"), "assistant": F.col("_d.pair.assistant")}
-    for slot in pools:
-        for side in filled:
-            filled[side] = F.replace(filled[side], F.lit("{" + slot + "}"), F.col(f"_d.{slot}"))
-    return drawn.select(candidate, "category", *[c.alias(side) for side, c in filled.items()])
+
+    def filled(side):
+        text = f"_d.pair.{side}"
+        for slot in pools:
+            text = f"replace({text}, '{{{slot}}}', _d.{slot})"
+        return F.expr(text).alias(side)
+
+    return drawn.select(candidate, "category", filled("user"), filled("assistant"))
 
 
 def opening(user: str = "user") -> Column:

@@ -82,7 +82,8 @@ def throughput(
     zero where no time has passed or nothing was done.  Without ``max_steps`` a
     run's own last step counts as its goal."""
     runs = log.groupBy(run).agg(F.min(ts).alias("started"), F.max(step).alias("last_step"))
-    elapsed = (F.unix_micros(ts) - F.unix_micros("started")) / F.lit(1e6)
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    elapsed = (micros(ts) - micros("started")) / F.lit(1e6)
     goal = F.col("last_step") if max_steps is None else max_steps
     rate = F.when(F.col("elapsed") > 0, F.col(step) / F.col("elapsed")).otherwise(F.lit(0.0))
     left = F.when(

@@ -511,7 +511,7 @@ t AS (SELECT run_id, step, (epoch_us(ts) - epoch_us(min(ts) OVER (PARTITION BY r
       max(step) OVER (PARTITION BY run_id) AS goal FROM log),
 r AS (SELECT *, CASE WHEN elapsed > 0 THEN step / elapsed ELSE 0.0::DOUBLE END AS rate FROM t)
 SELECT run_id, step, round(elapsed, 6) AS elapsed, round(rate, 6) AS steps_per_second,
-  round(CASE WHEN rate > 0 THEN (goal - step) / rate ELSE 0.0::DOUBLE END, 6) AS remaining FROM r"""
+  round(CASE WHEN rate > 0 THEN (goal - step) / rate ELSE 0.0::DOUBLE END, 2) AS remaining FROM r"""
 ORACLES["best_step"] = f"""WITH {LOG}
 SELECT run_id, step AS best_step, value AS best_loss FROM log WHERE value IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY value, step) = 1"""

@@ -401,7 +401,8 @@ def loss_ema(spark, folder):
 
 @query
 def run_throughput(spark, folder):
-    return rounded(runlogs.throughput(I.run_log(spark, folder)), "elapsed", "steps_per_second", "remaining")
+    progress = rounded(runlogs.throughput(I.run_log(spark, folder)), "elapsed", "steps_per_second")
+    return progress.withColumn("remaining", F.round("remaining", 2))
 
 
 @query
