@@ -44,19 +44,15 @@ def format_compliance(prediction: Column) -> Column:
     """Struct ``score, checks, passed, total``.  A text without words has no
     repetition check, so it is scored on four."""
     lowered = F.lower(X.text_or_empty(prediction))
+    limit = fixed.FORMAT_MAX_WORD_SHARE
 
     def checks(text):
         return X.let(
-            X.let(
-                X.words(text),
-                lambda t: F.struct(F.size(t).alias("n"), X.max_word_count(t).alias("most")),
-            ),
-            lambda c: F.struct(
-                (c["n"] >= fixed.FORMAT_MIN_WORDS).alias("adequate_length"),
-                F.when(
-                    c["n"] > 0,
-                    c["most"].cast("double") / c["n"] < fixed.FORMAT_MAX_WORD_SHARE,
-                ).alias("no_excessive_repetition"),
+            X.words(text),
+            lambda t: F.struct(
+                (F.size(t) >= fixed.FORMAT_MIN_WORDS).alias("adequate_length"),
+                F.when(F.size(t) > 0, ~X.has_frequent_word(t, (limit, lambda share: share >= limit)))
+                .alias("no_excessive_repetition"),
                 X.any_inside(text, fixed.TONE_PHRASES).alias("professional_tone"),
                 X.any_inside(text, fixed.CLOSING_PHRASES).alias("has_closing"),
                 (~X.any_inside(text, fixed.PLACEHOLDER_PHRASES)).alias("no_placeholders"),

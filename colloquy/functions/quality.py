@@ -16,7 +16,7 @@ def repetitive(text: Column, limit: float = fixed.REPETITION_LIMIT) -> Column:
     return X.let(
         X.lower_words(text),
         lambda t: F.when(F.size(t) < fixed.REPETITION_MIN_WORDS, F.lit(False)).otherwise(
-            X.max_word_count(t).cast("double") / F.size(t) > limit
+            X.has_frequent_word(t, (limit, lambda share: share > limit))
         ),
     )
 

@@ -64,6 +64,20 @@ def shingles(text: Column, n: int = fixed.DEDUP_NGRAM) -> Column:
     )
 
 
+def shingle_hashes(text: Column, n: int, seed: int) -> Column:
+    """The shingles as 64-bit hashes, without building their strings."""
+    whole = strip(F.lower(text))
+    one = lambda t, i: F.xxhash64(F.lit(seed), *[F.get(t, i + k) for k in range(n)])
+    return let(
+        words(whole),
+        lambda t: F.when(F.size(t) < n, F.array(F.xxhash64(F.lit(seed), whole))).otherwise(
+            F.array_distinct(
+                F.transform(F.sequence(F.lit(0), F.size(t) - n), lambda i: one(t, i))
+            )
+        ),
+    )
+
+
 def jaccard(left: Column, right: Column) -> Column:
     """Shared over all elements of two sets; zero when either is empty."""
     sizes = F.size(left) + F.size(right)
@@ -75,19 +89,25 @@ def jaccard(left: Column, right: Column) -> Column:
     )
 
 
-def max_word_count(tokens: Column) -> Column:
-    """How often the most frequent token occurs: the longest run once sorted."""
-    start = F.struct(
-        F.lit("").alias("word"), F.lit(0).alias("run"), F.lit(0).alias("best")
-    )
-
-    def step(acc, word):
-        run = F.when(word == acc["word"], acc["run"] + 1).otherwise(F.lit(1))
-        return F.struct(
-            word.alias("word"), run.alias("run"), F.greatest(acc["best"], run).alias("best")
+def has_frequent_word(tokens: Column, too_many) -> Column:
+    """Whether some word's count, as a share of all words, satisfies ``too_many``, a
+    rule that once true stays true for larger counts.  In the sorted words a word
+    that occurs ``k`` times equals the one ``k - 1`` places on."""
+
+    def search(s):
+        n = F.size(s)
+        share = lambda c: c.cast("double") / n
+        guess, fits = too_many
+        low = F.floor(n * F.lit(guess)).cast("int")
+        least = F.when(fits(share(low)), low).when(fits(share(low + 1)), low + 1).otherwise(low + 2)
+        return let(
+            least,
+            lambda k: F.exists(
+                F.sequence(F.lit(0), n - k), lambda i: F.get(s, i) == F.get(s, i + k - 1)
+            ),
         )
 
-    return F.aggregate(F.sort_array(tokens), start, step, lambda acc: acc["best"])
+    return let(F.sort_array(tokens), search)
 
 
 def letter_count(text: Column) -> Column:

@@ -3,13 +3,14 @@
 A row is dropped when it is similar to a kept row of lower key, as if rows were
 scanned in key order.  The steps:
 
-1. Rows with equal n-gram sets collapse to the lowest key (one hash aggregate).
+1. Rows of equal words collapse to the lowest key (one hash aggregate).
 2. Every remaining row gets keys such that two similar rows share at least one:
    - high thresholds: the set is hashed into a few more segments than the largest
      number of n-grams in which two similar sets of that size can differ, so that
      one segment must agree as a whole.  A key stands for a whole segment, which
      only near-copies share; common n-grams by themselves bring no rows together.
    - low thresholds: the rarest n-grams of the row (prefix filter).
+   Keys are made of 64-bit n-gram hashes; chance collisions only bring more pairs.
 3. A key shared by few rows yields their pairs.  A key shared by many yields only
    pairs with its lowest row (one per row); what that leaves undecided goes on with
    the key joined to a second, independent one, so no group's pairs are ever all
@@ -27,30 +28,57 @@ from colloquy import fixed
 from colloquy.functions import text as X
 from colloquy.operators.lineage import settle
 
-SEGMENT_THRESHOLD = 0.75
+SEGMENT_THRESHOLD = 0.9
 SMALL_GROUP = 50
 GIANT_KEYS = 10_000
 MAX_LEVEL = 4
 SALTS = 32
 
 
-def _rows(df: DataFrame, key: str, text: Column, n: int) -> DataFrame:
-    grams = X.shingles(F.coalesce(text, F.lit("")), n)
-    return df.select(F.col(key).alias("rid"), X.once(grams).alias("grams"))
+def _with_grams(texts: DataFrame, n: int) -> DataFrame:
+    return texts.select("rid", X.once(X.shingles(F.col("text"), n)).alias("grams"))
 
 
-def _distinct_sets(rows: DataFrame) -> DataFrame:
-    """The lowest key per distinct set, with the set's size."""
-    digest = F.sha2(F.concat_ws("\n", F.sort_array("grams")), 256)
+def _with_hashes(texts: DataFrame, n: int, level: int) -> DataFrame:
+    """The n-grams of each row as 64-bit hashes, and their number."""
+    hashes = X.once(X.shingle_hashes(F.col("text"), n, level)).alias("hashes")
+    return texts.select("rid", hashes).select("rid", F.size("hashes").alias("size"), "hashes")
+
+
+def _distinct_texts(texts: DataFrame, n: int) -> DataFrame:
+    """The lowest key per word sequence; equal sequences have equal sets."""
+    whole = X.strip(F.lower("text"))
+    sequence = X.let(
+        X.words(whole), lambda t: F.when(F.size(t) < n, whole).otherwise(F.array_join(t, " "))
+    )
     return (
-        rows.select("rid", F.size("grams").alias("size"), digest.alias("digest"))
+        texts.select("rid", F.sha2(sequence, 256).alias("digest"))
         .groupBy("digest")
-        .agg(F.min("rid").alias("rid"), F.min("size").alias("size"))
-        .select("rid", "size")
+        .agg(F.min("rid").alias("rid"))
+        .select("rid")
     )
 
 
-def _segment_keys(rows: DataFrame, threshold: float, level: int) -> DataFrame:
+def _with_counts(entries: DataFrame, counts: DataFrame):
+    """Entries joined to the counts ``key, n, ...`` of their keys, in two tables.  A
+    key with more than one in ``GIANT_KEYS`` of all entries is a giant; there can be
+    no more than ``GIANT_KEYS`` of them, so they are broadcast.  The others are each
+    too small a share to weigh on one task and are joined by a shuffle."""
+    giant = entries.count() // GIANT_KEYS
+    giants = F.broadcast(counts.where(F.col("n") > giant))
+    rest = entries.join(giants.select("key"), "key", "left_anti")
+    return entries.join(giants, "key"), rest.join(counts.where(F.col("n") <= giant), "key")
+
+
+def _split_by_hot(entries: DataFrame, hot: DataFrame):
+    """Entries of the hot keys, with their leader, and all the others."""
+    giants, others = _with_counts(entries, hot)
+    giant = F.broadcast(hot.where(F.col("n") > entries.count() // GIANT_KEYS).select("key"))
+    cold = entries.join(giant, "key", "left_anti").join(hot.select("key"), "key", "left_anti")
+    return giants.unionByName(others), cold
+
+
+def _segment_keys(hashed: DataFrame, threshold: float, level: int) -> DataFrame:
     """``rid, size, key``: one key per non-empty segment.
 
     Sizes fall into classes so wide that similar sets lie in one class or in two
@@ -59,7 +87,7 @@ def _segment_keys(rows: DataFrame, threshold: float, level: int) -> DataFrame:
     Sets in a scheme differ in at most ``reach`` n-grams, hence in at most that many
     segments.  A row whose n-grams fill no more than ``reach`` segments might agree
     with such a row in empty ones alone, so those rows share one more key."""
-    width = math.log(1 / threshold) * 1.001
+    width = max(math.log(1 / threshold) * 1.001, 1e-6)
     own = F.floor(F.log(F.col("size")) / F.lit(width)).cast("int")
 
     def scheme(s):
@@ -69,13 +97,8 @@ def _segment_keys(rows: DataFrame, threshold: float, level: int) -> DataFrame:
         return F.struct(s.alias("s"), reach.alias("reach"), segments.alias("segments"))
 
     def segment(gram_hash, s):
-        return F.pmod(F.xxhash64(gram_hash, F.lit(level)), s["segments"].cast("long"))
+        return F.pmod(gram_hash, s["segments"].cast("long"))
 
-    hashed = rows.select(
-        "rid",
-        F.size("grams").alias("size"),
-        X.once(F.transform("grams", lambda g: F.xxhash64(g))).alias("hashes"),
-    )
     def with_thin(s):
         filled = F.size(F.array_distinct(F.transform("hashes", lambda h: segment(h, s))))
         return F.struct(s["s"].alias("s"), s["segments"].alias("segments"), s["reach"].alias("reach"),
@@ -84,7 +107,6 @@ def _segment_keys(rows: DataFrame, threshold: float, level: int) -> DataFrame:
     schemes = F.transform(F.array(scheme(own), scheme(own - 1)), with_thin)
     segments = (
         hashed.select("rid", "size", "hashes", F.explode_outer(schemes).alias("scheme"))
-        .where(F.col("scheme.reach") > 0)
         .select(
             "rid", "size", F.col("scheme.s").alias("s"), F.col("scheme.thin").alias("thin"),
             F.col("scheme.segments").alias("segments"), F.explode_outer("hashes").alias("h"),
@@ -100,26 +122,22 @@ def _segment_keys(rows: DataFrame, threshold: float, level: int) -> DataFrame:
     return segments.select("rid", "size", F.explode(keys).alias("key")).distinct()
 
 
-def _prefix_keys(rows: DataFrame, threshold: float, level: int) -> DataFrame:
+def _prefix_keys(hashed: DataFrame, threshold: float, level: int) -> DataFrame:
     """``rid, size, key``: the first ``size - ceil(t * size) + 1`` n-grams of the row
     in one order for all rows: rarest first, or by a seeded hash on later levels."""
     length = (
         F.col("size") - F.ceil(F.col("size") * F.lit(threshold) - F.lit(1e-9)) + 1
     ).cast("int")
-    hashed = rows.select(
-        "rid",
-        F.size("grams").alias("size"),
-        F.transform("grams", lambda g: F.xxhash64(g, F.lit(level))).alias("hashes"),
-    )
     if level > 1:
         return hashed.select(
             "rid", "size", F.explode(F.slice(F.sort_array("hashes"), F.lit(1), length)).alias("key")
         )
-    grams = hashed.select("rid", "size", F.explode_outer("hashes").alias("key"))
+    grams = settle(hashed, "hashes").select("rid", "size", F.explode_outer("hashes").alias("key"))
     counts = grams.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    # The rarest n-grams of one row: the grouped array is never larger than the row.
+    common, others = _with_counts(grams, counts)
+    # The n-grams of one row: the grouped array is never larger than the row.
     ordered = (
-        grams.join(counts, "key")
+        common.unionByName(others)
         .groupBy("rid", "size")
         .agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("ordered"))
     )
@@ -128,23 +146,23 @@ def _prefix_keys(rows: DataFrame, threshold: float, level: int) -> DataFrame:
     )
 
 
-def _keys(rows: DataFrame, threshold: float, level: int) -> DataFrame:
+def _keys(texts: DataFrame, threshold: float, n: int, level: int) -> DataFrame:
     make = _segment_keys if threshold >= SEGMENT_THRESHOLD else _prefix_keys
-    return make(rows, threshold, level)
+    return make(_with_hashes(texts, n, level), threshold, level)
 
 
-def _check_pairs(pairs: DataFrame, rows: DataFrame, threshold: float, salts: int = 1) -> DataFrame:
+def _check_pairs(pairs: DataFrame, texts: DataFrame, threshold: float, n: int, salts: int = 1) -> DataFrame:
     """The pairs that reach the threshold on their full sets.  With ``salts`` the
     lower rows are few but shared by very many pairs, which are spread over copies."""
     pairs = settle(pairs, "pairs")
-    low = rows.select(F.col("rid").alias("lo"), F.col("grams").alias("lo_grams"))
-    high = rows.select(F.col("rid").alias("hi"), F.col("grams").alias("hi_grams"))
+    side = lambda end: _with_grams(
+        texts.join(pairs.select(F.col(end).alias("rid")).distinct(), "rid", "left_semi"), n
+    ).select(F.col("rid").alias(end), F.col("grams").alias(f"{end}_grams"))
+    low, high = side("lo"), side("hi")
     on = ["lo"]
     if salts > 1:
         pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("hi"), F.lit(salts)).cast("int"))
-        low = low.join(pairs.select("lo").distinct(), "lo", "left_semi").withColumn(
-            "salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-        )
+        low = low.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         on = ["lo", "salt"]
     return (
         pairs.join(low, on)
@@ -170,18 +188,6 @@ def _pairs_of_small(entries: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-def _split_by_hot(entries: DataFrame, hot: DataFrame):
-    """Entries of the hot keys (with their leader) and all the others.  The giants
-    among the hot keys are few by definition and are broadcast; the rest are each
-    too small a share to weigh on one task."""
-    giant_size = max(SMALL_GROUP, entries.count() // GIANT_KEYS)
-    giants = hot.where(F.col("n") > giant_size)
-    others = hot.where(F.col("n") <= giant_size)
-    spread = entries.join(F.broadcast(giants.select("key")), "key", "left_anti")
-    in_hot = entries.join(F.broadcast(giants), "key").unionByName(spread.join(others, "key"))
-    return in_hot, spread.join(others.select("key"), "key", "left_anti")
-
-
 def _decide(edges: DataFrame, waiting: DataFrame | None):
     """Rounds over similar pairs: returns the dropped rows and the pairs still open.
     ``waiting`` rows may have lower neighbours not yet known, so none is kept."""
@@ -221,18 +227,14 @@ def kept_keys(
     """The keys that survive, as one column named ``key``."""
     if not 0 < threshold <= 1:
         raise ValueError(f"threshold must lie in (0, 1], got {threshold}")
-    rows = _rows(df, key, F.col(text) if isinstance(text, str) else text, n)
-    sets = settle(_distinct_sets(rows), "sets")
-    everything = sets.select(F.col("rid").alias(key))
-    if threshold == 1:
-        return everything
-    # A different but similar set has at least one n-gram more or less.
-    size = F.col("size").cast("double")
-    joinable = sets.where((size / (size + 1) >= F.lit(threshold)) | ((size - 1) / size >= F.lit(threshold))).select("rid")
-    rows = rows.join(joinable, "rid", "left_semi")
+    text = F.col(text) if isinstance(text, str) else text
+    texts = df.select(F.col(key).alias("rid"), F.coalesce(text, F.lit("")).alias("text"))
+    distinct = settle(_distinct_texts(texts, n), "distinct")
+    everything = distinct.select(F.col("rid").alias(key))
+    texts = texts.join(distinct, "rid", "left_semi")
 
     level = 1
-    entries = settle(_keys(rows, threshold, level), "keys")
+    entries = settle(_keys(texts, threshold, n, level), "keys")
     edges, dropped = None, []
     while True:
         hot = settle(
@@ -243,13 +245,13 @@ def kept_keys(
         )
         any_hot = not hot.isEmpty()
         in_hot, small = _split_by_hot(entries, hot) if any_hot else (None, entries)
-        found = _check_pairs(_pairs_of_small(small, threshold), rows, threshold)
+        found = _check_pairs(_pairs_of_small(small, threshold), texts, threshold, n)
         if any_hot:
             followers = settle(in_hot.where(F.col("rid") != F.col("leader.rid")), "followers")
             led = followers.where(_compatible(F.col("size"), F.col("leader.size"), threshold)).select(
                 F.col("leader.rid").alias("lo"), F.col("rid").alias("hi")
             )
-            found = found.unionByName(_check_pairs(led.distinct(), rows, threshold, SALTS))
+            found = found.unionByName(_check_pairs(led.distinct(), texts, threshold, n, SALTS))
         found = settle(found.distinct(), "edges")
         edges = found if edges is None else edges.unionByName(found).distinct()
         waiting = followers.select("rid").distinct() if any_hot else None
@@ -269,7 +271,7 @@ def kept_keys(
         if level < MAX_LEVEL:
             level += 1
             second = _keys(
-                rows.join(left.select("rid").distinct(), "rid", "left_semi"), threshold, level
+                texts.join(left.select("rid").distinct(), "rid", "left_semi"), threshold, n, level
             ).select("rid", F.col("key").alias("second"))
             left = left.join(second, "rid").select(
                 "rid", "size", F.xxhash64("key", "second").alias("key")
