@@ -7,10 +7,14 @@ from colloquy.functions import chat
 from colloquy.operators import hotkeys
 
 
+# More turns than any conversation has, so that pair numbers never meet.
+TURNS = 1 << 31
+
+
 def adjacent_pairs(turns: DataFrame, chunk_rows: int = hotkeys.CHUNK_ROWS) -> DataFrame:
     """User turns directly followed by an assistant turn of the same conversation, as
     ``example_id, conv_id, user, assistant``."""
-    key = (F.col("conv_id") * 1000 + F.col("turn")).alias("example_id")
+    key = (F.col("conv_id") * TURNS + F.col("turn")).alias("example_id")
     if not hotkeys.hot_keys(turns, "conv_id", chunk_rows):
         order = Window.partitionBy("conv_id").orderBy("turn")
         followed = turns.select(

@@ -22,7 +22,7 @@ def kth_smallest(df: DataFrame, number: Column, ties: list[Column], k: int, low:
     while total > FEW_ROWS and high - low > 1:
         width = -(-(high - low) // BUCKETS)
         counts = sorted(
-            inside.groupBy(F.floor((F.col("number") - F.lit(low)) / F.lit(width)).cast("long").alias("b"))
+            inside.groupBy(F.expr(f"(number - {low}L) div {width}L").alias("b"))
             .count()
             .collect()
         )

@@ -83,3 +83,17 @@ def add_position(
         .withColumn(name, F.col(name) + F.coalesce("rows_before", F.lit(0)))
         .drop("chunk", "rows_before")
     )
+
+
+def join_summary(df: DataFrame, summary: DataFrame, key: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Join one summary row per key to all rows of the key.  The rows of hot keys stay
+    where they are: their few summaries are broadcast."""
+    hot = hot_keys(df, key, chunk_rows)
+    if not hot:
+        return df.join(summary, key)
+    is_hot = F.col(key).isin([k for k, _ in hot])
+    return (
+        df.where(is_hot)
+        .join(F.broadcast(summary.where(is_hot)), key)
+        .unionByName(df.where(~is_hot).join(summary.where(~is_hot), key))
+    )

@@ -76,7 +76,8 @@ def _with_carry(chunked: DataFrame, smoothing: float, run: str, step: str) -> Da
 
 
 def throughput(
-    log: DataFrame, max_steps: Column | None = None, run: str = "run_id", step: str = "step", ts: str = "ts"
+    log: DataFrame, max_steps: Column | None = None, run: str = "run_id", step: str = "step",
+    ts: str = "ts", chunk_rows: int = hotkeys.CHUNK_ROWS,
 ) -> DataFrame:
     """Steps per second since the run's first row, and the seconds the rest will take;
     zero where no time has passed or nothing was done.  Without ``max_steps`` a
@@ -90,7 +91,7 @@ def throughput(
         F.col("steps_per_second") > 0, (F.col("goal") - F.col(step)) / F.col("steps_per_second")
     ).otherwise(F.lit(0.0))
     return (
-        log.join(runs, run)
+        hotkeys.join_summary(log, runs, run, chunk_rows)
         .select(run, step, elapsed.alias("elapsed"), goal.alias("goal"))
         .withColumn("steps_per_second", rate)
         .withColumn("remaining", left)

@@ -39,7 +39,7 @@ def most(ws) -> str:
 
 PAIRS = f"""
 pairs AS (
-  SELECT conv_id * 1000 + turn AS example_id, text AS "user", assistant,
+  SELECT conv_id * 2147483648 + turn AS example_id, text AS "user", assistant,
          {category('conv_id')} AS category
   FROM (SELECT *, lead(role) OVER w AS next_role, lead(text) OVER w AS assistant
         FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
@@ -75,7 +75,7 @@ def masked_steps(source, text, keep) -> str:
 
 
 ORACLES["pii_counts"] = "SELECT doc_id, " + ", ".join(
-    f"{pii_n('text', t)} AS {t}" for t in fixed.PII_TYPES
+    f"{pii_n('text', t)}::INT AS {t}" for t in fixed.PII_TYPES
 ) + " FROM documents"
 ORACLES["pii_mask"] = f"SELECT doc_id, m AS text FROM ({masked_steps('documents', 'text', 'doc_id')})"
 ORACLES["pii_by_source"] = " UNION ALL ".join(
@@ -166,7 +166,7 @@ walk AS (
 gone AS (SELECT unnest(gone) AS id FROM (SELECT gone FROM walk ORDER BY i DESC LIMIT 1))"""
 
 
-ORACLES["shingle_sizes"] = f"WITH {shingle_rows('documents', 'doc_id', 'text')} SELECT id AS doc_id, len(s) AS shingles FROM sets"
+ORACLES["shingle_sizes"] = f"WITH {shingle_rows('documents', 'doc_id', 'text')} SELECT id AS doc_id, len(s)::INT AS shingles FROM sets"
 ORACLES["pair_jaccard"] = f"""WITH {PAIRS},
 u AS (SELECT example_id, {shingles('"user"')} AS s FROM pairs),
 a AS (SELECT example_id, {shingles('assistant')} AS s FROM pairs)

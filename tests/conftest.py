@@ -11,7 +11,7 @@ from colloquy.session import build_session
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", "local[4]", 4, "4g")
+    session = build_session("tests", "local[4]", 2, "4g")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -44,6 +44,9 @@ def test_kth_smallest(spark, monkeypatch, k):
     expected = sorted((i * 37 % 101, i) for i in range(500))[k - 1]
     assert cuts.kth_smallest(df, F.col("v"), [F.col("id")], k, 0, 101) == expected
     assert cuts.kth_smallest(df, F.col("v"), [F.col("id")], 501, 0, 101) is None
+    wide = df.select((F.col("v") * (1 << 53) + F.col("v") % 2).alias("v"), "id")
+    value, i = cuts.kth_smallest(wide, F.col("v"), [F.col("id")], k, 0, 1 << 60)
+    assert (value >> 53, i) == expected
 
 
 def turns(spark):
@@ -59,7 +62,7 @@ def turns(spark):
 def test_adjacent_pairs_with_and_without_a_cut_conversation(spark, chunk_rows):
     df, rows = turns(spark)
     expected = {
-        (a[0] * 1000 + a[1], a[3], b[3])
+        (a[0] * 2**31 + a[1], a[3], b[3])
         for a, b in zip(rows, rows[1:])
         if a[0] == b[0] and a[2] == "user" and b[2] == "assistant"
     }
@@ -111,6 +114,8 @@ def test_best_step_first_wins_ties(spark):
 def test_throughput_guards_zero(spark):
     df, _ = log(spark)
     rows = {(r.run_id, r.step): r for r in runlogs.throughput(df, F.lit(100)).collect()}
+    cut = {(r.run_id, r.step): r for r in runlogs.throughput(df, F.lit(100), chunk_rows=10).collect()}
+    assert rows == cut
     assert rows[1, 1].steps_per_second == 0.0 and rows[1, 1].remaining == 0.0
     assert rows[1, 11].steps_per_second == pytest.approx(11 / 20) and rows[1, 11].remaining == pytest.approx(89 / (11 / 20))
 
