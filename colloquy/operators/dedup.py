@@ -33,6 +33,7 @@ SMALL_GROUP = 50
 GIANT_KEYS = 10_000
 MAX_LEVEL = 4
 SALTS = 32
+FEW_EDGES = 1_000_000
 
 
 def _with_grams(texts: DataFrame, n: int) -> DataFrame:
@@ -188,6 +189,23 @@ def _pairs_of_small(entries: DataFrame, threshold: float) -> DataFrame:
     )
 
 
+def _with_or_without(edges: DataFrame, end: str, keys: DataFrame, how: str) -> DataFrame:
+    """Edges whose ``end`` is among ``keys`` (``left_semi``) or not (``left_anti``).  The
+    few rows at the end of very many edges are looked up by broadcast, so that their
+    edges are not brought together in one task."""
+    n = edges.count()
+    if n <= FEW_EDGES:
+        return edges.join(keys, end, how)
+    giants = settle(
+        edges.groupBy(end).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > n // GIANT_KEYS).select(end),
+        "giants",
+    )
+    found = giants.join(keys, end, "left_semi")
+    of_giants = edges.join(F.broadcast(giants), end, "left_semi").join(F.broadcast(found), end, how)
+    rest = edges.join(F.broadcast(giants), end, "left_anti").join(keys, end, how)
+    return of_giants.unionByName(rest)
+
+
 def _decide(edges: DataFrame, waiting: DataFrame | None):
     """Rounds over similar pairs: returns the dropped rows and the pairs still open.
     ``waiting`` rows may have lower neighbours not yet known, so none is kept."""
@@ -197,15 +215,14 @@ def _decide(edges: DataFrame, waiting: DataFrame | None):
         if waiting is not None:
             blocked = blocked.unionByName(waiting.select(F.col("rid").alias("lo")))
         kept = edges.select("lo").distinct().join(blocked, "lo", "left_anti")
-        gone = settle(edges.join(kept, "lo", "left_semi").select(F.col("hi").alias("rid")).distinct(), "dropped")
+        to_kept = _with_or_without(edges, "lo", kept, "left_semi")
+        gone = settle(to_kept.select(F.col("hi").alias("rid")).distinct(), "dropped")
         if gone.isEmpty():
             return dropped, edges
         dropped.append(gone)
+        left = edges.join(gone.select(F.col("rid").alias("hi")), "hi", "left_anti")
         edges = settle(
-            edges.join(gone.select(F.col("rid").alias("hi")), "hi", "left_anti").join(
-                gone.select(F.col("rid").alias("lo")), "lo", "left_anti"
-            ),
-            "edges",
+            _with_or_without(left, "lo", gone.select(F.col("rid").alias("lo")), "left_anti"), "edges"
         )
 
 

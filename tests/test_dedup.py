@@ -50,8 +50,10 @@ def test_large_groups_give_the_same_result(spark, threshold):
     assert kept(spark, texts, threshold, small_group=2) == plain.kept(texts, threshold)
 
 
-def test_one_family_holds_most_rows(spark):
+def test_one_family_holds_most_rows(spark, monkeypatch):
     """Near-copies of one text, none equal: a group whose pairs must not be listed."""
+    monkeypatch.setattr(dedup, "FEW_EDGES", 10)
+    monkeypatch.setattr(dedup, "GIANT_KEYS", 20)
     rng = random.Random(3)
     vocabulary = [f"v{i}" for i in range(5000)]
     base = [rng.choice(vocabulary) for _ in range(80)]
