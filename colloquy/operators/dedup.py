@@ -113,14 +113,20 @@ def _segment_keys(hashed: DataFrame, threshold: float, level: int) -> DataFrame:
             F.col("scheme.segments").alias("segments"), F.explode_outer("hashes").alias("h"),
         )
         .withColumn("seg", segment(F.col("h"), {"segments": F.col("segments")}))
-        .groupBy("rid", "size", "s", "thin", "seg")
-        .agg(F.bit_xor(F.xxhash64("h", F.lit("content"))).alias("content"), F.count(F.lit(1)).alias("n"))
+        .groupBy("rid", "s", "seg")
+        .agg(
+            F.bit_xor(F.xxhash64("h", F.lit("content"))).alias("content"),
+            F.count(F.lit(1)).alias("n"),
+            F.min("size").alias("size"),
+            F.bool_or("thin").alias("thin"),
+        )
     )
     full_key = F.xxhash64("s", "seg", "content", "n")
     keys = F.when(F.col("thin"), F.array(full_key, F.xxhash64("s", F.lit("thin")))).otherwise(
         F.array(full_key)
     )
-    return segments.select("rid", "size", F.explode(keys).alias("key")).distinct()
+    # The shared key of a thin row comes once per segment; such rows are rare.
+    return segments.select("rid", "size", F.explode(keys).alias("key"))
 
 
 def _prefix_keys(hashed: DataFrame, threshold: float, level: int) -> DataFrame:
@@ -256,7 +262,11 @@ def kept_keys(
     while True:
         hot = settle(
             entries.groupBy("key")
-            .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("rid", "size")).alias("leader"))
+            .agg(
+                F.count(F.lit(1)).alias("n"),
+                F.min("rid").alias("leader"),
+                F.min_by("size", "rid").alias("leader_size"),
+            )
             .where(F.col("n") > small_group),
             "hot",
         )
@@ -264,9 +274,9 @@ def kept_keys(
         in_hot, small = _split_by_hot(entries, hot) if any_hot else (None, entries)
         found = _check_pairs(_pairs_of_small(small, threshold), texts, threshold, n)
         if any_hot:
-            followers = settle(in_hot.where(F.col("rid") != F.col("leader.rid")), "followers")
-            led = followers.where(_compatible(F.col("size"), F.col("leader.size"), threshold)).select(
-                F.col("leader.rid").alias("lo"), F.col("rid").alias("hi")
+            followers = settle(in_hot.where(F.col("rid") != F.col("leader")), "followers")
+            led = followers.where(_compatible(F.col("size"), F.col("leader_size"), threshold)).select(
+                F.col("leader").alias("lo"), F.col("rid").alias("hi")
             )
             found = found.unionByName(_check_pairs(led.distinct(), texts, threshold, n, SALTS))
         found = settle(found.distinct(), "edges")

@@ -5,10 +5,12 @@ from pyspark.sql import functions as F
 
 from colloquy import fixed
 from colloquy.functions.quality import quality_score
+from colloquy.functions.text import once
 
 
 def score_examples(df: DataFrame) -> DataFrame:
-    return df.withColumn("quality", quality_score())
+    """Add ``quality``, computed once however often it is used above."""
+    return df.select("*", once(quality_score()).alias("quality"))
 
 
 def filter_quality(df: DataFrame, min_quality: float = fixed.MIN_QUALITY) -> DataFrame:

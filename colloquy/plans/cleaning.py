@@ -35,14 +35,15 @@ def clean(
     )
     plain = masked.select(*examples.columns)
     unique = dedup.deduplicate_examples(plain, dedup_threshold) if remove_duplicates else plain
-    scored = unique.withColumn(
-        "_keep",
-        quality.quality_score() >= F.lit(float(min_quality)) if filter_by_quality else F.lit(True),
-    )
-    kept = scored.where("_keep").drop("_keep")
+    if filter_by_quality:
+        scored = quality.score_examples(unique)
+        keep = F.col("quality") >= F.lit(float(min_quality))
+    else:
+        scored, keep = unique, F.lit(True)
+    kept = scored.where(keep).select(*examples.columns)
     # Masking drops no row, so the funnel needs one pass over either end.
     before = plain.agg(F.count(F.lit(1)).alias("n_before"))
-    after = scored.agg(F.count(F.lit(1)).alias("n_unique"), F.count_if("_keep").alias("n_kept"))
+    after = scored.agg(F.count(F.lit(1)).alias("n_unique"), F.count_if(keep).alias("n_kept"))
     stages = [
         ("original_count", "n_before"),
         ("after_pii_masking", "n_before"),
