@@ -83,8 +83,11 @@ def throughput(
     zero where no time has passed or nothing was done.  Without ``max_steps`` a
     run's own last step counts as its goal."""
     runs = log.groupBy(run).agg(F.min(ts).alias("started"), F.max(step).alias("last_step"))
-    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
-    elapsed = (micros(ts) - micros("started")) / F.lit(1e6)
+    # From the interval, so that the session's time zone plays no part.
+    gap = F.col(ts) - F.col("started")
+    seconds = {"DAY": 86_400, "HOUR": 3_600, "MINUTE": 60, "SECOND": 1}
+    parts = [F.extract(F.lit(unit), gap).cast("double") * n for unit, n in seconds.items()]
+    elapsed = sum(parts[1:], parts[0])
     goal = F.col("last_step") if max_steps is None else max_steps
     rate = F.when(F.col("elapsed") > 0, F.col(step) / F.col("elapsed")).otherwise(F.lit(0.0))
     left = F.when(
