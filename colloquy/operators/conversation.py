@@ -42,7 +42,7 @@ def adjacent_pairs(turns: DataFrame, chunk_rows: int = hotkeys.CHUNK_ROWS) -> Da
 def conversation_prompts(turns: DataFrame, system_prompt: str | None = None) -> DataFrame:
     """One open prompt per conversation.  A prompt holds its whole conversation, so
     the grouped turns are never larger than the row they become."""
-    messages = F.array_sort(
+    messages = F.sort_array(
         F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))
     )
     return turns.groupBy("conv_id").agg(messages.alias("messages")).select(

@@ -31,7 +31,7 @@ def category_of(number):
 
 def pairs(spark, folder):
     """Conversation pairs with a category picked by conversation."""
-    found = conversation.adjacent_pairs(spread(table(spark, folder, "conversations")))
+    found = conversation.adjacent_pairs(table(spark, folder, "conversations"))
     return found.select("example_id", "user", "assistant", category_of(F.col("conv_id")).alias("category"))
 
 
