@@ -94,7 +94,8 @@ def _segment_keys(hashed: DataFrame, threshold: float, level: int) -> DataFrame:
     def scheme(s):
         largest = F.floor(F.exp((s + 1) * F.lit(width)) * F.lit(1 + 1e-9))
         reach = F.floor(largest * F.lit((1 - threshold) / threshold) + F.lit(1e-9)).cast("int")
-        segments = F.ceil((reach + 1) * F.lit(1.5)).cast("int")
+        # Sets too small to differ at all stay whole.
+        segments = F.when(reach == 0, F.lit(1)).otherwise(F.ceil((reach + 1) * F.lit(1.5)).cast("int"))
         return F.struct(s.alias("s"), reach.alias("reach"), segments.alias("segments"))
 
     def segment(gram_hash, s):
