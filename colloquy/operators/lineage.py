@@ -5,6 +5,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folder of this run by application, made at the first settled table.
+_RUNS: dict[str, str] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.  Only a local session may go
@@ -19,10 +22,37 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def run_folder(spark: SparkSession) -> str:
+    """This application's own folder under the shared one.  It is removed when the driver ends;
+    ``release`` removes it sooner."""
+    app = spark.sparkContext.applicationId
+    if app not in _RUNS:
+        folder = f"{shared_folder(spark)}/colloquy-{app}-{uuid.uuid4().hex[:8]}"
+        files, path = _file_system(spark, folder)
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _RUNS[app] = folder
+    return _RUNS[app]
+
+
+def _file_system(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
 def settle(df: DataFrame, name: str = "table") -> DataFrame:
     """Write the rows once and continue from the written table, so that neither a
     lost executor nor a second use computes them again."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove the tables settled so far.  Call it when every result that builds on them
+    has been written."""
+    folder = _RUNS.pop(spark.sparkContext.applicationId, None)
+    if folder:
+        files, path = _file_system(spark, folder)
+        files.delete(path, True)
