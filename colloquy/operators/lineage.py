@@ -1,12 +1,16 @@
 """Cutting lineage through the shared folder of the cluster."""
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 #: Folder of this run by application, made at the first settled table.
 _RUNS: dict[str, str] = {}
+_SCOPE: ContextVar[str] = ContextVar("scope", default="tables")
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -44,15 +48,25 @@ def settle(df: DataFrame, name: str = "table") -> DataFrame:
     """Write the rows once and continue from the written table, so that neither a
     lost executor nor a second use computes them again."""
     spark = df.sparkSession
-    path = f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{run_folder(spark)}/{_SCOPE.get()}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Remove the tables settled so far.  Call it when every result that builds on them
-    has been written."""
-    folder = _RUNS.pop(spark.sparkContext.applicationId, None)
+@contextlib.contextmanager
+def scoped(name: str) -> Iterator[None]:
+    """Tables settled inside go to a part of the run folder that ``release`` can remove alone."""
+    token = _SCOPE.set(name)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+
+
+def release(spark: SparkSession, scope: str = "tables") -> None:
+    """Remove the tables settled so far in a scope.  Call it when every result that builds on
+    them has been written."""
+    folder = _RUNS.get(spark.sparkContext.applicationId)
     if folder:
-        files, path = _file_system(spark, folder)
+        files, path = _file_system(spark, f"{folder}/{scope}")
         files.delete(path, True)
