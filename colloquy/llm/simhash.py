@@ -97,19 +97,21 @@ def links(fps: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataFra
     """Links ``a, b`` between different fingerprints of ``fp`` at most ``radius`` bits apart: enough
     to connect every two that are linked by any chain.
 
-    One key per table and distinct fingerprint.  Buckets of one member are dropped by an
+    One key per table and distinct fingerprint, a hash of both (keys that meet by chance only
+    cost a comparison).  Buckets of one member are dropped by an
     aggregate that runs before the shuffle; those of two are a pair; up to ``bucket`` members are compared
     in one task; members of larger ones meet in the points halfway between them, of which each has
     as many as there are ways to change ``radius`` / 2 bits, whatever the bucket's size."""
     fps = settle(fps.select("fp").where("fp is not null").distinct(), "fingerprints")
-    keys = fps.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(m)).cast("long")) for m in masks(radius)])).alias("t", "k"))
-    size = keys.groupBy("t", "k").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1")
+    masked = [F.xxhash64(F.lit(t), F.col("fp").bitwiseAND(F.lit(_signed(m)).cast("long"))) for t, m in enumerate(masks(radius))]
+    keys = fps.select("fp", F.explode(F.array(*masked)).alias("k"))
+    size = keys.groupBy("k").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1")
     size = settle(size, "buckets")
-    close = lambda x, y: F.bit_count(F.col(x).bitwiseXOR(F.col(y))) <= radius
-    pairs = size.where("n = 2").where(close("a", "b")).select("a", "b")
-    found = settle(keys.join(size.where("n > 2").select("t", "k", "n"), ["t", "k"]), "members")
+    close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius
+    pairs = size.where("n = 2").where(close).select("a", "b")
+    found = settle(keys.join(size.where("n > 2").select("k", "n"), "k"), "members")
     inside = (
-        found.where(F.col("n") <= bucket).groupBy("t", "k").agg(F.collect_list("fp").alias("members"))
+        found.where(F.col("n") <= bucket).groupBy("k").agg(F.collect_list("fp").alias("members"))
         .select(F.explode(_linker(radius)("members")).alias("x")).select("x.a", "x.b")
     )
     out = pairs.union(inside)
