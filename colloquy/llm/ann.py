@@ -22,9 +22,11 @@ SAMPLE = 8_192
 PART, PARTS = 1_000, 256
 NEIGHBOURS, SLACK = 10, 1.1
 #: A query goes to as many parts as reach this share of its true neighbours in the sample.
-REACHED = 0.97
+REACHED = 0.95
+#: Parts to begin with; doubling them must lower the share of parts visited to this share of it.
+FIRST_PARTS, PAYS = 8, 0.8
 #: Vectors of a part compared in one task, and queries.
-BLOCK, QUERIES = 4_096, 2_048
+BLOCK, QUERIES = 16_384, 2_048
 
 
 @dataclass
@@ -48,8 +50,8 @@ class Router:
 def neighbour_graph(x: np.ndarray, k: int) -> np.ndarray:
     """The ``k`` nearest others of each row, in blocks."""
     out = []
-    for a in range(0, len(x), 1024):
-        s = x[a : a + 1024] @ x.T
+    for a in range(0, len(x), 256):
+        s = x[a : a + 256] @ x.T
         s[np.arange(len(s)), np.arange(a, a + len(s))] = -np.inf
         out.append(np.argpartition(-s, k - 1, axis=1)[:, :k])
     return np.concatenate(out)
@@ -118,20 +120,32 @@ def softmax_fit(x: np.ndarray, label: np.ndarray, parts: int, steps: int = 150,
     return w[:-1] * scale, w[-1]
 
 
-def fit_router(x: np.ndarray, parts: int) -> Router:
-    """Fit graph, parts and classifier, and find the number of probes that reaches ``REACHED`` of the
-    sample's own neighbour links."""
-    parts = max(1, min(parts, len(x) // 32))
-    if parts == 1:
+def fit_router(x: np.ndarray, most: int) -> Router:
+    """Graph, parts and classifier on the sample.  Parts are doubled, up to ``most``, as long as
+    that lowers the share of the parts that a query must go to by ``PAYS``: where vectors have no
+    neighbourhoods to learn, more parts would only mean more visits."""
+    most = max(1, min(most, len(x) // 32))
+    if most == 1:
         return Router(np.zeros((x.shape[1], 1)), np.zeros(1), 1)
     graph = neighbour_graph(x, min(NEIGHBOURS, len(x) - 1))
-    weights, bias = softmax_fit(x, balanced_parts(x, graph, parts), parts)
-    router = Router(weights, bias, parts)
+    parts = min(FIRST_PARTS, most)
+    router = _fitted(x, graph, parts)
+    while 2 * parts <= most:
+        finer = _fitted(x, graph, 2 * parts)
+        if finer.probes / (2 * parts) > PAYS * router.probes / parts:
+            break
+        router, parts = finer, 2 * parts
+    return router
+
+
+def _fitted(x: np.ndarray, graph: np.ndarray, parts: int) -> Router:
+    """The classifier for so many parts, and the probes that reach ``REACHED`` of the sample's own
+    neighbour links."""
+    router = Router(*softmax_fit(x, balanced_parts(x, graph, parts), parts), parts)
     order = np.argsort(-router.scores(x), axis=1, kind="stable")
     place = np.empty_like(order)
     np.put_along_axis(place, order, np.arange(parts)[None, :], 1)
-    filed = order[:, 0]
-    needed = np.take_along_axis(place, filed[graph], 1).ravel()
+    needed = np.take_along_axis(place, order[:, 0][graph], 1).ravel()
     router.probes = int(np.quantile(needed, REACHED)) + 1
     return router
 
