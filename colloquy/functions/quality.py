@@ -22,13 +22,12 @@ def repetitive(text: Column, limit: float = fixed.REPETITION_LIMIT) -> Column:
 
 
 def looks_english(text: Column) -> Column:
-    letters = X.letter_count(text)
-    share = X.ascii_letter_count(text).cast("double") / F.nullif(letters, F.lit(0))
-    return (
-        F.when(text == "", F.lit(False))
-        .when(letters == 0, F.lit(True))
-        .otherwise(share > fixed.ASCII_LETTER_SHARE)
-    )
+    def share_is_high(letters):
+        n = F.length(letters)
+        ascii_share = X.ascii_letter_count(letters).cast("double") / F.nullif(n, F.lit(0))
+        return F.when(n == 0, F.lit(True)).otherwise(ascii_share > fixed.ASCII_LETTER_SHARE)
+
+    return F.when(text == "", F.lit(False)).otherwise(X.let(X.letters(text), share_is_high))
 
 
 def has_placeholder(text: Column) -> Column:

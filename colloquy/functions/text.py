@@ -110,8 +110,8 @@ def has_frequent_word(tokens: Column, too_many) -> Column:
     return let(F.sort_array(tokens), search)
 
 
-def letter_count(text: Column) -> Column:
-    return F.length(F.regexp_replace(text, r"[^\p{L}]+", ""))
+def letters(text: Column) -> Column:
+    return F.regexp_replace(text, r"[^\p{L}]+", "")
 
 
 def ascii_letter_count(text: Column) -> Column:

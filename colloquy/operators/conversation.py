@@ -11,10 +11,19 @@ from colloquy.operators import hotkeys
 TURNS = 1 << 31
 
 
+def pair_key(conv="conv_id", turn="turn"):
+    """A number for a turn: both numbers side by side where they fit, else a negative 63-bit
+    hash of both, so that hashed or negative conversation ids neither overflow nor meet the others."""
+    conv, turn = F.col(conv), F.col(turn)
+    fits = conv.between(0, (1 << 32) - 1) & turn.between(0, TURNS - 1)
+    hashed = -1 - F.shiftrightunsigned(F.xxhash64(conv, turn), 1)
+    return F.when(fits, conv * TURNS + turn).otherwise(hashed)
+
+
 def adjacent_pairs(turns: DataFrame, chunk_rows: int = hotkeys.CHUNK_ROWS) -> DataFrame:
     """User turns directly followed by an assistant turn of the same conversation, as
     ``example_id, conv_id, user, assistant``."""
-    key = (F.col("conv_id") * TURNS + F.col("turn")).alias("example_id")
+    key = pair_key().alias("example_id")
     if not hotkeys.hot_keys(turns, "conv_id", chunk_rows):
         order = Window.partitionBy("conv_id").orderBy("turn")
         followed = turns.select(

@@ -1,6 +1,6 @@
 """Seeded template examples, requests for an outside model, and its completions."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from colloquy import fixed, templates as defaults
@@ -138,7 +138,8 @@ def hybrid(
     second: DataFrame | None = None, templates=None, pools=None,
 ) -> DataFrame:
     """``int(total * ratio)`` template rows; the rest from a second producer's table
-    (``row, category, user, assistant, source`` with unique ``row``), or from the same
+    (``row, category, user, assistant, source`` with unique ``row``), of each category the same
+    share and by ``row``, or from the same
     generator when there is none, its openings still unique."""
     n_template = int(total * ratio)
     n_rest = total - n_template
@@ -150,7 +151,11 @@ def hybrid(
     if n_rest <= 0:
         return out
     if second is not None:
-        return out.unionByName(second.withColumn("example_id", -1 - F.col("row")).select(*columns))
+        order = Window.partitionBy("category").orderBy("row")
+        share = second.withColumn("place", F.row_number().over(order)).where(
+            F.col("place") <= n_rest // len(names)
+        )
+        return out.unionByName(share.withColumn("example_id", -1 - F.col("row")).select(*columns))
     seen = settle(first.select(opening().alias("opening")), "openings")
     extra = generate_all(
         spark, n_rest, balanced, seed, n_template * fixed.ATTEMPTS_PER_EXAMPLE, templates, pools, seen

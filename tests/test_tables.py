@@ -216,3 +216,30 @@ def test_builtin_items_and_prompt(spark):
     assert counts == {"science": 8, "geography": 5, "technology": 3, "math": 2, "history": 1, "literature": 1}
     prompt = items.orderBy("question_id").select(retention.item_prompt(F.col("question"), F.col("choices")).alias("p")).first().p
     assert prompt == "Question: What is the capital of France?\nA) Berlin\nB) Madrid\nC) Paris\nD) Rome\nAnswer:"
+
+
+def test_pair_keys_of_hashed_and_negative_conversations(spark):
+    from colloquy.operators import conversation
+
+    turns = [(c, t, r, f"{c} {t}") for c in (7, 2**40, -5) for t, r in ((0, "user"), (1, "assistant"))]
+    table = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    rows = {r.conv_id: r for r in conversation.adjacent_pairs(table).collect()}
+    assert rows[7].example_id == 7 << 31
+    assert rows[2**40].example_id < 0 and rows[-5].example_id < 0
+    assert len({r.example_id for r in rows.values()}) == 3
+    assert rows[2**40].assistant == f"{2**40} 1"
+
+
+def test_hybrid_takes_no_more_than_the_share_of_the_second_producer(spark):
+    from colloquy import templates
+    from colloquy.operators import generate
+
+    names = list(templates.TEMPLATES)
+    second = spark.range(500).selectExpr(
+        "id as row", f"element_at(array({', '.join(repr(n) for n in names)}), cast(id % {len(names)} as int) + 1) as category",
+        "concat('q', id) as user", "'a' as assistant", "'other' as source",
+    )
+    rows = generate.hybrid(spark, 50, second=second).collect()
+    other = [r for r in rows if r.source == "other"]
+    assert len(rows) <= 50 and len(other) == 10 // len(names) * len(names)
+    assert max(-1 - r.example_id for r in other) < 10
