@@ -1,4 +1,4 @@
-"""Time the headline queries and print one JSON line."""
+"""Time the registered queries of the library and print one JSON line."""
 
 import json
 import os
@@ -10,16 +10,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from colloquy.registry.queries import QUERIES
 from colloquy.session import build_session
 
-HEADLINE = [
-    "pii_counts", "pii_mask", "pii_totals", "document_quality", "quality_vs_label",
-    "near_dup_keep", "near_dup_strict", "clean_funnel", "chatml_pairs", "chatml_multiturn",
-    "exact_split", "preference_splits", "rouge_n", "rouge_l", "bleu", "keyword_coverage",
-    "format_compliance", "task_metrics_overall", "before_after", "template_examples",
-    "unique_openings", "completion_parse", "mc_accuracy", "forgetting", "loss_ema",
-    "new_bests", "usage_rollup",
-]
-
-
 def main():
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
@@ -27,7 +17,7 @@ def main():
     spark.sparkContext.setLogLevel("ERROR")
     spark.read.parquet(f"{folder}/documents.parquet").count()
     seconds = {}
-    for name in sys.argv[1:] or HEADLINE:
+    for name in sys.argv[1:] or QUERIES:
         start = time.perf_counter()
         QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
