@@ -4,45 +4,50 @@ A row is dropped when it is similar to a kept row of lower key, as if rows were
 scanned in key order.  The steps:
 
 1. Rows of equal words collapse to the lowest key (one hash aggregate).
-2. Every remaining row gets keys such that two similar rows share at least one:
-   - high thresholds: the set is hashed into a few more segments than the largest
-     number of n-grams in which two similar sets of that size can differ, so that
-     one segment must agree as a whole.  A key stands for a whole segment, which
-     only near-copies share; common n-grams by themselves bring no rows together.
-   - low thresholds: the rarest n-grams of the row (prefix filter).
-   Keys are made of 64-bit n-gram hashes; chance collisions only bring more pairs.
-3. A key shared by few rows yields their pairs.  A key shared by many yields only
-   pairs with its lowest row (one per row); what that leaves undecided goes on with
-   the key joined to a second, independent one, so no group's pairs are ever all
-   written out.
-4. Pairs are checked on the full sets, and rows decided in rounds: a row without an
-   undecided lower neighbour is kept, the higher neighbours of a kept row drop.
+2. The n-grams of every remaining row are put in one order for all rows, rarest
+   first, and its first ones become entries (prefix filter).  The shorter row of a
+   similar pair shares one of its still fewer *index* entries with the longer one,
+   and at the first n-gram they share, enough n-grams follow in both rows to reach
+   the threshold.  Text that many rows share comes last in the order, so it brings
+   no rows together.  Entries are 64-bit hashes; chance collisions only bring more
+   pairs.
+3. An n-gram with few entries yields their pairs.  One with many, as near-copies
+   have, yields only the pairs with its lowest row; when those drop the copies, the
+   rest goes on in the next round.  When a round drops too little, the remaining
+   groups are compared whole, in tiles of bounded size.
+4. Pairs are checked on the stored hashes first and the survivors on the full sets,
+   and rows decided in rounds: a row without an undecided lower neighbour is kept,
+   the higher neighbours of a kept row drop.
 """
 
-import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from colloquy import fixed
 from colloquy.functions import text as X
 from colloquy.operators.lineage import settle
 
-SEGMENT_THRESHOLD = 0.9
+#: Rows of a group whose pairs are listed at once; larger ones start with their lowest row.
 SMALL_GROUP = 50
-GIANT_KEYS = 10_000
-MAX_LEVEL = 4
-SALTS = 32
-FEW_EDGES = 1_000_000
-
-
-def _with_grams(texts: DataFrame, n: int) -> DataFrame:
-    return texts.select("rid", X.once(X.shingles(F.col("text"), n)).alias("grams"))
-
-
-def _with_hashes(texts: DataFrame, n: int, level: int) -> DataFrame:
+#: N-grams holding more than this share of all are put in order by their count, the
+#: others by hash alone; there are never more than a million of them.
+FREQUENT_SHARE = 1e-6
+#: Rows at one side of a tile.
+TILE_ROWS = 2_000
+#: Rounds must leave no more than this share of the rows that wait.
+LEFT_SHARE = 0.5
+#: Slack of the floating-point bounds; it only lets more pairs through.
+SLACK = 1e-6
+
+
+def _hashed(texts: DataFrame, n: int) -> DataFrame:
     """The n-grams of each row as 64-bit hashes, and their number."""
-    hashes = X.once(X.shingle_hashes(F.col("text"), n, level)).alias("hashes")
+    hashes = X.once(X.shingle_hashes(F.col("text"), n, 1)).alias("hashes")
     return texts.select("rid", hashes).select("rid", F.size("hashes").alias("size"), "hashes")
 
 
@@ -60,157 +65,111 @@ def _distinct_texts(texts: DataFrame, n: int) -> DataFrame:
     )
 
 
-def _with_counts(entries: DataFrame, counts: DataFrame):
-    """Entries joined to the counts ``key, n, ...`` of their keys, in two tables.  A
-    key with more than one in ``GIANT_KEYS`` of all entries is a giant; there can be
-    no more than ``GIANT_KEYS`` of them, so they are broadcast.  The others are each
-    too small a share to weigh on one task and are joined by a shuffle."""
-    giant = entries.count() // GIANT_KEYS
-    giants = F.broadcast(counts.where(F.col("n") > giant))
-    rest = entries.join(giants.select("key"), "key", "left_anti")
-    return entries.join(giants, "key"), rest.join(counts.where(F.col("n") <= giant), "key")
-
-
-def _split_by_hot(entries: DataFrame, hot: DataFrame):
-    """Entries of the hot keys, with their leader, and all the others."""
-    giants, others = _with_counts(entries, hot)
-    giant = F.broadcast(hot.where(F.col("n") > entries.count() // GIANT_KEYS).select("key"))
-    cold = entries.join(giant, "key", "left_anti").join(hot.select("key"), "key", "left_anti")
-    return giants.unionByName(others), cold
-
-
-def _segment_keys(hashed: DataFrame, threshold: float, level: int) -> DataFrame:
-    """``rid, size, key``: one key per non-empty segment.
-
-    Sizes fall into classes so wide that similar sets lie in one class or in two
-    neighbours.  Scheme ``s`` serves the pairs within class ``s`` and across to
-    ``s + 1``; a row takes part in the schemes of its own and of the lower class.
-    Sets in a scheme differ in at most ``reach`` n-grams, hence in at most that many
-    segments.  A row whose n-grams fill no more than ``reach`` segments might agree
-    with such a row in empty ones alone, so those rows share one more key."""
-    width = max(math.log(1 / threshold) * 1.001, 1e-6)
-    own = F.floor(F.log(F.col("size")) / F.lit(width)).cast("int")
-
-    def scheme(s):
-        largest = F.floor(F.exp((s + 1) * F.lit(width)) * F.lit(1 + 1e-9))
-        reach = F.floor(largest * F.lit((1 - threshold) / threshold) + F.lit(1e-9)).cast("int")
-        # Sets too small to differ at all stay whole.
-        segments = F.when(reach == 0, F.lit(1)).otherwise(F.ceil((reach + 1) * F.lit(1.5)).cast("int"))
-        return F.struct(s.alias("s"), reach.alias("reach"), segments.alias("segments"))
-
-    def segment(gram_hash, s):
-        return F.pmod(gram_hash, s["segments"].cast("long"))
-
-    def with_thin(s):
-        filled = F.size(F.array_distinct(F.transform("hashes", lambda h: segment(h, s))))
-        return F.struct(s["s"].alias("s"), s["segments"].alias("segments"), s["reach"].alias("reach"),
-                        (filled <= s["reach"]).alias("thin"))
-
-    schemes = F.transform(F.array(scheme(own), scheme(own - 1)), with_thin)
-    segments = (
-        hashed.select("rid", "size", "hashes", F.explode_outer(schemes).alias("scheme"))
-        .select(
-            "rid", "size", F.col("scheme.s").alias("s"), F.col("scheme.thin").alias("thin"),
-            F.col("scheme.segments").alias("segments"), F.explode_outer("hashes").alias("h"),
-        )
-        .withColumn("seg", segment(F.col("h"), {"segments": F.col("segments")}))
-        .groupBy("rid", "s", "seg")
-        .agg(
-            F.bit_xor(F.xxhash64("h", F.lit("content"))).alias("content"),
-            F.count(F.lit(1)).alias("n"),
-            F.min("size").alias("size"),
-            F.bool_or("thin").alias("thin"),
-        )
-    )
-    full_key = F.xxhash64("s", "seg", "content", "n")
-    keys = F.when(F.col("thin"), F.array(full_key, F.xxhash64("s", F.lit("thin")))).otherwise(
-        F.array(full_key)
-    )
-    # The shared key of a thin row comes once per segment; such rows are rare.
-    return segments.select("rid", "size", F.explode(keys).alias("key"))
-
-
-def _prefix_keys(hashed: DataFrame, threshold: float, level: int) -> DataFrame:
-    """``rid, size, key``: the first ``size - ceil(t * size) + 1`` n-grams of the row
-    in one order for all rows: rarest first, or by a seeded hash on later levels."""
-    length = (
-        F.col("size") - F.ceil(F.col("size") * F.lit(threshold) - F.lit(1e-9)) + 1
-    ).cast("int")
-    if level > 1:
-        return hashed.select(
-            "rid", "size", F.explode(F.slice(F.sort_array("hashes"), F.lit(1), length)).alias("key")
-        )
-    grams = settle(hashed, "hashes").select("rid", "size", F.explode_outer("hashes").alias("key"))
-    counts = grams.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    common, others = _with_counts(grams, counts)
-    # The n-grams of one row: the grouped array is never larger than the row.
-    ordered = (
-        common.unionByName(others)
-        .groupBy("rid", "size")
-        .agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("ordered"))
-    )
-    return ordered.select(
-        "rid", "size", F.explode(F.slice("ordered.key", F.lit(1), length)).alias("key")
-    )
-
+def _frequent(hashed: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, ascending, and counts of the n-grams above ``FREQUENT_SHARE`` of all."""
+    total = hashed.agg(F.sum("size")).first()[0] or 0
+    counts = hashed.select(F.explode("hashes").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    found = counts.where(F.col("n") > max(1, int(total * FREQUENT_SHARE))).toPandas().sort_values("h")
+    return found["h"].to_numpy("int64"), found["n"].to_numpy("int64")
+
+
+def _entries(hashed: DataFrame, threshold: float) -> DataFrame:
+    """``rid, size, key, pos, index``: the first n-grams of each row, rarest first.
+
+    A row of ``s`` n-grams has ``s - ceil(t * s) + 1`` entries; the first
+    ``s - ceil(2t / (1 + t) * s) + 1`` are its index entries, enough towards rows no
+    shorter than itself."""
+    hashes, counts = _frequent(hashed)
+    order = hashed.sparkSession.sparkContext.broadcast((hashes, counts))
+
+    def first_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, times = order.value
+        for batch in batches:
+            grams = batch.column("hashes").flatten().to_numpy(zero_copy_only=False)
+            size = batch.column("size").to_numpy(zero_copy_only=False).astype("int64")
+            n = np.zeros(len(grams), "int64")
+            if len(known):
+                at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
+                n = np.where(known[at] == grams, times[at], 0)
+            row = np.repeat(np.arange(len(size)), size)
+            by = np.lexsort((grams, n, row))
+            pos = np.arange(len(grams)) - np.repeat(np.cumsum(size) - size, size)
+            length = size - np.ceil(size * threshold - SLACK).astype("int64") + 1
+            index = size - np.ceil(size * (2 * threshold / (1 + threshold)) - SLACK).astype("int64") + 1
+            taken = pos < length[row]
+            row, pos = row[taken], pos[taken]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("rid").take(pa.array(row)), pa.array(size[row].astype("int32")),
+                 pa.array(grams[by][taken]), pa.array(pos.astype("int32")), pa.array(pos < index[row])],
+                ["rid", "size", "key", "pos", "index"],
+            )
 
-def _keys(texts: DataFrame, threshold: float, n: int, level: int) -> DataFrame:
-    make = _segment_keys if threshold >= SEGMENT_THRESHOLD else _prefix_keys
-    return make(_with_hashes(texts, n, level), threshold, level)
-
-
-def _check_pairs(pairs: DataFrame, texts: DataFrame, threshold: float, n: int, salts: int = 1) -> DataFrame:
-    """The pairs that reach the threshold on their full sets.  With ``salts`` the
-    lower rows are few but shared by very many pairs, which are spread over copies."""
-    pairs = settle(pairs, "pairs")
-    side = lambda end: _with_grams(
-        texts.join(pairs.select(F.col(end).alias("rid")).distinct(), "rid", "left_semi"), n
-    ).select(F.col("rid").alias(end), F.col("grams").alias(f"{end}_grams"))
-    low, high = side("lo"), side("hi")
-    on = ["lo"]
-    if salts > 1:
-        pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("hi"), F.lit(salts)).cast("int"))
-        low = low.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        on = ["lo", "salt"]
-    return (
-        pairs.join(low, on)
-        .join(high, "hi")
-        .where(X.jaccard(F.col("lo_grams"), F.col("hi_grams")) >= F.lit(threshold))
-        .select("lo", "hi")
+    schema = T.StructType([
+        T.StructField("rid", hashed.schema["rid"].dataType), T.StructField("size", T.IntegerType()),
+        T.StructField("key", T.LongType()), T.StructField("pos", T.IntegerType()),
+        T.StructField("index", T.BooleanType()),
+    ])
+    return hashed.mapInArrow(first_ones, schema)
+
+
+def _may_be_similar(a: str, b: str, threshold: float) -> Column:
+    """Whether two entries of one n-gram, in columns of these prefixes, can be the first
+    common ones of a similar pair."""
+    size_a, size_b = F.col(f"{a}_size"), F.col(f"{b}_size")
+    wanted = (size_a + size_b) * F.lit(threshold / (1 + threshold)) - F.lit(SLACK)
+    follow = F.least(size_a - F.col(f"{a}_pos"), size_b - F.col(f"{b}_pos"))
+    short = (
+        F.when(size_a < size_b, F.col(f"{a}_index"))
+        .when(size_a > size_b, F.col(f"{b}_index"))
+        .otherwise(F.col(f"{a}_index") | F.col(f"{b}_index"))
     )
+    return short & (follow >= wanted)
 
 
-def _compatible(a: Column, b: Column, threshold: float) -> Column:
-    """Sets of these sizes can be similar at all."""
-    return F.least(a, b).cast("double") / F.greatest(a, b) >= F.lit(threshold)
+def _side(entries: DataFrame, name: str, *extra: str) -> DataFrame:
+    columns = [F.col(c).alias(f"{name}_{c}") for c in ("size", "pos", "index")]
+    return entries.select("key", *extra, F.col("rid").alias(name), *columns)
 
 
-def _pairs_of_small(entries: DataFrame, threshold: float) -> DataFrame:
-    low = entries.select("key", F.col("rid").alias("lo"), F.col("size").alias("lo_size"))
-    high = entries.select("key", F.col("rid").alias("hi"), F.col("size").alias("hi_size"))
+def _listed(low: DataFrame, high: DataFrame, on: list[str], threshold: float) -> DataFrame:
     return (
-        low.join(high, "key")
-        .where((F.col("lo") < F.col("hi")) & _compatible(F.col("lo_size"), F.col("hi_size"), threshold))
+        low.join(high, on)
+        .where((F.col("lo") < F.col("hi")) & _may_be_similar("lo", "hi", threshold))
         .select("lo", "hi")
-        .distinct()
     )
 
 
-def _with_or_without(edges: DataFrame, end: str, keys: DataFrame, how: str) -> DataFrame:
-    """Edges whose ``end`` is among ``keys`` (``left_semi``) or not (``left_anti``).  The
-    few rows at the end of very many edges are looked up by broadcast, so that their
-    edges are not brought together in one task."""
-    n = edges.count()
-    if n <= FEW_EDGES:
-        return edges.join(keys, end, how)
-    giants = settle(
-        edges.groupBy(end).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > n // GIANT_KEYS).select(end),
-        "giants",
+def _pairs_of_small(entries: DataFrame, threshold: float) -> DataFrame:
+    return _listed(_side(entries, "lo"), _side(entries, "hi"), ["key"], threshold).distinct()
+
+
+def _pairs_in_tiles(entries: DataFrame, threshold: float) -> DataFrame:
+    """The pairs of groups of any size.  Each group is a square of tiles; an entry goes to the
+    tiles of its line as the lower row and to those of its column as the higher one."""
+    tiles = entries.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(TILE_ROWS)).alias("tiles"))
+    cut = entries.join(tiles, "key").withColumn("own", F.pmod(F.xxhash64("rid"), F.col("tiles")))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))
+    low = _side(cut.withColumn("line", F.col("own")).withColumn("column", every), "lo", "line", "column")
+    high = _side(cut.withColumn("column", F.col("own")).withColumn("line", every), "hi", "line", "column")
+    return _listed(low, high, ["key", "line", "column"], threshold).distinct()
+
+
+def _check_pairs(pairs: DataFrame, hashed: DataFrame, texts: DataFrame, threshold: float, n: int) -> DataFrame:
+    """The pairs that reach the threshold, on the stored hashes and then on their full sets."""
+
+    def joined(pairs, sets, left, right):
+        low = sets.select(F.col("rid").alias("lo"), F.col("set").alias(left))
+        high = sets.select(F.col("rid").alias("hi"), F.col("set").alias(right))
+        return pairs.join(low, "lo").join(high, "hi")
+
+    similar = lambda: X.jaccard(F.col("lo_set"), F.col("hi_set")) >= F.lit(threshold)
+    near = joined(pairs, hashed.select("rid", F.col("hashes").alias("set")), "lo_set", "hi_set")
+    near = settle(near.where(similar()).select("lo", "hi"), "near")
+    ends = near.select(F.explode(F.array("lo", "hi")).alias("rid")).distinct()
+    sets = texts.join(ends, "rid", "left_semi").select(
+        "rid", X.once(X.shingles(F.col("text"), n)).alias("set")
     )
-    found = giants.join(keys, end, "left_semi")
-    of_giants = edges.join(F.broadcast(giants), end, "left_semi").join(F.broadcast(found), end, how)
-    rest = edges.join(F.broadcast(giants), end, "left_anti").join(keys, end, how)
-    return of_giants.unionByName(rest)
+    return joined(near, sets, "lo_set", "hi_set").where(similar()).select("lo", "hi")
 
 
 def _decide(edges: DataFrame, waiting: DataFrame | None):
@@ -222,15 +181,15 @@ def _decide(edges: DataFrame, waiting: DataFrame | None):
         if waiting is not None:
             blocked = blocked.unionByName(waiting.select(F.col("rid").alias("lo")))
         kept = edges.select("lo").distinct().join(blocked, "lo", "left_anti")
-        to_kept = _with_or_without(edges, "lo", kept, "left_semi")
+        to_kept = edges.join(kept, "lo", "left_semi")
         gone = settle(to_kept.select(F.col("hi").alias("rid")).distinct(), "dropped")
         if gone.isEmpty():
             return dropped, edges
         dropped.append(gone)
         left = edges.join(gone.select(F.col("rid").alias("hi")), "hi", "left_anti")
-        edges = settle(
-            _with_or_without(left, "lo", gone.select(F.col("rid").alias("lo")), "left_anti"), "edges"
-        )
+        edges = settle(left.join(gone.select(F.col("rid").alias("lo")), "lo", "left_anti"), "edges")
+        if edges.isEmpty():
+            return dropped, edges
 
 
 def _union(frames):
@@ -256,55 +215,53 @@ def kept_keys(
     distinct = settle(_distinct_texts(texts, n), "distinct")
     everything = distinct.select(F.col("rid").alias(key))
     texts = texts.join(distinct, "rid", "left_semi")
+    hashed = settle(_hashed(texts, n), "hashes")
+    check = lambda pairs: _check_pairs(pairs, hashed, texts, threshold, n)
 
-    level = 1
-    entries = settle(_keys(texts, threshold, n, level), "keys")
-    edges, dropped = None, []
+    entries = settle(_entries(hashed, threshold), "entries")
+    edges, dropped, waited = None, [], None
     while True:
+        count = F.count(F.lit(1))
         hot = settle(
             entries.groupBy("key")
             .agg(
-                F.count(F.lit(1)).alias("n"),
-                F.min("rid").alias("leader"),
-                F.min_by("size", "rid").alias("leader_size"),
+                count.alias("n"), F.count_if("index").alias("n_index"),
+                F.min_by(F.struct("rid", "size", "pos", "index"), "rid").alias("leader"),
             )
-            .where(F.col("n") > small_group),
+            .where((F.col("n_index") > 0) & (F.col("n") > small_group))
+            .where(F.col("n") * F.col("n_index") > small_group * small_group)
+            .select("key", *[F.col(f"leader.{c}").alias(a) for c, a in
+                             (("rid", "lo"), ("size", "lo_size"), ("pos", "lo_pos"), ("index", "lo_index"))]),
             "hot",
         )
-        any_hot = not hot.isEmpty()
-        in_hot, small = _split_by_hot(entries, hot) if any_hot else (None, entries)
-        found = _check_pairs(_pairs_of_small(small, threshold), texts, threshold, n)
-        if any_hot:
-            followers = settle(in_hot.where(F.col("rid") != F.col("leader")), "followers")
-            led = followers.where(_compatible(F.col("size"), F.col("leader_size"), threshold)).select(
-                F.col("leader").alias("lo"), F.col("rid").alias("hi")
+        if hot.isEmpty():
+            found, waiting = check(_pairs_of_small(entries, threshold)), None
+        else:
+            followers = settle(
+                entries.join(hot.select("key", "lo"), "key").where(F.col("rid") != F.col("lo")).drop("lo"),
+                "followers",
             )
-            found = found.unionByName(_check_pairs(led.distinct(), texts, threshold, n, SALTS))
-        found = settle(found.distinct(), "edges")
-        edges = found if edges is None else edges.unionByName(found).distinct()
-        waiting = followers.select("rid").distinct() if any_hot else None
-        gone, edges = _decide(edges, waiting)
+            waiting = settle(followers.select("rid").distinct(), "waiting")
+            n_waiting = waiting.count()
+            if waited is not None and n_waiting > LEFT_SHARE * waited:
+                found, waiting = check(_pairs_in_tiles(entries, threshold)), None
+            else:
+                waited = n_waiting
+                led = _listed(hot, _side(followers, "hi"), ["key"], threshold)
+                cold = entries.join(hot.select("key"), "key", "left_anti")
+                pairs = led.unionByName(_pairs_of_small(cold, threshold)).distinct()
+                found = check(pairs)
+        found = found if edges is None else edges.unionByName(found).distinct()
+        gone, edges = _decide(settle(found, "edges"), waiting)
         dropped += gone
-        if not any_hot:
+        if waiting is None:
             break
         # A leader has met every row of its group; the others go on without it and
         # without the rows just dropped.
-        left = followers.select("rid", "size", "key")
+        left = followers
         for g in gone:
             left = left.join(g, "rid", "left_anti")
-        left = settle(left, "left")
-        if left.isEmpty():
-            dropped += _decide(edges, None)[0]
-            break
-        if level < MAX_LEVEL:
-            level += 1
-            second = _keys(
-                texts.join(left.select("rid").distinct(), "rid", "left_semi"), threshold, n, level
-            ).select("rid", F.col("key").alias("second"))
-            left = left.join(second, "rid").select(
-                "rid", "size", F.xxhash64("key", "second").alias("key")
-            ).distinct()
-        entries = settle(left, "keys")
+        entries = settle(left, "entries")
 
     if not dropped:
         return everything

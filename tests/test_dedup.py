@@ -50,10 +50,8 @@ def test_large_groups_give_the_same_result(spark, threshold):
     assert kept(spark, texts, threshold, small_group=2) == plain.kept(texts, threshold)
 
 
-def test_one_family_holds_most_rows(spark, monkeypatch):
+def test_one_family_holds_most_rows(spark):
     """Near-copies of one text, none equal: a group whose pairs must not be listed."""
-    monkeypatch.setattr(dedup, "FEW_EDGES", 10)
-    monkeypatch.setattr(dedup, "GIANT_KEYS", 20)
     rng = random.Random(3)
     vocabulary = [f"v{i}" for i in range(5000)]
     base = [rng.choice(vocabulary) for _ in range(80)]
@@ -61,6 +59,33 @@ def test_one_family_holds_most_rows(spark, monkeypatch):
     assert kept(spark, texts, 0.9, small_group=10) == plain.kept(texts, 0.9)
 
 
+@pytest.mark.parametrize(
+    ("rows", "words", "own", "threshold"), [(600, 300, 30, 0.95), (400, 200, 32, 0.8)]
+)
+def test_shared_boilerplate_brings_no_pairs(spark, rows, words, own, threshold):
+    """Rows that share most of their text, though not enough to be similar."""
+    rng = random.Random(rows)
+    shared = [f"s{i}" for i in range(words - own)]
+    texts = [" ".join([f"r{r}x{i}" for i in range(own)] + shared) for r in range(rows)]
+    rng.shuffle(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "rid long, text string")
+    entries = dedup._entries(dedup._hashed(df, 2), threshold)
+    prefix = words - 1 - int(threshold * (words - 1)) + 1
+    assert entries.count() <= rows * prefix
+    assert dedup._pairs_of_small(entries, threshold).count() <= rows
+    assert kept(spark, texts, threshold) == list(range(rows))
+
+
+@pytest.mark.parametrize("small_group", [2, 50])
+def test_dissimilar_rows_of_common_words_go_through_tiles(spark, monkeypatch, small_group):
+    """Every n-gram is frequent, so groups stay large while few rows are similar."""
+    monkeypatch.setattr(dedup, "TILE_ROWS", 7)
+    monkeypatch.setattr(dedup, "LEFT_SHARE", 0.0)
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("abcd") for _ in range(rng.randint(3, 12))) for _ in range(150)]
+    assert kept(spark, texts, 0.6, small_group=small_group) == plain.kept(texts, 0.6)
+
+
 def test_independent_of_partitioning_and_kept_rows_differ(spark):
     texts = corpus(11, n_base=10)
     assert kept(spark, texts, 0.8, 1) == kept(spark, texts, 0.8, 7)
