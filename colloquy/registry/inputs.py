@@ -13,15 +13,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores where the input is fewer files than that; large inputs already
-    come in more pieces and pass through."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def documents(spark, folder):
-    return spread(table(spark, folder, "documents"))
+    return table(spark, folder, "documents")
 
 
 def category_of(number):
@@ -45,27 +38,33 @@ def document_examples(spark, folder):
     )
 
 
-def order_candidates(spark, folder):
-    """Orders as generator candidates, the customer's name filling its slot."""
-    orders = table(spark, folder, "orders")
-    names = table(spark, folder, "customer").select(
-        F.col("c_custkey").alias("o_custkey"), F.col("c_name").alias("customer_name")
+def customers(spark, folder):
+    """Customers with the slots of the templates that the tables can fill."""
+    nation = table(spark, folder, "nation").select(
+        F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("nation")
+    )
+    return table(spark, folder, "customer").join(nation, "c_nationkey").select(
+        "c_custkey", F.col("c_name").alias("customer"), F.col("c_mktsegment").alias("segment"), "nation"
     )
-    return spread(orders.select("o_orderkey", "o_custkey")).join(names, "o_custkey").select(
+
+
+def order_candidates(spark, folder):
+    """Orders as generator candidates, the customer filling the slots of that kind."""
+    orders = table(spark, folder, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
+    return orders.join(customers(spark, folder), "c_custkey").select(
         F.col("o_orderkey").alias("candidate"),
         category_of(F.col("o_orderkey")).alias("category"),
-        "customer_name",
+        "customer", "segment", "nation",
     )
 
 
 def answers(spark, folder, seed):
     """One filled example per customer; other seeds give other answers."""
-    customers = spread(table(spark, folder, "customer")).select(
-        F.col("c_custkey").alias("candidate"),
-        category_of(F.col("c_custkey")).alias("category"),
-        F.col("c_name").alias("customer_name"),
+    candidates = customers(spark, folder).select(
+        F.col("c_custkey").alias("candidate"), category_of(F.col("c_custkey")).alias("category"),
+        "customer", "segment", "nation",
     )
-    return generate.fill_templates(customers, seed).withColumnRenamed("candidate", "example_id")
+    return generate.fill_templates(candidates, seed).withColumnRenamed("candidate", "example_id")
 
 
 def reference_answers(spark, folder):

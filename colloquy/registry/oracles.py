@@ -250,32 +250,38 @@ ORACLES["preference_splits"] = f"""WITH {PAIRS}, s AS (SELECT * FROM {split_of('
 # --- filled templates ---------------------------------------------------------------
 
 
+#: Slots that the candidate tables fill themselves.
+GIVEN = ["customer", "nation", "segment"]
+
+
 def filled(source, seed, key="candidate") -> str:
-    """``key, category, user, assistant`` from ``key, category, customer_name``."""
+    """``key, category, user, assistant`` from ``key, category`` and the given slots."""
     parts = [f"'{seed}'", "category", key]
+    given = ", ".join(GIVEN)
     rows = ", ".join(
-        f"({lit(c)}, {i}, {lit(u)}, {lit(a)})"
+        f"({lit(c)}, {i}, {len(options)}, {lit(u)}, {lit(a)})"
         for c, options in templates.TEMPLATES.items()
         for i, (u, a) in enumerate(options)
     )
-    sql = f"""SELECT c.{key}, c.category, c.customer_name, t.u, t.a FROM {source} c
-      JOIN (VALUES {rows}) t(category, i, u, a)
-      ON t.category = c.category AND t.i = {pick(10, f"'{seed}'", 'c.category', f'c.{key}', "'template'")}"""
+    draw = pick("t.options", f"'{seed}'", "c.category", f"c.{key}", "'template'")
+    sql = f"""SELECT c.*, t.u, t.a FROM {source} c
+      JOIN (VALUES {rows}) t(category, i, options, u, a) ON t.category = c.category AND t.i = {draw}"""
     for slot, pool in templates.POOLS.items():
-        if slot == "customer_name":
-            value = "customer_name"
+        if slot in GIVEN:
+            value = slot
         elif isinstance(pool, templates.Numbered):
             value = f"{lit(pool.prefix)} || lpad(({pick(pool.count, *parts, lit(slot))} + {pool.first})::VARCHAR, 6, '0')"
         else:
             value = f"{lits(pool)}[1 + {pick(len(pool), *parts, lit(slot))}]"
         hole = "{" + slot + "}"
-        sql = f"SELECT {key}, category, customer_name, replace(u, '{hole}', {value}) AS u, replace(a, '{hole}', {value}) AS a FROM ({sql})"
+        sql = f"SELECT {key}, category, {given}, replace(u, '{hole}', {value}) AS u, replace(a, '{hole}', {value}) AS a FROM ({sql})"
     return f'SELECT {key}, category, u AS "user", a AS assistant FROM ({sql})'
 
 
+SLOTS = "c_name AS customer, c_mktsegment AS segment, n_name AS nation"
 ORDERS = f"""
-cand AS (SELECT o_orderkey AS candidate, {category('o_orderkey')} AS category, c_name AS customer_name
-         FROM orders JOIN customer ON c_custkey = o_custkey),
+cand AS (SELECT o_orderkey AS candidate, {category('o_orderkey')} AS category, {SLOTS}
+         FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey),
 filled AS MATERIALIZED ({filled('cand', 42)})"""
 
 
@@ -284,7 +290,8 @@ def answers(name, seed) -> str:
 
 
 CUSTOMERS = f"""
-cust AS (SELECT c_custkey AS example_id, {category('c_custkey')} AS category, c_name AS customer_name FROM customer),
+cust AS (SELECT c_custkey AS example_id, {category('c_custkey')} AS category, {SLOTS}
+         FROM customer JOIN nation ON n_nationkey = c_nationkey),
 {answers('ref', 42)}"""
 
 ORACLES["template_examples"] = f"WITH {ORDERS} SELECT * FROM filled"

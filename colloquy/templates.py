@@ -1,7 +1,8 @@
-"""Default templates and slot pools of the example generator.
+"""Default templates and slot pools of the example generator: cover for goods in trade.
 
 Both are plain parameters of the generator: pass your own to change domain or
-wording.  A pool is a list of values or a numbered range."""
+wording.  A pool is a list of values or a numbered range.  A candidate table that has a
+column named like a slot, say a customer or a nation, fills the slot from there."""
 
 from dataclasses import dataclass
 
@@ -19,85 +20,60 @@ class Numbered:
 
 
 POOLS = {
-    "customer_name": ["Ada Birch", "Ben Castle", "Cem Dere", "Dora Elm", "Eren Fidan", "Figen Gok", "Gus Hill", "Hana Irmak", "Ivo Juniper", "Jale Kaplan", "Kim Lake", "Lale Mavi"],
-    "policy_number": Numbered("PN-", 100_000, 200),
-    "claim_number": Numbered("CN-", 500_000, 200),
-    "policy_type": ["car cover", "health cover", "home cover", "life cover", "trip cover", "shop cover", "pet cover", "motorbike cover", "tenant cover", "excess cover"],
-    "coverage_amount": ["20,000 EUR", "40,000 EUR", "80,000 EUR", "120,000 EUR", "160,000 EUR", "240,000 EUR", "400,000 EUR", "600,000 EUR", "900,000 EUR"],
-    "deductible": ["200 EUR", "400 EUR", "600 EUR", "800 EUR", "1,200 EUR", "1,600 EUR", "2,400 EUR"],
-    "premium": ["60 EUR a month", "85 EUR a month", "110 EUR a month", "140 EUR a month", "180 EUR a month", "210 EUR a month", "400 EUR a quarter", "520 EUR a quarter", "850 EUR a half-year", "990 EUR a half-year", "1,500 EUR a year", "2,100 EUR a year"],
-    "vehicle": ["red hatchback", "blue saloon", "grey estate car", "white van", "black coupe", "green pickup", "silver minibus", "small electric car", "seven-seater", "convertible", "old jeep", "company car"],
-    "accident_type": ["rear bump", "side scrape", "car park dent", "hit and run", "hail strike", "stolen car", "broken mirror", "cracked screen", "slow-speed crash", "skid on ice", "pile-up", "collision with a post"],
-    "health_condition": ["yearly check-up", "dental filling", "eye test", "physio course", "specialist visit", "night in hospital", "small operation", "blood test", "repeat prescription", "counselling course"],
-    "property_type": ["detached house", "flat", "terraced house", "cottage", "two-family house", "holiday home"],
-    "property_damage": ["a burst pipe", "a kitchen fire", "storm damage", "a flooded cellar", "a lightning strike", "a fallen tree", "hail damage", "smoke stains", "cracks after a tremor", "mould"],
-    "payment_method": ["card", "bank transfer", "standing order", "the web portal", "the phone app", "cheque"],
-    "modification": ["add a second driver", "take a car off", "add full protection", "raise the liability limit", "add breakdown help", "change the deductible", "change the address", "add a beneficiary", "pay once a year", "add excess protection", "remove collision protection", "correct the car details"],
-    "greeting": ["Thank you for writing.", "Happy to help with this.", "Of course, I can look into it.", "Good that you ask, let me explain.", "I understand, and I am here to assist.", "Certainly, one moment please."],
-    "closing": ["Is there anything else you need?", "Please contact us again at any time.", "Let me know if something is unclear.", "We are glad to give further assistance.", "Do you have other questions?", "Can I help you with another matter?"],
-    "timeframe": ["within a day", "within three working days", "within a week", "within two weeks", "at once", "within two days"],
+    "customer": ["the trading house", "the wholesale branch", "the export desk", "the spare parts shop"],
+    "nation": ["ALGERIA", "BRAZIL", "CANADA", "EGYPT", "INDIA", "JAPAN", "KENYA", "PERU", "ROMANIA", "VIETNAM"],
+    "segment": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"],
+    "order": Numbered("SO-", 200_001, 5_000),
+    "part": ["anodized brass rods", "burnished copper plates", "polished steel gears", "plated nickel valves", "brushed tin sheets"],
+    "container": ["small case", "medium drum", "large box", "jumbo pallet", "wrapped bag", "steel can"],
+    "carrier": ["by air", "by rail", "by ship", "by truck", "by parcel post"],
+    "priority": ["urgent", "high", "medium", "low"],
+    "share": ["a tenth", "an eighth", "a fifth", "a quarter"],
+    "pieces": Numbered("", 12, 900),
 }
 
 # category -> list of (user, assistant)
 TEMPLATES = {
     "policy_inquiry": [
-        ("Which details do you hold for my {policy_type}, number {policy_number}?", "{greeting} Under number {policy_number} your {policy_type} has coverage of {coverage_amount} and a deductible of {deductible}; it costs {premium}. {closing}"),
-        ("How high is the limit of {policy_type} {policy_number}?", "{greeting} The limit of policy {policy_number} is {coverage_amount} per event, less a deductible of {deductible}. {closing}"),
-        ("Is {policy_type} {policy_number} still running?", "{greeting} Yes, policy {policy_number} is in force until its next renewal and the premium is {premium}. {closing}"),
-        ("What deductible applies to my {policy_type}?", "{greeting} For your {policy_type} the deductible is {deductible}. You carry that part of each loss, the policy carries the rest up to its limit. {closing}"),
-        ("On which date is {policy_type} {policy_number} renewed?", "{greeting} The renewal of {policy_number} comes with the next billing round at {premium}, and you get a letter {timeframe}. {closing}"),
-        ("Please list what belongs to my {policy_type}.", "{greeting} Your {policy_type} includes liability, legal help and benefit payments up to {coverage_amount}, with {deductible} deductible per case. {closing}"),
-        ("How much do I pay per visit under my {policy_type}?", "{greeting} The terms of your {policy_type} set {deductible} per visit. Specialists may differ, as the policy summary shows. {closing}"),
-        ("Whose name is on policy {policy_number}?", "{greeting} The insured person on policy {policy_number} is {customer_name}. A change needs a valid identity card. {closing}"),
-        ("Does my new {policy_type} start with a waiting time?", "{greeting} Yes, a {policy_type} policy usually waits one month for known conditions; after that the full coverage of {coverage_amount} holds. {closing}"),
-        ("Could {policy_type} {policy_number} become cheaper?", "{greeting} A second policy or years without claims lower the premium, today {premium} for {policy_number}. I can work out an offer. {closing}"),
+        ("Order {order} leaves for {nation} {carrier}. Am I insured from the factory gate on?", "Let me check. The terms of your policy name order {order}: coverage begins at the gate and ends in the warehouse in {nation}."),
+        ("We work in {segment}. Is there an upper limit for one {container} of {part}?", "Thank you for the question. In {segment} the limit holds for each {container}, and {share} of its worth is the deductible. Contact us for the full terms."),
+        ("Can {customer} see the certificate of {order} online?", "Of course. The certificate lists the insured goods, the coverage and the renewal month. I can mail it to {customer} as well. Is there anything else?"),
+        ("What does a {priority} order such as {order} change in my policy?", "Nothing in its terms: {priority} handling moves the goods sooner, the benefit and the premium stay as agreed."),
+        ("How long before the end must I ask for a renewal of the cover to {nation}?", "Certainly before the last month. A renewal for {nation} keeps the limit of the running policy, and I can start it for you. Do you have other questions?"),
+        ("Do {part} packed in a {container} count as fragile goods?", "By the terms they do not. Only glass and instruments carry the higher deductible; {part} travel under the normal coverage."),
     ],
     "claim_processing": [
-        ("My {vehicle} had a {accident_type}. How do I report it?", "{greeting} Sorry about the {accident_type}. File the claim in the portal with photos of the {vehicle}; an adjuster calls you {timeframe}. {closing}"),
-        ("How far along is claim {claim_number}?", "{greeting} The status of claim {claim_number} is under review. The adjuster has your documents and writes {timeframe}. {closing}"),
-        ("Which papers does a {policy_type} claim after a {accident_type} need?", "{greeting} For a {accident_type} please submit the claim form, photos as evidence, a repair estimate and policy number {policy_number}. {closing}"),
-        ("When will claim {claim_number} for a {accident_type} be settled?", "{greeting} We process most {policy_type} claims in two weeks once every document is here, {claim_number} included. {closing}"),
-        ("Claim {claim_number} was turned down. What was the reason?", "{greeting} I understand this is unpleasant. A claim like {claim_number} lacks approval when evidence is missing or the event is outside the policy; you may object. {closing}"),
-        ("I am standing at the scene of a {accident_type}. What now?", "{greeting} Please make sure everyone is safe, then photograph the {accident_type} and file an urgent claim by phone. {closing}"),
-        ("How do I hand in the bill for a {health_condition}?", "{greeting} For a {health_condition} under your {policy_type}, submit the bill and the referral; we process it {timeframe}. {closing}"),
-        ("When is the money for claim {claim_number} paid?", "{greeting} After approval of {claim_number} we pay {timeframe} by {payment_method}, less {deductible}. {closing}"),
-        ("There is {property_damage} in my {property_type}. What should I do?", "{greeting} Please document the {property_damage}, keep the {property_type} safe from more harm and file your {policy_type} claim with number {policy_number}; an adjuster comes {timeframe}. {closing}"),
-        ("I found more damage that belongs to claim {claim_number}.", "{greeting} Submit the new photos under claim {claim_number}; the adjuster adds them to the file and the status changes to extended. {closing}"),
+        ("{pieces} {part} of order {order} came out of the {container} bent. What next?", "I understand. Please submit a photo of each damaged piece and the delivery document of {order}, then an adjuster opens the claim. Let me know if the forwarder already signed."),
+        ("Order {order} never reached {nation}. Do I report a loss now or later?", "You can file it now. As soon as the carrier confirms in writing, the status of {order} turns to lost and we process the payment."),
+        ("The truck with {order} was broken into. {customer} has a police paper, is that enough?", "It is good evidence. Submit it together with the list of missing {part}; the adjuster needs nothing more for an approval."),
+        ("Sea water got into a {container} of {order}; the goods go on tomorrow. Can you hurry?", "Certainly. For a {priority} case I can send an adjuster to the quay today, and the file stays open until the goods are dry. Please keep the {container} as evidence."),
+        ("Somebody counted {pieces} pieces too few in {order}. Whose fault is it?", "That is what the process is for: the packing document of {order} against the count on arrival. Send both and your claim gets its status within the week."),
+        ("My forwarder offers {share} for {order}. Should I take it?", "Please wait with it. A settlement before our approval may close the claim on {order}; I can talk to the forwarder for you. Do not hesitate to call."),
+        ("Customs in {nation} opened {order} and the {part} got rusty. Is it too late to file?", "It is not. File the customs document within a month; the adjuster treats {order} like any other claim."),
     ],
     "coverage_questions": [
-        ("Would my {policy_type} pay for a {accident_type}?", "{greeting} Yes, a {accident_type} is covered under comprehensive protection up to {coverage_amount}, after {deductible} deductible. {closing}"),
-        ("Are scratches on my {vehicle} part of my {policy_type}?", "{greeting} Scratches alone are not covered; after a covered collision your {policy_type} repairs the {vehicle} up to {coverage_amount}. {closing}"),
-        ("Does my {policy_type} hold abroad?", "{greeting} Coverage abroad is limited to emergencies up to {coverage_amount}; a trip policy adds the rest. {closing}"),
-        ("Is my {policy_type} good for floods and earthquakes?", "{greeting} Storms are covered, floods and earthquakes we exclude unless your {policy_type} has the extra protection. The limit is {coverage_amount}. {closing}"),
-        ("Do I get a hire car while my {vehicle} is repaired?", "{greeting} With the hire option your {policy_type} pays a replacement for the {vehicle} for up to a month after a covered event. {closing}"),
-        ("What is the liability part of my {policy_type} for?", "{greeting} Liability pays for harm you cause to others up to {coverage_amount}; your own harm falls under collision protection. {closing}"),
-        ("Is my desk at home protected by my {policy_type}?", "{greeting} A {policy_type} has a small coverage for work tools at home; more protection is possible up to {coverage_amount}. {closing}"),
-        ("Is an old illness covered by my {policy_type}?", "{greeting} That depends on the start of your {policy_type}; after the waiting time the benefit reaches {coverage_amount}. {closing}"),
-        ("Who pays under my {policy_type} if the other driver has no cover?", "{greeting} With the extra liability protection your own policy pays up to {coverage_amount} less {deductible}. {closing}"),
-        ("Does my {policy_type} answer for what my dog breaks?", "{greeting} Some liability coverage for pets is in your {policy_type}, up to {coverage_amount}; a few breeds we exclude. {closing}"),
+        ("Are strikes in the harbours of {nation} covered when goods go {carrier}?", "Delay alone is something we exclude. What spoils because of a strike is covered, and the protection lasts until the goods move on {carrier}. Happy to help with details."),
+        ("{part} scratch easily. Does the cover for {segment} pay for new paint?", "Comprehensive protection for {segment} pays for paint up to {share} of the value; the basic form does not."),
+        ("If our {container} falls on a dock worker in {nation}, who pays?", "That is liability, and your coverage for {nation} has it as a benefit of its own. Please tell us on the same day. Anything else?"),
+        ("A collision of two trains, {pieces} pieces gone. Would goods sent {carrier} be covered?", "Yes. A collision is covered on every route, {carrier} included; the carrier's own liability is settled later without you."),
+        ("Does the store of {customer} have protection against vermin?", "We exclude vermin for food and cover it for {part}. Let me add the store to your policy if it stands in {nation}."),
     ],
     "premium_billing": [
-        ("What do I pay for {policy_type} {policy_number} at present?", "{greeting} The premium of {policy_number} is {premium} for {coverage_amount} with {deductible} deductible; the next payment is due on the first. {closing}"),
-        ("In which ways can I pay my bill?", "{greeting} Payment works by card, transfer, standing order and in the portal; your premium is {premium}. {closing}"),
-        ("I forgot the last payment for {policy_number}. Is that a problem?", "{greeting} Policy {policy_number} allows a month of delay. Please send the payment of {premium} before the due date runs out. {closing}"),
-        ("For what reason did the price of my {policy_type} rise?", "{greeting} The rate follows claims and repair prices; your premium is now {premium}. I can look for a discount. {closing}"),
-        ("May I pay my {policy_type} once a year?", "{greeting} Yes, a yearly payment lowers the premium from {premium} by some percent and starts with the next billing. {closing}"),
-        ("How is an automatic payment for my {policy_type} set up?", "{greeting} In the portal choose automatic payment and enter {payment_method}; the {premium} is then collected when due. {closing}"),
-        ("I paid too much for my {policy_type}. Do I get it back?", "{greeting} We return the surplus of {policy_number} {timeframe} or set it against the next premium. {closing}"),
-        ("Is there a discount if I add a policy to my {policy_type}?", "{greeting} Two policies together earn a discount on your {premium} at the next renewal. {closing}"),
-        ("I sent {premium} yesterday and see no receipt.", "{greeting} A payment by {payment_method} shows up in two days; the invoice of {policy_number} is then marked as paid. {closing}"),
-        ("Money is short and my {policy_type} is due. What can I do?", "{greeting} I understand. An installment plan, a lower coverage or a later due date all reduce {premium} for now. {closing}"),
+        ("Why does the invoice for {nation} list {pieces} units twice?", "I understand the worry. One line is the payment for the journey, the other the store; the premium counts each unit once. Contact us if it still looks odd."),
+        ("{customer} wants one bill a quarter for all goods sent {carrier}.", "Certainly. Billing by quarter is free, and the due date is the tenth. Please confirm it in the portal."),
+        ("Is there a discount for {segment} when {share} of the goods stay at home?", "There is. Goods that stay at home lower the rate, so the premium for {segment} falls by {share} of the difference."),
+        ("The payment for {order} went out in the wrong currency.", "Thank you for the note. We return it and send a new invoice for {order}; nothing is due until then. Other questions?"),
+        ("Can the premium for {order} be split into parts?", "Of course. An installment plan of up to six parts fits {order}; the first payment starts the cover."),
+        ("Why is a {container} to {nation} dearer than last spring?", "The rate for {nation} follows the losses of the year. I can show you how a tighter {container} would lower the premium."),
+        ("Which reference do I write on the payment for {pieces} units of {part}?", "Please write the order code. Automatic payment needs no reference at all, and the receipt comes by mail."),
+        ("{order} was called off. Do we still owe the premium?", "No. What has not travelled costs nothing, so the invoice of {order} is void. Let me send you the credit note."),
     ],
     "policy_modifications": [
-        ("Please {modification} on {policy_type} {policy_number}.", "{greeting} I can {modification} on policy {policy_number}; the change may adjust the premium of {premium}. {closing}"),
-        ("I wish to end {policy_type} {policy_number}.", "{greeting} We can cancel {policy_number} and return the unused part; a fee may apply under your {policy_type} terms. {closing}"),
-        ("My address for {policy_type} is no longer right.", "{greeting} I update the address on {policy_number} {timeframe}; the premium of {premium} may change with the place. {closing}"),
-        ("My partner should drive too under my {policy_type}.", "{greeting} To add a driver to {policy_number} I need the name, the birth date and the licence; we then adjust {premium}. {closing}"),
-        ("I bought a {vehicle}. Can it join my policy?", "{greeting} Nice choice. To add the {vehicle} to {policy_number} please send the papers and where it is parked. {closing}"),
-        ("Raise my {policy_type} above {coverage_amount}, please.", "{greeting} I can modify the limit of {policy_number} from {coverage_amount}, with {deductible} deductible; the premium moves up from {premium}. {closing}"),
-        ("Can the comprehensive part leave my {policy_type}?", "{greeting} We can remove it from {policy_number}; then a {accident_type} is not paid and {premium} goes down. {closing}"),
-        ("A deductible above {deductible} would suit me better.", "{greeting} A higher deductible on your {policy_type} means a lower premium than {premium}; I can update it for you. {closing}"),
-        ("Someone else should be the beneficiary of my {policy_type}.", "{greeting} To change the beneficiary of {policy_number} send the name and birth date; we transfer the right {timeframe}. {closing}"),
-        ("My {policy_type} lapsed. Can you bring it back?", "{greeting} Within a month we update {policy_number} after a payment of {premium}; later a new check is needed. {closing}"),
+        ("From next month {part} go {carrier} instead. Please change our papers.", "Happy to help. I update the route to {carrier}; the change holds for every order you announce from then on."),
+        ("Please add a second store in {nation} for {segment}.", "I can add it today. The store in {nation} gets the terms of {segment}, and an inspector may visit. Is there anything else?"),
+        ("{customer} sold its business. Can order {order} keep its cover?", "It can: we transfer the cover of {order} to the buyer when both sides sign. Please send us the deed."),
+        ("Take the {container} out of the list, we use pallets now.", "Certainly. I remove the {container} and adjust the rate by {share}; you find the new list in the portal."),
+        ("We only ship {pieces} units a month now. Lower the agreed volume, please.", "I can modify the volume to {pieces} units. The change lowers the advance payment from the next quarter on. Let me know about further plans."),
+        ("Cancel everything for {nation}, we left that market.", "I understand. We cancel the cover for {nation} at the end of the month; orders on their way, such as {order}, arrive insured."),
     ],
 }
