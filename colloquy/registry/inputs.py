@@ -91,12 +91,16 @@ def completions(spark, folder):
 
 
 def choice_scores(spark, folder):
-    """Embedding elements 1-4 as one model's scores, 5-8 as the other's."""
+    """The first half of an embedding as one model's scores, the second as the other's: a
+    choice scores the largest of its eight elements."""
     vectors = table(spark, folder, "embeddings")
+    scores = lambda first: F.array(
+        *[F.array_max(F.slice("embedding", first + 8 * i, 8)) for i in range(4)]
+    ).alias("scores")
     models = F.explode(
         F.array(
-            F.struct(F.lit("baseline").alias("model"), F.slice("embedding", 1, 4).alias("scores")),
-            F.struct(F.lit("finetuned").alias("model"), F.slice("embedding", 5, 4).alias("scores")),
+            F.struct(F.lit("baseline").alias("model"), scores(1)),
+            F.struct(F.lit("finetuned").alias("model"), scores(33)),
         )
     )
     return vectors.select(F.col("vec_id").alias("question_id"), models.alias("m")).select(

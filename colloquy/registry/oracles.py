@@ -195,7 +195,7 @@ SELECT 'original_count' AS stage, count(*) AS n FROM docs
 UNION ALL SELECT 'after_pii_masking', count(*) FROM clean
 UNION ALL SELECT 'after_deduplication', count(*) FROM uniq
 UNION ALL SELECT 'after_quality_filtering', count(*) FROM kept"""
-ORACLES["clean_examples"] = f"""WITH RECURSIVE {CLEAN} SELECT example_id, "user", category FROM kept"""
+ORACLES["clean_examples"] = f"""WITH RECURSIVE {CLEAN} SELECT example_id, "user", assistant, category FROM kept"""
 ORACLES["retention_rate"] = f"""WITH {DOCS},
 mu AS MATERIALIZED ({masked_steps('docs', '"user"', 'example_id')}),
 ma AS MATERIALIZED ({masked_steps('docs', 'assistant', 'example_id')}),
@@ -449,7 +449,7 @@ ORACLES["self_eval"] = f"""WITH RECURSIVE {CUSTOMERS}, {scored("SELECT example_i
 SELECT {means(ALL_SCORES)}, count(*) AS num_examples FROM sc"""
 CONSTANT = scored(f"SELECT example_id AS id, category, {lit(fixed.GENERIC_ANSWER)} AS pt, assistant AS rt FROM ref")
 ORACLES["constant_baseline"] = f"""WITH RECURSIVE {CUSTOMERS}, {CONSTANT}
-SELECT category, CASE WHEN grouping(category) = 1 THEN 'overall' ELSE 'category' END AS level, {means(FEW_SCORES)}, count(*) AS num_examples
+SELECT category, CASE WHEN grouping(category) = 1 THEN 'overall' ELSE 'category' END AS level, {means(ALL_SCORES)}, count(*) AS num_examples
 FROM sc GROUP BY ROLLUP (category)"""
 ORACLES["json_document"] = ORACLES["constant_baseline"]
 COMPARED = f"""{TWO}, {answers('tuned', 44)},
@@ -459,7 +459,7 @@ cmp AS MATERIALIZED (SELECT ref.example_id, ref."user", ref.category, ref.assist
   FROM ref LEFT JOIN pred USING (example_id) LEFT JOIN tuned USING (example_id))"""
 ORACLES["before_after_rows"] = f"WITH {COMPARED} SELECT * FROM cmp"
 ORACLES["first_comparisons"] = f"WITH {COMPARED} SELECT * FROM cmp ORDER BY example_id LIMIT 5"
-ORACLES["prediction_store"] = f"WITH {COMPARED} SELECT example_id, category, baseline_response, finetuned_response FROM cmp"
+ORACLES["prediction_store"] = f"WITH {COMPARED} SELECT * FROM cmp"
 BOTH = scored("""SELECT example_id * 2 AS id, category, baseline_response AS pt, reference AS rt FROM cmp
   UNION ALL SELECT example_id * 2 + 1, category, finetuned_response, reference FROM cmp""")
 ORACLES["before_after"] = f"WITH RECURSIVE {COMPARED}, {BOTH}, " + f"""
@@ -479,9 +479,14 @@ SELECT c_custkey AS question_id, 'Question: Which nation is ' || c_name || ' fro
 FROM customer """ + " ".join(
     f"JOIN nation n{i} ON n{i}.n_nationkey = ((c_nationkey + ({i} - c_custkey % 4) * 6) % 25 + 25) % 25" for i in range(4)
 )
-SCORES = """
-sc AS (SELECT 'baseline' AS model, vec_id AS question_id, label, embedding[1:4] AS s FROM embeddings
-       UNION ALL SELECT 'finetuned', vec_id, label, embedding[5:8] FROM embeddings),
+def choice_list(first) -> str:
+    starts = range(first, first + 32, 8)
+    return "[" + ", ".join(f"list_max(embedding[{s}:{s + 7}])" for s in starts) + "]"
+
+
+SCORES = f"""
+sc AS (SELECT 'baseline' AS model, vec_id AS question_id, label, {choice_list(1)} AS s FROM embeddings
+       UNION ALL SELECT 'finetuned', vec_id, label, {choice_list(33)} FROM embeddings),
 pr AS (SELECT model, question_id, label, (list_position(s, list_max(s)) - 1)::INT AS predicted FROM sc),
 de AS (SELECT model, question_id, ['A','B','C','D'][predicted + 1] AS predicted, ['A','B','C','D'][label % 4 + 1] AS correct_answer,
        predicted = label % 4 AS is_correct, label::VARCHAR AS category FROM pr),
@@ -544,9 +549,9 @@ SELECT model, hour(ts)::INT AS hour, count(*) AS requests, sum(prompt_tokens)::B
 EXAMPLES = """SELECT example_id, "user", assistant, category, 'conversation' AS source FROM pairs"""
 ORACLES["csv_round_trip"] = f"WITH {PAIRS} {EXAMPLES}"
 ORACLES["json_round_trip"] = f"WITH {PAIRS} {EXAMPLES}"
-ORACLES["json_directory"] = f"""WITH {PAIRS} SELECT example_id, "user" FROM pairs"""
+ORACLES["json_directory"] = f"""WITH {PAIRS} SELECT example_id, "user", assistant, category, 'conversation' AS source FROM pairs"""
 SPLIT = f"{PAIRS}, s AS (SELECT * FROM {split_of('pairs', 'example_id')})"
 ORACLES["split_store"] = f"""WITH {SPLIT} SELECT example_id, "user", {CHAT} AS text, category FROM s WHERE split = 'train'"""
-ORACLES["formatted_copy"] = f"""WITH {SPLIT} SELECT example_id, {CHAT} AS text, category FROM s WHERE split = 'test'"""
+ORACLES["formatted_copy"] = f"""WITH {SPLIT} SELECT split, example_id, {CHAT} AS text, category FROM s"""
 ORACLES["training_text"] = ORACLES["text_records"]
 ORACLES["preference_store"] = f"SELECT prompt, chosen, rejected FROM ({ORACLES['preference_pairs']})"

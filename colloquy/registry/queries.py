@@ -142,7 +142,9 @@ def clean_funnel(spark, folder):
 
 @query
 def clean_examples(spark, folder):
-    return cleaning.clean(I.document_examples(spark, folder), min_quality=0.9).examples.select("example_id", "user", "category")
+    return cleaning.clean(I.document_examples(spark, folder), min_quality=0.9).examples.select(
+        "example_id", "user", "assistant", "category"
+    )
 
 
 @query
@@ -280,7 +282,7 @@ def self_eval(spark, folder):
 @query
 def constant_baseline(spark, folder):
     rows = taskmetrics.constant_baseline(I.reference_answers(spark, folder))
-    return rounded(taskmetrics.all_metrics(rows).drop("rouge_1", "rouge_2"), *taskmetrics.BY_CATEGORY)
+    return rounded(taskmetrics.all_metrics(rows), *taskmetrics.OVERALL)
 
 
 def _compared(spark, folder):
@@ -457,7 +459,7 @@ def json_round_trip(spark, folder):
 def json_document(spark, folder):
     path = scratch(spark, "report")
     rows = taskmetrics.all_metrics(taskmetrics.constant_baseline(I.reference_answers(spark, folder)))
-    rows = rounded(rows.drop("rouge_1", "rouge_2"), *taskmetrics.BY_CATEGORY)
+    rows = rounded(rows, *taskmetrics.OVERALL)
     files.write_report(rows, path)
     return files.read_report(spark, path, rows.schema)
 
@@ -467,7 +469,7 @@ def json_directory(spark, folder):
     path = scratch(spark, "folder")
     files.write_json(_examples(spark, folder), path)
     read = files.read_directory(spark, path, schemas.EXAMPLES, "part-*.json", is_jsonl=True)
-    return read.select("example_id", "user")
+    return read.select(*schemas.EXAMPLES.names)
 
 
 @query
@@ -481,7 +483,9 @@ def split_store(spark, folder):
 def formatted_copy(spark, folder):
     stored, target = scratch(spark, "splits"), scratch(spark, "formatted")
     files.write_splits(split.exact_split(_examples(spark, folder)), stored)
-    files.write_formatted_copy(spark, stored, "test", target)
+    for name in ("train", "validation", "test"):
+        files.write_formatted_copy(spark, stored, name, f"{target}/split={name}")
+    # The folder names give the split column.
     return files.read_json(spark, target, schemas.TEXT_RECORDS, is_jsonl=True)
 
 
@@ -503,5 +507,8 @@ def preference_store(spark, folder):
 def prediction_store(spark, folder):
     path = scratch(spark, "predictions")
     files.write_json(_compared(spark, folder), path)
-    schema = "example_id long, category string, baseline_response string, finetuned_response string"
+    schema = (
+        "example_id long, user string, category string, reference string, "
+        "baseline_response string, finetuned_response string"
+    )
     return spark.read.schema(schema).json(path)
