@@ -25,7 +25,7 @@ SCHEDULES = (
     ((0.0, 0.5), (0.5, 1.0), (1.0, 1.5)),
 )
 #: A source's stream is summed in so many ranges of its shuffled order.
-RANGE_BITS = 12
+RANGE_BITS = 16
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, budget=BUDGET, most=MOST) -> DataFrame:
@@ -71,10 +71,10 @@ def schedule_time(share: Column, knots) -> Column:
 
 def mixed(
     df: DataFrame, keep: list[str], key: str = "doc_id", text: str = "text", source: str = "source",
-    seed: int = 6, weights=WEIGHTS, schedules=SCHEDULES, budget=BUDGET, most=MOST, ordered: bool = True,
+    seed: int = 6, weights=WEIGHTS, schedules=SCHEDULES, budget=BUDGET, most=MOST,
 ) -> DataFrame:
     """The ``keep`` columns and ``size, source_size, target, taken, copies, position, position2``,
-    in the order of ``position`` if ``ordered``.
+    in the order of ``position``.
 
     ``copies`` is how often the mix takes the document (0 to ``most``, here at most 2), ``taken``
     its words so taken, ``position`` and ``position2`` the training times of the copies (null:
@@ -83,31 +83,50 @@ def mixed(
     own.  A source's running sum is taken over ranges of the order and then inside each
     range, so that a source with most rows is spread like any other.  An empty table gives an
     empty result."""
-    name = lambda c: f"__{c}"
-    base = settle(
-        df.select(
-            *[F.col(c).alias(name(c)) for c in keep],
-            F.col(source).alias("source"),
-            word_count(F.col(text)).alias("size"),
-            F.xxhash64(F.lit(seed), F.col(key)).alias("h"),
-            F.col(key).alias("k"),
-        ).withColumn("range", F.shiftright("h", 64 - RANGE_BITS)),
-        "mix",
+    base = settle(_stream(df, keep, key, text, source, seed), "mix")
+    out = _placed(base, weights, schedules, budget, most).select(
+        *[F.col(_own(c)).alias(c) for c in keep],
+        "size", "source_size", "target",
+        (F.col("size") * F.col("copies")).alias("taken"),
+        "copies", "position", "position2",
     )
-    ranges = base.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
-    so_far = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ranges.select(
-        F.col("source").alias("s"), F.col("range").alias("r"),
-        F.coalesce(F.sum("range_size").over(so_far), F.lit(0)).alias("from"),
-    )
-    targets = source_targets(
-        base.groupBy("source").agg(F.sum("size").alias("source_size")), weights, budget, most
-    ).withColumnRenamed("source", "t")
-    inside = Window.partitionBy("source", "range").orderBy("h", "k", "size").rowsBetween(Window.unboundedPreceding, -1)
+    return out.orderBy(F.col("position").asc_nulls_last(), *keep)
+
+
+def _own(column: str) -> str:
+    return f"__{column}"
+
+
+def _stream(df: DataFrame, keep: list[str], key: str, text: str, source: str, seed: int) -> DataFrame:
+    """The rows with their source, size and place in the shuffled order.  The source is in a struct, so that
+    a null source equals itself."""
+    return df.select(
+        *[F.col(c).alias(_own(c)) for c in keep],
+        F.struct(F.col(source).alias("source")).alias("of"),
+        word_count(F.col(text)).alias("size"),
+        F.xxhash64(F.lit(seed), F.col(key)).alias("h"),
+        F.col(key).alias("k"),
+        F.xxhash64(text).alias("tie"),
+    ).withColumn("range", F.shiftright("h", 64 - RANGE_BITS))
+
+
+def _placed(base: DataFrame, weights, schedules, budget, most) -> DataFrame:
+    """``base`` with ``size, source_size, target, copies, position, position2``.
+
+    All that is known of a source goes into the table of its ranges first, so that rows are joined once, on the
+    columns by which the running sum has already dealt them out."""
+    ranges = settle(base.groupBy("of", "range").agg(F.sum("size").alias("range_size")), "mix-ranges")
+    so_far = Window.partitionBy("of").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranges.groupBy("of").agg(F.sum("range_size").alias("source_size"))
+    targets = source_targets(sizes.select("of.source", "source_size"), weights, budget, most)
+    targets = targets.withColumn("of", F.struct("source")).drop("source")
+    ranges = ranges.withColumn("from", F.coalesce(F.sum("range_size").over(so_far), F.lit(0)))
+    ranges = ranges.join(targets, "of").drop("range_size")
+    order = Window.partitionBy("of", "range").orderBy("h", "k", "size", "tie")
+    inside = order.rowsBetween(Window.unboundedPreceding, -1)
     rows = (
         base.withColumn("in_range", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-        .join(ranges, F.col("source").eqNullSafe(F.col("s")) & (F.col("range") == F.col("r")))
-        .join(targets, F.col("source").eqNullSafe(F.col("t")))
+        .join(ranges, ["of", "range"])
         .withColumn("middle", F.col("from") + F.col("in_range") + F.col("size") / 2)
     )
     second = F.col("middle") + F.col("source_size")
@@ -115,30 +134,26 @@ def mixed(
     when = lambda at: F.coalesce(
         *[F.when(F.col("kind") == i, schedule_time(at / F.col("target"), k)) for i, k in enumerate(schedules)]
     )
-    out = (
-        rows.withColumn("copies", copies).select(
-            *[F.col(name(c)).alias(c) for c in keep],
-            "size", "source_size", "target",
-            (F.col("size") * F.col("copies")).alias("taken"),
-            "copies",
-            F.when(F.col("copies") > 0, when(F.col("middle"))).alias("position"),
-            F.when(F.col("copies") > 1, when(second)).alias("position2"),
-        )
+    return rows.withColumn("copies", copies).withColumns(
+        {
+            "position": F.when(F.col("copies") > 0, when(F.col("middle"))),
+            "position2": F.when(F.col("copies") > 1, when(second)),
+        }
     )
-    return out.orderBy(F.col("position").asc_nulls_last(), *keep) if ordered else out
 
 
-def in_training_order(df: DataFrame, **options) -> DataFrame:
-    """All columns of ``df``, each row as often as the mix takes it, sorted by training position.
+def in_training_order(
+    df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: int = 6,
+    weights=WEIGHTS, schedules=SCHEDULES, budget=BUDGET, most=MOST,
+) -> DataFrame:
+    """All columns of ``df``, each row as often as the mix takes it, sorted by training position; the cases
+    are those of ``mixed``.
 
-    Rows get a number in a stored copy; the mix works on numbers and sizes, so that texts
-    move only in the last join and in the sort."""
-    stored = settle(df.withColumn("__row", F.monotonically_increasing_id()), "mix-rows")
-    mix = mixed(stored, ["__row"], **options, ordered=False)
+    ``df`` is read twice, for the sizes and for the rows, so it had best be a stored table.  Texts move with the
+    running sum and with the sort; no further copy of them is written."""
+    base = _stream(df, df.columns, key, text, source, seed)
+    rows = _placed(base, weights, schedules, budget, most)
     times = F.filter(F.array("position", "position2"), lambda t: t.isNotNull())
-    return (
-        mix.select("__row", F.explode(times).alias("__time"))
-        .join(stored, "__row")
-        .orderBy("__time", "__row")
-        .select(*df.columns)
-    )
+    own = [F.col(_own(c)).alias(c) for c in df.columns]
+    taken = rows.select(*[_own(c) for c in df.columns], "k", "tie", F.explode(times).alias("time"))
+    return taken.orderBy("time", "k", "tie").select(*own)

@@ -145,6 +145,24 @@ def test_training_order_repeats_rows(documents):
     assert abs(got.count() - 90) <= 2
 
 
+def test_training_order_agrees_with_the_mix(documents):
+    """Clashing columns, null and repeated rows: copies and order are those of ``mixed``."""
+    rows = [(i, f"{i} " * (1 + i % 7), ["a", "b", None][i % 3]) for i in range(90)]
+    rows += [(5, "x y", "a")] * 3 + [(None, "z", None), (None, None, "c"), (7, "", "b")]
+    clash = {c: F.lit(0) for c in ("of", "range", "h", "k", "tie", "position", "target", "time")}
+    docs = documents(rows).withColumns(clash)
+    got = [r.doc_id for r in curriculum.in_training_order(docs).collect()]
+    mix = curriculum.mixed(docs, ["doc_id"]).collect()
+    times = sorted(t for r in mix for t in (r.position, r.position2) if t is not None)
+    assert len(got) == len(times)
+    assert collections.Counter(got) == collections.Counter(r.doc_id for r in mix for _ in range(r.copies))
+    at = collections.defaultdict(set)
+    for r in mix:
+        at[r.doc_id] |= {r.position, r.position2}
+    assert all(t in at[i] for i, t in zip(got, times))
+    assert curriculum.in_training_order(docs.limit(0)).count() == 0
+
+
 def test_urls_parse_and_rules_fit(spark):
     rules = [url_boost.UrlRule("allow", "com/"), url_boost.UrlRule("block", "a.com/x/")]
     urls = {
