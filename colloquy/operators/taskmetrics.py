@@ -13,16 +13,10 @@ BY_CATEGORY = ["rouge_l", "bleu", "keyword_coverage", "format_compliance"]
 
 
 def align(predictions: DataFrame, references: DataFrame, key: str = "example_id") -> DataFrame:
-    """Join both sides on the key; any key without its partner is an error."""
-    lost = (
-        predictions.select(key, F.lit(1).alias("p"))
-        .join(references.select(key, F.lit(1).alias("r")), key, "full")
-        .where(F.col("p").isNull() | F.col("r").isNull())
-    )
-    missing = lost.count()
-    if missing:
-        raise ValueError(f"{missing} rows have a prediction or a reference only")
-    return references.join(predictions, key)
+    """Join both sides on the key; any key without its partner fails the job that reads the rows."""
+    both = references.withColumn("_r", F.lit(True)).join(predictions.withColumn("_p", F.lit(True)), key, "full")
+    lost = F.raise_error(F.lit("a row has a prediction or a reference only"))
+    return both.where(F.when(F.col("_r") & F.col("_p"), F.lit(True)).otherwise(lost)).drop("_r", "_p")
 
 
 def row_metrics(df: DataFrame) -> DataFrame:

@@ -7,7 +7,10 @@ from pyspark.sql import SparkSession
 
 def build_session(app="colloquy", master=None, partitions=None, memory=None):
     """A session with adaptive execution on.  ``master`` is only for local runs;
-    on a cluster everything but the adaptive switches comes from the submitter."""
+    on a cluster everything but the adaptive switches comes from the submitter.
+
+    ``partitions`` is the number of shuffle partitions; on a cluster adaptive execution starts from it and merges
+    small ones, so give the largest shuffle over the memory of a task: it never splits more."""
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
@@ -23,4 +26,6 @@ def build_session(app="colloquy", master=None, partitions=None, memory=None):
             .config("spark.sql.shuffle.partitions", str(partitions or os.cpu_count()))
             .config("spark.driver.memory", memory or "8g")
         )
+    elif partitions:
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
     return builder.getOrCreate()

@@ -1,7 +1,5 @@
 """Readers and writers of example tables."""
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,20 +59,14 @@ def write_parquet(df: DataFrame, path: str, mode: str = "error") -> None:
     df.write.mode(mode).parquet(path)
 
 
-REPORT_ROWS = 10_000
-
-
-def write_report(df: DataFrame, path: str, max_rows: int = REPORT_ROWS) -> None:
-    """A small report as one indented JSON document; larger tables are refused and
-    belong in ``write_json``."""
-    rows = df.limit(max_rows + 1).toJSON().collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"a report holds at most {max_rows} rows")
-    body = json.dumps([json.loads(r) for r in rows], indent=2, ensure_ascii=False)
-    # ``wholetext`` keeps the document in one file, through Spark's own file systems.
-    df.sparkSession.createDataFrame([(body,)], "value string").coalesce(1).write.mode("overwrite").option(
-        "lineSep", "\n"
-    ).text(path)
+def write_report(df: DataFrame, path: str) -> None:
+    """A result of few rows by its nature (means, summaries) as one indented JSON document, its rows in
+    order.  A document is one value, so tables that grow with the data belong in ``write_json``."""
+    place = F.monotonically_increasing_id().alias("place")
+    text = F.to_json(F.struct(*df.columns), {"pretty": "true"}).alias("json")
+    rows = df.select(F.struct(place, text).alias("row")).agg(F.sort_array(F.collect_list("row"))["json"].alias("rows"))
+    body = F.concat(F.lit("[\n"), F.array_join("rows", ",\n"), F.lit("\n]"))
+    rows.select(body.alias("value")).write.mode("overwrite").text(path)
 
 
 def read_report(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -52,12 +52,15 @@ def test_json_documents_and_directory(spark, folder):
         files.read_csv(spark, f"{folder}/missing.csv", schemas.EXAMPLES).collect()
 
 
-def test_report_is_one_document_and_bounded(spark, folder):
+def test_report_is_one_document_in_order(spark, folder):
     df = spark.createDataFrame([("é", 1.5)], "name string, value double")
     files.write_report(df, f"{folder}/r")
     assert files.read_report(spark, f"{folder}/r", df.schema).collect() == df.collect()
-    with pytest.raises(ValueError):
-        files.write_report(spark.range(20).toDF("x"), f"{folder}/big", max_rows=10)
+    long = spark.range(12_000).selectExpr("id", "id % 7 AS x").repartition(5).orderBy("id")
+    files.write_report(long, f"{folder}/long")
+    assert files.read_report(spark, f"{folder}/long", long.schema).collect() == long.collect()
+    files.write_report(df.limit(0), f"{folder}/none")
+    assert files.read_report(spark, f"{folder}/none", df.schema).count() == 0
 
 
 def test_preparation_run(spark, folder):

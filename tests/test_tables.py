@@ -180,8 +180,12 @@ def test_hybrid_falls_back_or_takes_second_producer(spark):
 
 def test_alignment_and_self_evaluation(spark):
     refs = spark.createDataFrame([(1, "a b c d"), (2, "b c d e")], "example_id long, reference string")
-    with pytest.raises(ValueError):
-        taskmetrics.align(refs.where("example_id = 1").withColumnRenamed("reference", "prediction"), refs)
+    predictions = refs.withColumnRenamed("reference", "prediction")
+    for some, all_ in ((predictions.where("example_id = 1"), refs), (predictions, refs.where("example_id = 2"))):
+        with pytest.raises(Exception, match="a prediction or a reference only"):
+            taskmetrics.align(some, all_).collect()
+    assert taskmetrics.align(predictions, refs).columns == ["example_id", "reference", "prediction"]
+    assert taskmetrics.align(predictions, refs).count() == 2
     examples = refs.withColumnRenamed("reference", "assistant")
     own = taskmetrics.overall_metrics(taskmetrics.self_evaluation(examples)).first()
     assert own.rouge_1 == own.rouge_l == own.bleu == 1.0 and own.num_examples == 2
