@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 
 import public_tokenizers
 import pytest
@@ -177,6 +178,97 @@ def test_the_longest_rule_in_order_takes_its_sentences():
     assert ids == ["a", "b", "a"] and [m[0] for m in matches] == ["AB", "A"] and names == ["A", "AB"]
 
 
+NOTICES = {
+    "MIT": """Copyright (c) 2020 Ann Author
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.""",
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.""",
+    "BSD-3-Clause": """Copyright (c) 2020, Ann Author. All rights reserved.
+
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.""",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "All-Rights-Reserved": "Copyright 2020 Ann Author. All rights reserved.",
+}
+NOTICES["BSD-2-Clause"] = NOTICES["BSD-3-Clause"].split("\n\n3.")[0]
+FREE = """This {} is free software{} you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation{} either version {} of the License, or (at your option) any later version.
+
+This {} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."""
+for licence, what, kind, version, ends in [
+    ("GPL-3.0-or-later", "program", "", "3", ":,"), ("GPL-2.0-or-later", "program", "", "2", ";;"),
+    ("AGPL-3.0-or-later", "program", "Affero ", "3", ":,"), ("LGPL-2.1-or-later", "library", "Lesser ", "2.1", ";;"),
+    ("LGPL-3.0-or-later", "library", "Lesser ", "3", ";;"),
+]:
+    NOTICES[licence] = FREE.format(what, ends[0], kind, ends[1], version, what)
+
+
+def slow_known(of, sentences, text):
+    """All spans between two places where a sentence may end, the first and longest known ones."""
+    places = [(0, 0)]
+    for i, c in enumerate(text):
+        after = re.match(r"[\"'”’)\]]*", text[i + 1 :])[0]
+        if c in ".!?:;" and text[i + 1 + len(after) : i + 2 + len(after)].isspace():
+            places.append((i + 1 + len(after), i + 1 + len(after)))
+        elif c == "\n":
+            line = text[i + 1 :].split("\n")[0].strip()
+            if (not line and "\n" in text[i + 1 :]) or (line and not "a" <= line[0] <= "z"):
+                places.append((i, i + 1))
+    places.append((len(text), len(text)))
+    ids = {s: i for i, all_ in sentences.items() for s in all_}
+    out, at = [], 0
+    for i, (_, start) in enumerate(places):
+        for stop, _ in places[: i : -1]:
+            whole = text[start:stop]
+            words = licences.normalise(whole)
+            if start < at or words not in ids or any(
+                licences.normalise(text[start:s]) == words for s, _ in places[i + 1 :] if s < stop
+            ) or any(start < s <= stop and licences.normalise(text[s:stop]) == words for _, s in places):
+                continue
+            out.append((ids[words], start + len(whole) - len(whole.lstrip()), stop))
+            at = stop
+            break
+    return out
+
+
+def wrapped(text, width, leader):
+    paragraphs = [textwrap.wrap(p, width, break_long_words=False) for p in text.split("\n\n")]
+    return "\n".join((leader + x).rstrip() for i, p in enumerate(paragraphs) for x in ([""] if i else []) + p)
+
+
+@pytest.mark.parametrize("licence", sorted(NOTICES))
+def test_notices_as_they_are_printed(licence):
+    of = licences.Recogniser()
+    for leader in ("", "# ", " * ", "// ", "-- "):
+        for width in (10_000, 79, 60, 37):
+            text = "Some words first.\n\n" + wrapped(NOTICES[licence], width, leader) + "\n\nAnd more words."
+            ids, matches, names = of(text)
+            assert names == [licence] and len(matches) == 1, (leader, width, ids)
+            assert of.known(text) == slow_known(of, licences.SENTENCES, text)
+
+
+def test_known_sentences_equal_brute_force():
+    sentences = {"a": ["x y"], "b": ["x y z"], "c": ["z"], "d": ["y z x"]}
+    of, rng = licences.Recogniser(sentences, []), random.Random(11)
+    for _ in range(4000):
+        text = "".join(rng.choice(["x", "y", "z", "X", " ", " ", ". ", "; ", "\n", "\n# ", "\n\n", '."', "é"]) for _ in range(rng.randrange(14)))
+        assert of.known(text) == slow_known(of, sentences, text), text
+
+
 def test_preference_prompts_once(spark):
     said = [(1, 0, "user", "q"), (1, 1, "assistant", "x"), (1, 2, "user", "more"), (1, 3, "assistant", "good"), (1, 4, "user", "ty")]
     said += [(2, 0, "user", "r"), (2, 1, "assistant", "bad"), (3, 0, "user", "alone"), (None, 0, "user", "lost"), (1, None, "user", "lost")]
