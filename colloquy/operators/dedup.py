@@ -281,6 +281,17 @@ def deduplicate(
     return df.join(kept_keys(df, key, text, threshold, n, small_group), key, "left_semi")
 
 
+def one_of_each(
+    df: DataFrame, key: str, text: str, threshold: float, n: int, small_group: int = SMALL_GROUP
+) -> DataFrame:
+    """As ``deduplicate``, for keys that may repeat or be null: as if rows were scanned by key, rows of one key as
+    stored, rows without a key last.  All columns stay."""
+    stored = df.withColumn("__row", F.monotonically_increasing_id())
+    ordered = stored.orderBy(F.col(key).asc_nulls_last(), "__row").drop("__row")
+    ranked = settle(ordered.withColumn("__rank", F.monotonically_increasing_id()), "dedup-rows")
+    return deduplicate(ranked, "__rank", text, threshold, n, small_group).drop("__rank")
+
+
 def deduplicate_examples(df: DataFrame, threshold: float = fixed.DEDUP_THRESHOLD, **kwargs) -> DataFrame:
     """Conversation pairs compared on the question followed by the answer."""
     both = F.concat_ws(" ", F.coalesce("user", F.lit("")), F.coalesce("assistant", F.lit("")))

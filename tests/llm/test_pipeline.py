@@ -2,6 +2,7 @@
 
 import collections
 import os
+import random
 import sys
 
 import duckdb
@@ -84,3 +85,28 @@ def test_stages_keep_the_columns_and_take_empty_tables(spark):
         out = stage(spark, empty, SMALL)
         assert out.columns == empty.columns and out.count() == 0, name
     assert corpus_pipeline.STAGES[-1][1](spark, empty, SMALL).count() == 0
+
+
+def test_dedup_stage_takes_every_near_copy(spark, documents):
+    """Against a scan in key order with exact sets of five words; copies of each similarity, keys repeated and null."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    rows = []
+    for g in range(40):
+        words = [word() for _ in range(80)]
+        rows.append((3 * g, " ".join(words), "s"))
+        for edits in (1, 2, 3, 6):
+            copy = list(words)
+            for _ in range(edits):
+                copy[rng.randrange(80)] = word()
+            rows.append((rng.choice([None, 3 * g + 1, 3 * g]), " ".join(copy), "s"))
+    grams = lambda t: {tuple(w[i : i + 5]) for w in [t.split()] for i in range(len(w) - 4)}
+    kept = []
+    for i, text, _ in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
+        a = grams(text)
+        if not any(len(a & b) >= 0.8 * len(a | b) for _, b, _ in kept):
+            kept.append((text, a, i))
+    stage = dict(corpus_pipeline.STAGES)["simhash_dedup"]
+    got = stage(spark, documents(rows).coalesce(1), SMALL).collect()
+    assert sorted((r.text, str(r.doc_id)) for r in got) == sorted((t, str(i)) for t, _, i in kept)
+    assert 40 < len(got) < len(rows)
