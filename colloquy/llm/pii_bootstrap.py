@@ -2,8 +2,8 @@
 
 Fixed formats give the base spans.  Their entities are the seeds: the words around them are lexical
 patterns, a pattern is worth the share of its entities that are believed, an entity is believed by
-the patterns it stands in, and both are scored in rounds on the graph of patterns and entities.  Tokens that
-look like identifiers and stand in a pattern of high worth are found too.
+the patterns it stands in, and both are scored in rounds on the graph of patterns and entities.  Tokens and
+numbers in groups that look like identifiers and stand in a pattern of high worth are found too.
 """
 
 import hashlib
@@ -30,12 +30,20 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _MARK = re.compile(r"[0-9@]")
 _TRIM = "\"'`.,;:!?()[]{}<>|*#$%&=“”«»…"
+#: Digit groups of one number as people write it, from the start of a token to the end of one.
+_GROUPS = re.compile(
+    rf"(?<!\S)[{re.escape(_TRIM)}]*?(\+?[(\[]?[0-9]+(?:(?:[\x20\xa0.-]?[(\[]|[)\]][\x20\xa0.-]?|[\x20\xa0.-]|\x20[–-]\x20)[0-9]+)+)"
+    rf"(?=[{re.escape(_TRIM)}]*(?:\s|\Z))"
+)
 
 SPAN = T.StructType(
     [T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]
 )
 SEEN = T.StructType(
-    [*SPAN.fields, T.StructField("entity", T.StringType()), T.StructField("patterns", T.ArrayType(T.StringType()))]
+    [
+        *SPAN.fields, T.StructField("whole", T.IntegerType()), T.StructField("entity", T.StringType()),
+        T.StructField("patterns", T.ArrayType(T.StringType())),
+    ]
 )
 
 
@@ -101,10 +109,39 @@ def _tokens(text: str, taken) -> list[tuple[int, int]]:
     return out
 
 
+def _numbers(text: str, taken) -> list[tuple[int, int]]:
+    """Runs of digit groups, as long as they go, between the taken spans: at least four digits in all."""
+    out, at = [], 0
+    for start, end in [*sorted((a, b) for _, a, b in taken), (len(text), len(text))]:
+        for m in _GROUPS.finditer(text, at, max(at, start)):
+            a, b = m.span(1)
+            if m[1][0] in "([" and not set(m[1]) & set(")]"):
+                a += 1
+            if b - a <= 64 and sum(map(str.isdigit, text[a:b])) >= 4:
+                out.append((a, b))
+        at = max(at, end)
+    return out
+
+
+def _candidates(text: str, taken) -> list[tuple[int, int, int]]:
+    """Numbers and tokens, each with the start of the number it is part of, or its own."""
+    numbers = _numbers(text, taken)
+    out, k = [(a, b, a) for a, b in numbers], 0
+    for a, b in _tokens(text, taken):
+        while k < len(numbers) and numbers[k][1] <= a:
+            k += 1
+        if k < len(numbers) and numbers[k][0] < b:
+            if (a, b) != numbers[k]:
+                out.append((a, b, numbers[k][0]))
+        else:
+            out.append((a, b, a))
+    return out
+
+
 def _patterns(text: str, start: int, end: int) -> list[str]:
-    """The two words before; the word before and the word after."""
+    """The two words before, without marks that touch the entity; the word before and the word after."""
     clean = lambda w: w.lower().strip(_TRIM)
-    before = [clean(w) for w in text[max(0, start - REACH) : start].split()[-2:]]
+    before = [clean(w) for w in text[max(0, start - REACH) : start].rstrip(_TRIM).split()[-2:]]
     after = [clean(w) for w in text[end : end + REACH].split()[:1]]
     out = []
     if len(before) == 2 and all(before):
@@ -121,12 +158,13 @@ def _entity(text: str) -> str:
 
 
 def seen(text: str) -> list[tuple]:
-    """Base spans with kind and identifier-like tokens without, each with entity and patterns."""
+    """Base spans with kind, identifier-like tokens and grouped numbers without; each with the start of the number
+    around it, entity and patterns."""
     if not _MARK.search(text):
         return []
     base = base_spans(text)
-    spans = [*base, *((None, a, b) for a, b in _tokens(text, base))]
-    return [(k, a, b, _entity(text[a:b]), _patterns(text, a, b)) for k, a, b in spans]
+    spans = [*((k, a, b, a) for k, a, b in base), *((None, *c) for c in _candidates(text, base))]
+    return [(k, a, b, whole, _entity(text[a:b]), _patterns(text, a, b)) for k, a, b, whole in spans]
 
 
 def scan(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
@@ -162,6 +200,12 @@ def pattern_worth(occurrences: DataFrame, rounds: int = ROUNDS, support: float =
     return trusted
 
 
+def _outer(parts: str) -> Column:
+    """Of the spans found in one number (64 characters at most) those that lie in no other."""
+    inside = lambda s, o: (o["start"] <= s["start"]) & (s["end"] <= o["end"]) & (o["end"] - o["start"] > s["end"] - s["start"])
+    return F.filter(parts, lambda s: ~F.exists(parts, lambda o: inside(s, o)))
+
+
 def marked(df: DataFrame, keep: list[str], text: str = "text", **options) -> DataFrame:
     """``keep`` columns, ``base`` and ``found``: arrays of spans (kind, start, end in code points, end
     exclusive), one row per row.
@@ -173,11 +217,12 @@ def marked(df: DataFrame, keep: list[str], text: str = "text", **options) -> Dat
     rows = settle(scan(df, keep, text).withColumn("__row", F.monotonically_increasing_id()), "seen")
     each = rows.select("__row", F.explode("seen").alias("s")).select("__row", "s.*")
     trusted = pattern_worth(each.select("kind", "entity", "patterns"), **options)
-    tokens = each.where("kind is null").select("__row", "start", "end", F.explode("patterns").alias("pattern"))
+    tokens = each.where("kind is null").select("__row", "start", "end", "whole", F.explode("patterns").alias("pattern"))
     best = F.max_by("kind", F.struct("worth", F.expr("-ascii(kind)")))
     found = (
-        tokens.join(trusted, "pattern").groupBy("__row", "start", "end").agg(best.alias("kind"))
-        .groupBy("__row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("found"))
+        tokens.join(trusted, "pattern").groupBy("__row", "start", "end", "whole").agg(best.alias("kind"))
+        .groupBy("__row", "whole").agg(F.collect_list(F.struct("kind", "start", "end")).alias("parts"))
+        .groupBy("__row").agg(F.flatten(F.collect_list(_outer("parts"))).alias("found"))
     )
     spans = lambda a: F.transform(a, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
     return rows.join(found, "__row", "left").select(

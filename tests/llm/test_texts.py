@@ -150,6 +150,27 @@ def test_contexts_find_unseen_identifiers(documents):
     assert pii_bootstrap.marked(documents([]), ["doc_id"]).count() == 0
 
 
+def test_contexts_find_numbers_in_groups(documents):
+    seeds = [f"so my phone is +1 202 555 01{i:02d} okay" for i in range(60)]
+    numbers = ["202 555 0123", "(202) 555-0124", "202.555.0125", "202-555-0126", "[202] 555 0127"]
+    texts = [*seeds, *[f"so my phone is {n}, okay" for n in numbers], "so my phone is (202 555 0128) okay"]
+    texts += ["so my phone is 2025 550 129, 17 of May", "in 1999 202 555 0130 calls"]
+    masked = {r.doc_id: r.text for r in pii_bootstrap.masked(documents(texts)).collect()}
+    assert [masked[i] for i in range(60, 65)] == ["so my phone is [PHONE], okay"] * 5
+    assert masked[65] == "so my phone is ([PHONE]) okay" and masked[66] == "so my phone is [PHONE], 17 of May"
+    assert masked[67] == texts[67]
+    found = {r.doc_id: r.found for r in pii_bootstrap.marked(documents(texts), ["doc_id"]).collect()}
+    assert all(len(found[i]) == 1 for i in range(60, 67))
+
+
+def test_numbers_are_whole_and_linear():
+    of = lambda t: [t[a:b] for a, b in pii_bootstrap._numbers(t, pii_bootstrap.base_spans(t))]
+    assert of("x 4111 1111-1111 1112. 20 more") == ["4111 1111-1111 1112"]
+    assert of("A12 345 678b 90 12") == ["90 12"] and of("12 3") == []
+    assert of("call 202 555 0123 192.168.1.1 or 77 88 99") == ["202 555 0123", "77 88 99"]
+    assert of("1.1" * 50_000 + "x") == [] and of("12 " * 50_000) == [] and of("(" * 100_000 + "1") == []
+
+
 def test_mask_joins_overlapping_spans():
     assert pii_bootstrap.mask("ab12cd", [("card", 2, 4), ("ip", 1, 3)]) == "a[IP]cd"
 
