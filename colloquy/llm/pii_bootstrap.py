@@ -2,7 +2,7 @@
 
 Fixed formats give the base spans.  Their entities are the seeds: the words around them are lexical
 patterns, a pattern is worth the share of its entities that are believed, an entity is believed by
-the patterns it stands in, and both are scored in rounds on the graph of patterns and entities.  Tokens and
+the patterns it stands in, and both are scored on the graph of patterns and entities, in rounds until no pattern is new.  Tokens and
 numbers in groups that look like identifiers and stand in a pattern of high worth are found too.
 """
 
@@ -18,9 +18,11 @@ from colloquy.operators.lineage import settle
 
 #: The kinds in their order.
 KINDS = ["email", "ip", "card", "phone"]
-ROUNDS = 2
-#: A pattern needs so much belief (distinct seed entities count one each) and such a share of it.
-SUPPORT, WORTH = 3.0, 0.8
+#: A pattern needs so much belief (distinct seed entities count one each), such a share of it against
+#: the evidence to the contrary, and such a confidence: share of all its entities times log2 of the belief.
+SUPPORT, WORTH, CONFIDENCE = 3.0, 0.8, 0.5
+#: An entity of no kind counts against a pattern if it stands in so many different contexts without seeds.
+PLAIN = 3
 #: Characters looked at on each side for context words.
 REACH = 80
 
@@ -173,31 +175,65 @@ def scan(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     return map_rows(df, text, keep, new, lambda: lambda x: [(seen(x or ""),)])
 
 
-def pattern_worth(occurrences: DataFrame, rounds: int = ROUNDS, support: float = SUPPORT, worth: float = WORTH) -> DataFrame:
+def _plain(occurrences: DataFrame, edges: DataFrame, seeds: DataFrame) -> DataFrame:
+    """``entity`` of those that stand in ``PLAIN`` or more contexts none of whose patterns has a seed."""
+    seeded = edges.join(seeds.select("entity").distinct(), "entity", "left_semi").select("pattern").distinct()
+    contexts = occurrences.where("kind is null and size(patterns) > 0").select("entity", "patterns").distinct()
+    counted = contexts.groupBy("entity").agg(F.count("*").alias("n")).where(F.col("n") >= PLAIN)
+    contexts = contexts.join(counted.select("entity"), "entity", "left_semi")
+    near = contexts.withColumn("pattern", F.explode("patterns")).join(seeded, "pattern", "left_semi")
+    far = contexts.join(near.select("entity", "patterns").distinct(), ["entity", "patterns"], "left_anti")
+    far = far.groupBy("entity").agg(F.count("*").alias("n")).where(F.col("n") >= PLAIN)
+    return far.join(seeds, "entity", "left_anti").select("entity")
+
+
+def pattern_worth(
+    occurrences: DataFrame, rounds: int | None = None, support: float = SUPPORT, worth: float = WORTH,
+    confidence: float = CONFIDENCE,
+) -> DataFrame:
     """``pattern, kind, worth`` of the patterns to trust, from ``kind, entity, patterns``.
 
-    Worth is the belief in the pattern's distinct entities over their number and a half.  An
+    Worth is the belief in the pattern's distinct entities over itself, the evidence to the contrary (belief
+    in other kinds, plain entities not believed) and a half; entities of which nothing is known do not count.  They
+    lower only the confidence, which a few seeds among very many unknown do not reach.  An
     entity's belief in a kind is one for seeds; for others the chance that one of its patterns
-    of the round is right.  All sums are grouped sums over distinct edges."""
+    of the round is right.  Rounds end when one trusts no pattern that was not trusted before, or after
+    ``rounds``.  All sums are grouped sums over distinct edges."""
     edges = settle(
         occurrences.select("entity", F.explode("patterns").alias("pattern")).distinct(), "pattern-edges"
     )
     sizes = edges.groupBy("pattern").agg(F.count("*").alias("n")).where(F.col("n") >= support)
     seeds = occurrences.where("kind is not null").select("entity", "kind", F.lit(1.0).alias("belief")).distinct()
-    belief, trusted = seeds, None
-    for _ in range(rounds):
-        scored = (
-            edges.join(belief, "entity").groupBy("pattern", "kind").agg(F.sum("belief").alias("sum"))
-            .where(F.col("sum") >= support).join(sizes, "pattern")
-            .select("pattern", "kind", F.round(F.col("sum") / (F.col("n") + 0.5), 9).alias("worth"))
+    plain, belief, known, done = None, seeds, None, 0
+    while True:
+        sums = edges.join(belief, "entity").groupBy("pattern", "kind").agg(F.sum("belief").alias("sum"))
+        total = sums.groupBy("pattern").agg(F.sum("sum").alias("total"))
+        likely = (
+            sums.where(F.col("sum") >= support).join(sizes, "pattern").join(total, "pattern")
+            .where(F.col("sum") / F.col("n") * F.log2("sum") >= confidence)
+        )
+        likely = settle(likely.where(F.col("sum") / (F.col("total") + 0.5) >= worth), "likely")
+        if plain is None:
+            none = likely.isEmpty()
+            plain = edges.select("entity").limit(0) if none else settle(_plain(occurrences, edges, seeds), "plain")
+        doubted = plain.join(belief, "entity", "left_anti")
+        against = edges.join(doubted, "entity", "left_semi").groupBy("pattern").agg(F.count("*").alias("against"))
+        scored = likely.join(against, "pattern", "left").select(
+            "pattern", "kind",
+            F.round(F.col("sum") / (F.col("total") + F.coalesce("against", F.lit(0)) + 0.5), 9).alias("worth"),
         )
         trusted = settle(scored.where(F.col("worth") >= worth), "patterns")
+        names, done = trusted.select("pattern", "kind"), done + 1
+        fresh = names if known is None else names.join(known, ["pattern", "kind"], "left_anti")
+        if done == rounds or fresh.isEmpty():
+            return trusted
+        known = settle(names if known is None else known.union(fresh), "known-patterns")
         grown = (
             edges.join(trusted, "pattern").groupBy("entity", "kind")
             .agg((1 - F.exp(F.sum(F.log(1 - F.least("worth", F.lit(0.99)))))).alias("belief"))
         )
-        belief = seeds.union(grown.join(seeds.select("entity").distinct(), "entity", "left_anti"))
-    return trusted
+        grown = grown.join(seeds.select("entity").distinct(), "entity", "left_anti")
+        belief = settle(seeds.union(grown), "belief")
 
 
 def _outer(parts: str) -> Column:

@@ -163,6 +163,20 @@ def test_contexts_find_numbers_in_groups(documents):
     assert all(len(found[i]) == 1 for i in range(60, 67))
 
 
+def test_patterns_are_trusted_until_none_is_new(spark):
+    rows = [("phone", f"s{i}", ["a _"]) for i in range(30)] + [(None, f"u{i}", ["a _"]) for i in range(12)]
+    for step in range(5):
+        rows += [(None, f"x{step}-{i}", [p]) for i in range(8) for p in (f"{'abcdef'[step]} _", f"{'bcdefg'[step]} _")]
+    rows += [("card", f"c{i}", ["mixed _"]) for i in range(4)] + [("ip", f"i{i}", ["mixed _"]) for i in range(4)]
+    rows += [("card", f"few{i}", ["common _"]) for i in range(3)] + [(None, f"n{i}", ["common _"]) for i in range(300)]
+    rows += [("ip", f"t{i}", ["year _"]) for i in range(4)]
+    rows += [(None, f"200{i}", [p]) for i in range(4) for p in ("year _", "in _", "since _", "until _")]
+    table = spark.createDataFrame(rows, "kind string, entity string, patterns array<string>")
+    trusted = {(r.pattern, r.kind) for r in pii_bootstrap.pattern_worth(table).collect()}
+    assert trusted == {(f"{c} _", "phone") for c in "abcdef"}
+    assert ("d _", "phone") not in {(r.pattern, r.kind) for r in pii_bootstrap.pattern_worth(table, rounds=2).collect()}
+
+
 def test_numbers_are_whole_and_linear():
     of = lambda t: [t[a:b] for a, b in pii_bootstrap._numbers(t, pii_bootstrap.base_spans(t))]
     assert of("x 4111 1111-1111 1112. 20 more") == ["4111 1111-1111 1112"]
