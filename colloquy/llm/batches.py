@@ -49,7 +49,7 @@ def map_lists(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = make()
         for batch in batches:
-            for part in _parts(batch, len(keep)):
+            for part in parts(batch, len(keep)):
                 origin, found = [], []
                 for i, rows in enumerate(of(part.column(len(keep)).to_pylist())):
                     for row in rows:
@@ -66,9 +66,10 @@ def map_lists(
     return df.select(*keep, F.col(column).alias("__value")).mapInArrow(run, schema)
 
 
-def _parts(batch: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
+def parts(batch: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of bounded rows and, where column ``at`` holds texts or bytes, bounded size."""
     column, start, size = batch.column(at), 0, 0
-    if not pa.types.is_string(column.type):
+    if not (pa.types.is_string(column.type) or pa.types.is_binary(column.type)):
         for first in range(0, batch.num_rows, ROWS):
             yield batch.slice(first, ROWS)
         return

@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from colloquy.llm import (
-    ann, bpe, curriculum, gam_quality, licences, pii_bootstrap, preference, quality_rules, simhash,
+    ann, bpe, curriculum, gam_quality, licences, negatives, periods, pii_bootstrap, preference, quality_rules, repeats, simhash,
     url_boost,
 )
 
@@ -103,3 +103,21 @@ def op10_licences(spark, folder):
         "doc_id", F.array_join("sentence_ids", ",").alias("sentence_ids"),
         F.array_join(places, ",").alias("matches"), F.array_join("licences", ",").alias("licences"),
     )
+
+
+@query
+def op11_maximal_repeats(spark, folder):
+    rows = repeats.without_repeats(table(spark, folder, "documents"), ["doc_id"])
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op12_periodic_runs(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", periods.planted(F.col("doc_id"), F.col("text")).alias("text"))
+    return periods.digests(docs, ["doc_id"])
+
+
+@query
+def op13_hard_negatives(spark, folder):
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label=shifted)
