@@ -79,7 +79,11 @@ def _digests(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def _anchors(length: int):
-    """``k1, k2, start, more, ahead, a, d`` of every anchor: windows start .. start + more chose the place start + ahead."""
+    """``k1, k2, start, more, ahead, times, a, d`` of the anchors: windows start .. start + more chose the place start + ahead.
+
+    Anchors of one text with equal surroundings, as text of a short period has by the thousand, give one row with
+    their number as ``times``; what they cover repeats, whatever other texts hold, and comes merged in rows of
+    ``times`` 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places = _Places(length)
@@ -99,16 +103,33 @@ def _anchors(length: int):
                 new = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]) | (owner[1:] != owner[:-1])])
                 start, last = at[new], at[np.r_[new[1:] - 1, len(at) - 1]]
                 place, owner = place[new], owner[new]
-                ints = [(x).astype(np.int32) for x in (start - first[owner], last - start, place - start)]
-                hashes = [_digests(data, place, place + places.size), _digests(data, start, last + length)]
-                keys = [part.column(i).take(pa.array(owner)) for i in range(2)]
-                yield pa.RecordBatch.from_arrays(
-                    [*keys, *map(pa.array, ints), *map(pa.array, hashes)], [*TEXT, "start", "more", "ahead", "a", "d"]
-                )
+                a, d = _digests(data, place, place + places.size), _digests(data, start, last + length)
+                once, times, again = _once_each(owner, a, d)
+                ahead = place - start
+                yield batch_of(part, first, owner[once], start[once], last[once], ahead[once], times, a[once], d[once])
+                if len(again):
+                    owner, start, last = owner[again], start[again], last[again]
+                    new = np.r_[True, (owner[1:] != owner[:-1]) | (start[1:] > last[:-1] + length)]
+                    owner, start, last = owner[new], start[new], last[np.r_[np.flatnonzero(new)[1:] - 1, len(last) - 1]]
+                    none = np.zeros(len(start), np.int64)
+                    yield batch_of(part, first, owner, start, last, none, none, none, _digests(data, start, last + length))
+
+    def batch_of(part, first, owner, start, last, ahead, times, a, d) -> pa.RecordBatch:
+        keys = [part.column(i).take(pa.array(owner)) for i in range(2)]
+        ints = [pa.array(x.astype(np.int32)) for x in (start - first[owner], last - start, ahead, times)]
+        return pa.RecordBatch.from_arrays([*keys, *ints, pa.array(a), pa.array(d)], [*TEXT, "start", "more", "ahead", "times", "a", "d"])
 
     return run
 
 
+def _once_each(owner: np.ndarray, a: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The first anchor of each text and surroundings, their numbers, and all anchors that are not alone."""
+    order = np.lexsort((d, a, owner))
+    new = np.flatnonzero(np.r_[True, (owner[order][1:] != owner[order][:-1]) | (a[order][1:] != a[order][:-1]) | (d[order][1:] != d[order][:-1])])
+    times = np.diff(np.r_[new, len(order)])
+    return order[new], times, np.sort(order[np.repeat(times, times) > 1])
+
+
 CONTEXT = "a long, d long, k1 long, k2 long, start int, more int, ahead int, single boolean, crowded boolean, around binary"
 
 
@@ -247,13 +268,14 @@ def repeated(df: DataFrame, text: str = "text", length: int = LENGTH, crowd: int
     elsewhere in the table, in this text or another.  ``k1, k2`` are digests of the text; equal texts are listed once or more often, with the
     same spans.  Spans of equal bytes have one ``group``, a digest of them."""
     docs = _keyed(df, text).select(*TEXT, "data")
-    anchors = settle(docs.mapInArrow(_anchors(length), "k1 long, k2 long, start int, more int, ahead int, a long, d long"), "anchors")
-    kinds = anchors.groupBy("a").agg(F.count("*").alias("n"), (F.min("d") != F.max("d")).alias("mixed")).where("n > 1")
+    anchors = settle(docs.mapInArrow(_anchors(length), "k1 long, k2 long, start int, more int, ahead int, times int, a long, d long"), "anchors")
+    alone, anchors = anchors.where("times = 0"), anchors.where("times > 0")
+    kinds = anchors.groupBy("a").agg(F.sum("times").alias("n"), (F.min("d") != F.max("d")).alias("mixed")).where("n > 1")
     met = settle(anchors.join(settle(kinds.select("a", "mixed"), "strings"), "a"), "met")
     whole = lambda rows: rows.select(*TEXT, "start", F.expr(f"start + more + {length}").alias("end"), F.col("d").alias("group"))
 
     mixed = met.where("mixed")
-    around = mixed.groupBy("a", "d").agg(F.count("*").alias("n"), F.min(F.struct(*TEXT, "start", "more", "ahead")).alias("m"))
+    around = mixed.groupBy("a", "d").agg(F.sum("times").alias("n"), F.min(F.struct(*TEXT, "start", "more", "ahead")).alias("m"))
     around = settle(around, "surroundings")
     twice = mixed.join(around.where("n > 1").select("a", "d"), ["a", "d"], "left_semi")
     crowded = settle(around.groupBy("a").count().where(F.col("count") > crowd).select("a", F.lit(True).alias("crowded")), "crowded")
@@ -265,7 +287,7 @@ def repeated(df: DataFrame, text: str = "text", length: int = LENGTH, crowd: int
     texts = docs.groupBy(*TEXT).agg(F.first("data").alias("data")).join(wanted, TEXT).select(*TEXT, "data", "wanted")
     members = texts.mapInArrow(_contexts(length), CONTEXT)
     span = "k1 long, k2 long, start int, end int, group long"
-    out = whole(met.where("not mixed")).unionByName(whole(twice))
+    out = whole(met.where("not mixed")).unionByName(whole(twice)).unionByName(whole(alone))
     if crowded.isEmpty():
         return out.unionByName(members.repartition("a").sortWithinPartitions("a").mapInArrow(_trees(length), span))
     members = settle(members, "members")
