@@ -24,7 +24,7 @@ def adjacent_pairs(turns: DataFrame, chunk_rows: int = hotkeys.CHUNK_ROWS) -> Da
     """User turns directly followed by an assistant turn of the same conversation, as
     ``example_id, conv_id, user, assistant``."""
     key = pair_key().alias("example_id")
-    if not hotkeys.hot_keys(turns, "conv_id", chunk_rows):
+    if not hotkeys.large_keys(turns, "conv_id", chunk_rows):
         order = Window.partitionBy("conv_id").orderBy("turn")
         followed = turns.select(
             key, "conv_id", "role", F.col("text").alias("user"),

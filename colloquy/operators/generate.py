@@ -1,11 +1,11 @@
 """Seeded template examples, requests for an outside model, and its completions."""
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colloquy import fixed, templates as defaults
 from colloquy.functions import picks, text as X
-from colloquy.operators.cuts import kth_smallest
+from colloquy.operators.cuts import first_of_each
 from colloquy.operators.lineage import settle
 
 
@@ -69,15 +69,65 @@ def first_of_each_opening(filled: DataFrame, candidate: str = "candidate", seen:
     return firsts if seen is None else firsts.join(seen, "opening", "left_anti")
 
 
-def _generate(spark, category, count, seed, offset, templates, pools, seen):
-    attempts = count * fixed.ATTEMPTS_PER_EXAMPLE
-    numbers = spark.range(offset, offset + attempts).select(
-        F.col("id").alias("candidate"), F.lit(category).alias("category")
-    )
-    filled = fill_templates(numbers, seed, templates, pools)
-    firsts = first_of_each_opening(filled, seen=seen)
-    cut = kth_smallest(firsts, F.col("candidate"), [], count, offset, offset + attempts)
-    return filled, firsts if cut is None else firsts.where(F.col("candidate") <= cut[0])
+def counted(filled: DataFrame, counts: dict[str, int], candidate: str = "candidate", seen: DataFrame | None = None) -> DataFrame:
+    """Of filled candidates, up to ``counts[category]`` rows of each category, no two of any category with the same opening.
+
+    Categories are served in the order of ``counts``.  One tries its first ``5 * count`` candidates by number and takes
+    those whose opening is new: not ``seen``, not taken by itself or a category before.  It ends with fewer where
+    these are too few.  Candidate numbers are unique in a category.
+
+    Only openings that several categories draw can make one depend on another.  Categories are therefore cut all at
+    once, and again without what an earlier one took, until that changes nothing: the first round settles the first
+    category, each further round at least the next."""
+    place = F.array_position(F.array(*[F.lit(c) for c in counts]), F.col("category"))
+    tried = first_of_each(filled, "category", candidate, {c: n * fixed.ATTEMPTS_PER_EXAMPLE for c, n in counts.items()})
+    firsts = tried.groupBy("category", opening().alias("opening")).agg(F.min(candidate).alias(candidate))
+    if seen is not None:
+        firsts = firsts.join(seen.select("opening"), "opening", "left_anti")
+    firsts = settle(firsts.select("category", "opening", candidate, place.alias("place")), "openings")
+    shared = settle(firsts.groupBy("opening").count().where("count > 1").select("opening"), "shared")
+    alone, free, blocked = shared.isEmpty(), firsts, None
+    while True:
+        taken = first_of_each(free, "category", candidate, counts)
+        if alone:
+            break
+        owner = taken.join(shared, "opening", "left_semi").groupBy("opening").agg(F.min("place").alias("owner"))
+        now = firsts.join(owner, "opening").where(F.col("place") > F.col("owner")).select("category", "opening")
+        now = settle(now, "blocked")
+        if blocked is None and now.isEmpty() or blocked is not None and _same(now, blocked):
+            break
+        free, blocked = firsts.join(now, ["category", "opening"], "left_anti"), now
+    return filled.join(taken.select("category", candidate), ["category", candidate], "left_semi")
+
+
+def _same(a: DataFrame, b: DataFrame) -> bool:
+    return a.join(b, a.columns, "left_anti").isEmpty() and b.join(a, a.columns, "left_anti").isEmpty()
+
+
+def drawn(attempts: DataFrame, draw: str = "draw", attempt: str = "attempt", seen: DataFrame | None = None) -> DataFrame:
+    """One row per draw at most, as if draws went one after another: each takes the first of its few attempts whose
+    opening is not ``seen`` and was not taken by an earlier draw, and nothing where all are.
+
+    All draws ask for their first attempt at once; of those that ask for one opening the earliest keeps it and the
+    others go on to their next, until nobody has to.  An opening only ever passes to an earlier draw, so
+    this ends in the same rows as one draw after another."""
+    named = attempts.select(draw, attempt, opening().alias("opening"))
+    if seen is not None:
+        named = named.join(seen.select("opening"), "opening", "left_anti")
+    offers = F.sort_array(F.collect_list(F.struct(F.col(attempt).alias("attempt"), "opening")))
+    state = settle(named.groupBy(draw).agg(offers.alias("offers")).withColumn("at", F.lit(1)), "draws")
+    while True:
+        asking = state.withColumn("opening", F.col("offers")[F.col("at") - 1]["opening"])
+        holder = settle(asking.groupBy("opening").agg(F.min(draw).alias("holder")), "holders")
+        step = (F.col(draw) != F.col("holder")).cast("int")
+        moved = asking.join(holder, "opening").select(draw, "offers", (F.col("at") + step).alias("at"), step.alias("lost"))
+        moved = settle(moved.where(F.col("at") <= F.size("offers")), "draws")
+        # Draws without a further attempt are gone, so fewer rows tell of a loss as well.
+        if moved.where("lost = 1").isEmpty() and moved.count() == state.count():
+            break
+        state = moved.drop("lost")
+    taken = state.select(draw, F.col("offers")[F.col("at") - 1]["attempt"].alias(attempt))
+    return attempts.join(taken, [draw, attempt], "left_semi")
 
 
 def generate(
@@ -86,45 +136,43 @@ def generate(
 ) -> DataFrame:
     """Up to ``count`` examples of one category from ``5 * count`` candidates, no two
     with the same opening.  May return fewer: the texts of a category are finite."""
-    filled, kept = _generate(spark, category, count, seed, offset, templates, pools, seen)
-    # Candidates are cheap to fill again, so only the kept numbers were shuffled.
-    return filled.join(kept.select("candidate"), "candidate", "left_semi")
+    return _of_ranges(spark, {category: count}, seed, offset, templates, pools, seen)
 
 
-def _counts_by_category(spark, total, balanced, seed, categories):
-    if balanced:
-        return {c: total // len(categories) for c in categories}
-    named = spark.range(total).select(
-        picks.pick_value(categories, seed, F.col("id"), "category").alias("category")
-    )
-    found = {r[0]: r[1] for r in named.groupBy("category").count().collect()}
-    return {c: found.get(c, 0) for c in categories}
+def _of_ranges(spark, counts, seed, offset, templates, pools, seen):
+    """Candidates of a category are numbers from ``offset`` on."""
+    numbers = [
+        spark.range(offset, offset + n * fixed.ATTEMPTS_PER_EXAMPLE).select(F.col("id").alias("candidate"), F.lit(c).alias("category"))
+        for c, n in counts.items()
+    ]
+    candidates = numbers[0]
+    for more in numbers[1:]:
+        candidates = candidates.unionByName(more)
+    return counted(fill_templates(candidates, seed, templates, pools), counts, seen=seen)
 
 
 def generate_all(
     spark: SparkSession, total: int, balanced: bool = True, seed: int = 42,
     offset: int = 0, templates=None, pools=None, seen: DataFrame | None = None,
 ) -> DataFrame:
-    """Examples over all categories: an equal share each, or by a seeded draw.
-    Openings are unique over all categories: a later category passes over those an
-    earlier one has taken."""
+    """Examples over all categories, their openings unique: an equal share each, a later category passing over
+    what an earlier one has taken, or ``total`` draws of a seeded category with five attempts each."""
     names = list(templates or defaults.TEMPLATES)
-    counts = _counts_by_category(spark, total, balanced, seed, names)
-    parts = []
-    for i, name in enumerate(names):
-        if counts[name] == 0:
-            continue
-        filled, kept = _generate(spark, name, counts[name], seed, offset, templates, pools, seen)
-        kept = settle(kept, "openings")
-        taken = kept.select("opening")
-        seen = taken if seen is None else seen.unionByName(taken)
-        parts.append(filled.join(kept.select("candidate"), "candidate", "left_semi"))
-    if not parts:
-        return spark.createDataFrame([], "candidate long, category string, user string, assistant string")
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    if balanced:
+        return _of_ranges(spark, {c: total // len(names) for c in names}, seed, offset, templates, pools, seen)
+    category = picks.pick_value(names, seed, F.col("id"), "category").alias("category")
+    attempt = F.explode(F.sequence(F.lit(0), F.lit(fixed.ATTEMPTS_PER_EXAMPLE - 1))).alias("attempt")
+    draws = spark.range(total).select(F.col("id").alias("draw"), category, attempt)
+    number = F.lit(offset) + F.col("draw") * fixed.ATTEMPTS_PER_EXAMPLE + F.col("attempt")
+    filled = fill_templates(draws.withColumn("candidate", number), seed, templates, pools)
+    place = F.col("candidate") - offset
+    numbered = filled.withColumns({
+        "draw": F.floor(place / fixed.ATTEMPTS_PER_EXAMPLE), "attempt": (place % fixed.ATTEMPTS_PER_EXAMPLE).cast("int"),
+    })
+    return drawn(numbered, seen=seen).drop("draw", "attempt")
+
+
+COLUMNS = ["example_id", "user", "assistant", "category", "source"]
 
 
 def _with_ids(examples: DataFrame, categories: list[str]) -> DataFrame:
@@ -143,24 +191,46 @@ def hybrid(
     generator when there is none, its openings still unique."""
     n_template = int(total * ratio)
     n_rest = total - n_template
-    columns = ["example_id", "user", "assistant", "category", "source"]
     names = list(templates or defaults.TEMPLATES)
-    tagged = lambda df, source: _with_ids(df, names).withColumn("source", F.lit(source)).select(*columns)
     first = generate_all(spark, n_template, balanced, seed, 0, templates, pools)
-    out = tagged(first, "template")
+    out = _tagged(first, "template", names)
     if n_rest <= 0:
         return out
     if second is not None:
-        order = Window.partitionBy("category").orderBy("row")
-        share = second.withColumn("place", F.row_number().over(order)).where(
-            F.col("place") <= n_rest // len(names)
-        )
-        return out.unionByName(share.withColumn("example_id", -1 - F.col("row")).select(*columns))
+        return out.unionByName(_share_of(second, n_rest, names))
     seen = settle(first.select(opening().alias("opening")), "openings")
     extra = generate_all(
         spark, n_rest, balanced, seed, n_template * fixed.ATTEMPTS_PER_EXAMPLE, templates, pools, seen
     )
-    return out.unionByName(tagged(extra, "template_fallback"))
+    return out.unionByName(_tagged(extra, "template_fallback", names))
+
+
+def hybrid_of(filled: DataFrame, total: int, categories: list[str], ratio: float = 0.8, second: DataFrame | None = None) -> DataFrame:
+    """As ``hybrid``, balanced, from a table of filled candidates.  Without a second producer the rest comes from each
+    category's candidates after the last one taken, its openings still unique."""
+    n_template = int(total * ratio)
+    n_rest = total - n_template
+    each = lambda n: {c: n // len(categories) for c in categories}
+    first = settle(counted(filled, each(n_template)), "first")
+    out = _tagged(first, "template", categories)
+    if n_rest <= 0:
+        return out
+    if second is not None:
+        return out.unionByName(_share_of(second, n_rest, categories))
+    rest = filled
+    for category, last in first.groupBy("category").agg(F.max("candidate")).collect():  # a row per category
+        rest = rest.where((F.col("category") != category) | (F.col("candidate") > last))
+    extra = counted(rest, each(n_rest), seen=first.select(opening().alias("opening")).distinct())
+    return out.unionByName(_tagged(extra, "template_fallback", categories))
+
+
+def _tagged(examples: DataFrame, source: str, categories: list[str]) -> DataFrame:
+    return _with_ids(examples, categories).withColumn("source", F.lit(source)).select(*COLUMNS)
+
+
+def _share_of(second: DataFrame, n_rest: int, categories: list[str]) -> DataFrame:
+    share = first_of_each(second, "category", "row", {c: n_rest // len(categories) for c in categories})
+    return share.withColumn("example_id", -1 - F.col("row")).select(*COLUMNS)
 
 
 def shuffled(examples: DataFrame, seed: int = 42, key: str = "example_id") -> DataFrame:

@@ -1,70 +1,54 @@
-"""Splitting groups that are too large for one task.
+"""Ordered work within keys that may be too large for one task.
 
-Ordered work within a key (ranks, running values) normally sends the key's rows to
-one task.  A key above ``CHUNK_ROWS`` is cut along its order column into chunks of
-about that size; per-chunk results are then combined over the few chunks.
+Ranks and running values of a key normally bring its rows into one task.  Where some key has more than
+``CHUNK_ROWS`` rows, the table is sorted by key and order instead, dealt by ranges of both, so that a large key is cut
+along its order into chunks of about that size; results per chunk are then combined over the chunks before.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from colloquy.operators.lineage import settle
+
 CHUNK_ROWS = 1_000_000
-MAX_HOT_KEYS = 1_000
-MAX_CHUNKS = 256
 
 
-def hot_keys(df: DataFrame, key: str, chunk_rows: int = CHUNK_ROWS) -> list:
-    """``(key, rows)`` of the keys above the limit.  The limit rises with the table,
-    so that there are never more than ``MAX_HOT_KEYS``."""
+def large_keys(df: DataFrame, key: str, chunk_rows: int = CHUNK_ROWS) -> int:
+    """Rows of the table if some key has more than ``chunk_rows`` of them, else 0."""
     total = df.count()
-    limit = max(chunk_rows, total // MAX_HOT_KEYS)
-    if total <= limit:
-        return []
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).count().where(F.col("count") > limit)
-    return [(r[0], r[1]) for r in counts.collect()]
+    if total <= chunk_rows:
+        return 0
+    large = df.groupBy(key).count().where(F.col("count") > chunk_rows)
+    return 0 if large.isEmpty() else total
 
 
-def add_chunks(
-    df: DataFrame, key: str, order: str, chunk_rows: int = CHUNK_ROWS
-) -> tuple[DataFrame, bool]:
-    """Add ``chunk``: 0 for ordinary keys, 0..n in step with ``order`` for hot ones.
-    Rows of equal ``order`` share a chunk.  The second result tells whether any key
-    was cut."""
-    hot = hot_keys(df, key, chunk_rows)
-    if not hot:
-        return df.withColumn("chunk", F.lit(0)), False
-    pieces = min(MAX_CHUNKS, max(2, max(n for _, n in hot) // chunk_rows + 1))
-    quantiles = [i / pieces for i in range(1, pieces)]
-    cuts = (
-        df.where(F.col(key).isin([k for k, _ in hot]))
-        .groupBy(key)
-        .agg(F.percentile_approx(F.col(order), quantiles, 10_000).alias("cuts"))
-        .collect()
-    )
-    # At most MAX_HOT_KEYS rows of MAX_CHUNKS values: small by construction.
-    schema = f"{key} {df.schema[key].dataType.simpleString()}, cuts array<{df.schema[order].dataType.simpleString()}>"
-    table = df.sparkSession.createDataFrame([(r[0], list(r[1])) for r in cuts], schema)
-    joined = df.join(F.broadcast(table), key, "left")
-    chunk = F.coalesce(
-        F.size(F.filter("cuts", lambda c: c < F.col(order))), F.lit(0)
-    )
-    return (
-        joined.withColumn("chunk", F.when(F.col("cuts").isNull(), F.lit(0)).otherwise(chunk)).drop("cuts"),
-        True,
-    )
+def add_chunks(df: DataFrame, key: str, order: list[str], chunk_rows: int = CHUNK_ROWS) -> tuple[DataFrame, bool]:
+    """Add ``chunk`` and ``at``: rows of a key are in order by ``chunk``, then ``at``, and a chunk has about ``chunk_rows`` rows at
+    most.  Ranges are cut on key and the whole order, so a key of one time stamp is cut as well, if a later column tells its rows apart.
+    The second result tells whether any key was cut; if not, the rows are as they were, in chunk 0."""
+    total = large_keys(df, key, chunk_rows)
+    if not total:
+        return df.withColumns({"chunk": F.lit(0).cast("long"), "at": F.lit(0).cast("long")}), False
+    parts = -(-total // chunk_rows) + 1
+    dealt = df.repartitionByRange(parts, key, *order).sortWithinPartitions(key, *order)
+    placed = settle(dealt.withColumn("at", F.monotonically_increasing_id()), "in-order")
+    # The number holds the partition above 33 bits of the row's place in it.
+    return placed.withColumn("chunk", F.shiftright("at", 33)), True
 
 
-def earlier_chunks(
-    chunked: DataFrame, key: str, aggregates: dict[str, Column], combine
-) -> DataFrame:
-    """Per ``(key, chunk)`` the combination of ``aggregates`` over all earlier chunks
-    of the key.  Only cut keys have more than one chunk, so a window per key sees
-    at most ``MAX_CHUNKS`` rows."""
+def earlier_chunks(chunked: DataFrame, key: str, aggregates: dict[str, Column], combine) -> DataFrame:
+    """Per ``(key, chunk)`` the combination of ``aggregates`` over all earlier chunks of the key: all keys together have no more
+    rows here than there are keys and chunks."""
     per_chunk = chunked.groupBy(key, "chunk").agg(*[c.alias(n) for n, c in aggregates.items()])
     before = Window.partitionBy(key).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    return per_chunk.select(
-        key, "chunk", *[combine(n).over(before).alias(n) for n in aggregates]
-    ).where(F.col("chunk") > 0)
+    found = per_chunk.select(F.col(key).alias("_key"), F.col("chunk").alias("_chunk"), *[combine(n).over(before).alias(n) for n in aggregates])
+    return settle(found, "earlier")
+
+
+def with_earlier(chunked: DataFrame, key: str, earlier: DataFrame) -> DataFrame:
+    """The rows with what ``earlier_chunks`` found for their chunk; a null key is a key like any other."""
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("chunk") == F.col("_chunk"))
+    return chunked.join(earlier, same, "left").drop("_key", "_chunk")
 
 
 def add_position(
@@ -72,28 +56,13 @@ def add_position(
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Number the rows of each key from 1 in the given order."""
-    chunked, cut = add_chunks(df, key, order[0], chunk_rows)
-    within = F.row_number().over(Window.partitionBy(key, "chunk").orderBy(*order)).cast("long")
+    chunked, cut = add_chunks(df, key, order, chunk_rows)
     if not cut:
-        return chunked.withColumn(name, within).drop("chunk")
-    offsets = earlier_chunks(chunked, key, {"rows_before": F.count(F.lit(1))}, F.sum)
-    return (
-        chunked.withColumn(name, within)
-        .join(F.broadcast(offsets), [key, "chunk"], "left")
-        .withColumn(name, F.col(name) + F.coalesce("rows_before", F.lit(0)))
-        .drop("chunk", "rows_before")
-    )
-
-
-def join_summary(df: DataFrame, summary: DataFrame, key: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Join one summary row per key to all rows of the key.  The rows of hot keys stay
-    where they are: their few summaries are broadcast."""
-    hot = hot_keys(df, key, chunk_rows)
-    if not hot:
-        return df.join(summary, key)
-    is_hot = F.col(key).isin([k for k, _ in hot])
-    return (
-        df.where(is_hot)
-        .join(F.broadcast(summary.where(is_hot)), key)
-        .unionByName(df.where(~is_hot).join(summary.where(~is_hot), key))
-    )
+        within = F.row_number().over(Window.partitionBy(key).orderBy(*order)).cast("long")
+        return chunked.withColumn(name, within).drop("chunk", "at")
+    # Rows of a chunk and key follow each other, so only its first place and the rows before it are needed.
+    first = chunked.groupBy(key, "chunk").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    before = Window.partitionBy(key).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first") + 1
+    offsets = settle(first.select(F.col(key).alias("_key"), F.col("chunk").alias("_chunk"), offset.alias("_offset")), "offsets")
+    return with_earlier(chunked, key, offsets).withColumn(name, F.col("at") + F.col("_offset")).drop("chunk", "at", "_offset")

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from colloquy import fixed
-from colloquy.operators.cuts import kth_smallest, not_after
+from colloquy.operators import cuts
 
 HASH_BITS = 60
 
@@ -12,7 +12,7 @@ HASH_BITS = 60
 def _check(ratios: dict[str, float]):
     total = sum(ratios.values())
     if abs(total - 1.0) > 0.01:
-        raise ValueError(f"split ratios must sum to 1.0, got {total}")
+        raise ValueError(f"the shares of all splits together are {total}, not 1")
 
 
 def _order(key: str, seed: int) -> tuple[Column, list[Column]]:
@@ -29,21 +29,26 @@ def exact_split(
 ) -> DataFrame:
     """Add ``split``.  Rows are ordered by a seeded hash of their unique key; the
     first ``int(n * train)`` are train, the next ``int(n * validation)`` validation,
-    the rest test.  Only the two cut points are searched for, by counting; labelling
+    the rest test.  The hashes are written once; all cut points are searched for together, by counting; labelling
     a row then compares its own hash with them, so rows are neither sorted nor moved."""
     ratios = ratios or fixed.SPLIT_RATIOS
     _check(ratios)
     names = list(ratios)
     number, ties = _order(key, seed)
-    n = df.count()
-    sizes = [int(n * ratios[name]) for name in names[:-1]]
-    label, upto = None, 0
-    for name, size in zip(names, sizes):
+    rows = cuts.numbered(df, number, ties)
+    known = cuts.totals(rows, [0])
+    n = known[0][0] if known else 0
+    ends, upto = {}, 0
+    for name in names[:-1]:
+        size = int(n * ratios[name])
         upto += size
-        if size == 0:
-            continue
-        cut = kth_smallest(df, number, ties, upto, 0, 1 << HASH_BITS)
-        inside = F.lit(True) if cut is None else not_after(number, ties, cut)
+        if size:
+            ends[name] = upto
+    found = cuts.of_ranks(rows, {0: list(ends.values())}, known)
+    label = None
+    for name, end in ends.items():
+        cut = found.get((0, end))
+        inside = F.lit(True) if cut is None else cuts.not_after(number, ties, cut)
         label = F.when(inside, F.lit(name)) if label is None else label.when(inside, F.lit(name))
     rest = F.lit(names[-1])
     return df.withColumn("split", rest if label is None else label.otherwise(rest))

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy import fixed
+from colloquy import fixed, templates
 from colloquy.operators import conversation, generate, hotkeys
 
 EVERY_STEP = 5
@@ -58,6 +58,32 @@ def order_candidates(spark, folder):
     )
 
 
+#: The default templates with one question that all categories ask in the same words.
+SHARED_QUESTION = ("Are {segment} goods for {nation} one zone?", "Zones follow the tariff: {part} have their own for {nation}.")
+SHARED_TEMPLATES = {c: [*pairs, SHARED_QUESTION] for c, pairs in templates.TEMPLATES.items()}
+
+
+def wanted_counts(spark, folder, factor):
+    """Examples wanted of each category: the customers of a market segment times a power of ``factor``."""
+    segments = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+    counts = table(spark, folder, "customer").where(F.col("c_mktsegment").isin(segments)).groupBy("c_mktsegment").count()
+    found = dict(tuple(r) for r in counts.collect())
+    return {c: found.get(s, 0) * factor**i for i, (c, s) in enumerate(zip(fixed.CATEGORIES, segments))}
+
+
+def order_attempts(spark, folder):
+    """A draw per order: a category picked by its customer, and five attempts."""
+    attempt = F.explode(F.sequence(F.lit(0), F.lit(fixed.ATTEMPTS_PER_EXAMPLE - 1))).alias("attempt")
+    number = F.col("draw") * fixed.ATTEMPTS_PER_EXAMPLE + F.col("attempt")
+    orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("draw"), F.col("o_custkey").alias("c_custkey"))
+    draws = orders.join(customers(spark, folder), "c_custkey").withColumn("category", category_of(F.col("c_custkey")))
+    candidates = draws.select("category", "customer", "segment", "nation", "draw", attempt).withColumn("candidate", number)
+    filled = generate.fill_templates(candidates, templates=SHARED_TEMPLATES)
+    return filled.withColumns({
+        "draw": F.expr(f"candidate div {fixed.ATTEMPTS_PER_EXAMPLE}"), "attempt": (F.col("candidate") % fixed.ATTEMPTS_PER_EXAMPLE).cast("int"),
+    })
+
+
 def answers(spark, folder, seed):
     """One filled example per customer; other seeds give other answers."""
     candidates = customers(spark, folder).select(

@@ -1,6 +1,7 @@
 """Plain SQL for the registered queries, written independently of the operators."""
 
 from colloquy import fixed, templates
+from colloquy.registry import inputs
 
 ORACLES = {}
 
@@ -254,14 +255,14 @@ ORACLES["preference_splits"] = f"""WITH {PAIRS}, s AS (SELECT * FROM {split_of('
 GIVEN = ["customer", "nation", "segment"]
 
 
-def filled(source, seed, key="candidate") -> str:
+def filled(source, seed, key="candidate", options=templates.TEMPLATES) -> str:
     """``key, category, user, assistant`` from ``key, category`` and the given slots."""
     parts = [f"'{seed}'", "category", key]
     given = ", ".join(GIVEN)
     rows = ", ".join(
-        f"({lit(c)}, {i}, {len(options)}, {lit(u)}, {lit(a)})"
-        for c, options in templates.TEMPLATES.items()
-        for i, (u, a) in enumerate(options)
+        f"({lit(c)}, {i}, {len(pairs)}, {lit(u)}, {lit(a)})"
+        for c, pairs in options.items()
+        for i, (u, a) in enumerate(pairs)
     )
     draw = pick("t.options", f"'{seed}'", "c.category", f"c.{key}", "'template'")
     sql = f"""SELECT c.*, t.u, t.a FROM {source} c
@@ -302,6 +303,47 @@ firsts AS (SELECT category, CASE WHEN candidate % 5 < 4 THEN 'template' ELSE 'un
   FROM filled WHERE candidate IN (SELECT min(candidate) FROM filled GROUP BY left("user", 80)))
 SELECT 'category' AS kind, category AS name, count(*) AS n FROM firsts GROUP BY category
 UNION ALL SELECT 'source', source, count(*) FROM firsts GROUP BY source"""
+
+
+def counted(wanted) -> str:
+    """The categories one after another, each without what those before have taken; ``wanted`` is SQL of
+    a category's number of examples."""
+    sql = ""
+    for i, c in enumerate(fixed.CATEGORIES):
+        before = " UNION ALL ".join(f"SELECT opening FROM taken{j}" for j in range(i)) or "SELECT NULL::VARCHAR AS opening WHERE false"
+        sql += f""",
+tried{i} AS (SELECT * FROM (SELECT candidate, left("user", 80) AS opening, row_number() OVER (ORDER BY candidate) AS r
+  FROM filled WHERE category = {lit(c)}) WHERE r <= 5 * ({wanted(i)})),
+new{i} AS (SELECT opening, min(candidate) AS candidate FROM tried{i}
+  WHERE opening NOT IN ({before}) GROUP BY opening),
+taken{i} AS MATERIALIZED (SELECT {lit(c)} AS category, * FROM (SELECT *, row_number() OVER (ORDER BY candidate) AS r FROM new{i})
+  WHERE r <= ({wanted(i)}))"""
+    union = " UNION ALL ".join(f"SELECT category, candidate FROM taken{i}" for i in range(len(fixed.CATEGORIES)))
+    return f"{sql},\ncounted AS (SELECT f.* FROM filled f SEMI JOIN ({union}) t ON f.category = t.category AND f.candidate = t.candidate)"
+
+
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+SHARED_ORDERS = ORDERS[: ORDERS.index("filled AS")] + f"filled AS MATERIALIZED ({filled('cand', 42, options=inputs.SHARED_TEMPLATES)})"
+ORACLES["generate_counted"] = f"""WITH {SHARED_ORDERS}{counted(
+    lambda i: f"SELECT count(*) * {3**i} FROM customer WHERE c_mktsegment = {lit(SEGMENTS[i])}")}
+SELECT * FROM counted"""
+ORACLES["generate_balanced"] = f"""WITH {SHARED_ORDERS}{counted(lambda i: "SELECT count(*) // 5 FROM customer")}
+SELECT * FROM counted"""
+ORACLES["generate_unbalanced"] = f"""WITH RECURSIVE
+cand AS (SELECT o_orderkey * 5 + k AS candidate, {category('o_custkey')} AS category, {SLOTS}
+  FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey, unnest(range(5)) u(k)),
+filled AS MATERIALIZED ({filled('cand', 42, options=inputs.SHARED_TEMPLATES)}),
+tries AS MATERIALIZED (SELECT candidate // 5 AS draw, candidate % 5 AS attempt, left("user", 80) AS opening FROM filled),
+rounds AS (
+  SELECT 0 AS round, draw, attempt, opening, true AS going FROM tries WHERE attempt = 0
+  UNION ALL
+  SELECT round, draw, attempt, opening, max(lost::INT) OVER () = 1 FROM (
+    SELECT r.round + 1 AS round, r.draw, t.attempt, t.opening, r.lost
+    FROM (SELECT *, draw <> min(draw) OVER (PARTITION BY opening) AS lost FROM rounds WHERE going AND attempt IS NOT NULL) r
+    LEFT JOIN tries t ON t.draw = r.draw AND t.attempt = r.attempt + r.lost::INT)),
+taken AS (SELECT draw, attempt FROM rounds WHERE round = (SELECT max(round) FROM rounds) AND attempt IS NOT NULL)
+SELECT draw, attempt::INT AS attempt, category, "user", assistant
+FROM taken JOIN filled ON candidate = draw * 5 + attempt"""
 SUBJECTS = "CASE c " + " ".join(
     f"WHEN {lit(k)} THEN {lit(v)}" for k, v in fixed.REQUEST_SUBJECTS.items()
 ) + f" ELSE {lit(fixed.REQUEST_SUBJECTS['policy_inquiry'])} END"
@@ -323,6 +365,15 @@ cut2 AS (SELECT example_id, category, u, {strip("string_split(a1, chr(10) || chr
 SELECT example_id, category, u AS "user", a AS assistant, 'model' AS source FROM cut2
 WHERE length(u) > 10 AND length(u) < 500 AND length(a) > 10 AND length(a) < 800"""
 
+COMPLETIONS = ORACLES["completion_parse"]
+ORACLES["hybrid_mix"] = f"""WITH {SHARED_ORDERS}{counted(lambda i: "SELECT floor(count(*) * 0.8::DOUBLE)::BIGINT // 5 FROM customer")},
+answered AS ({COMPLETIONS}),
+size AS (SELECT count(*) AS n FROM customer),
+placed AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY example_id) AS r FROM answered)
+SELECT candidate * 5 + list_position({lits(fixed.CATEGORIES)}, category) - 1 AS example_id, "user", assistant, category, 'template' AS source FROM counted
+UNION ALL SELECT -1 - example_id, "user", assistant, category, source FROM placed, size
+WHERE r <= (n - floor(n * 0.8::DOUBLE)::BIGINT) // 5"""
+
 # --- similarity metrics -------------------------------------------------------------
 
 

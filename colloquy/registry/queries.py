@@ -328,6 +328,34 @@ def unique_openings(spark, folder):
     return generate.first_of_each_opening(filled).select("candidate", "opening")
 
 
+@query
+def generate_counted(spark, folder):
+    """Later categories want more than their orders can give."""
+    filled = generate.fill_templates(I.order_candidates(spark, folder), templates=I.SHARED_TEMPLATES)
+    return generate.counted(filled, I.wanted_counts(spark, folder, 3))
+
+
+@query
+def generate_balanced(spark, folder):
+    filled = generate.fill_templates(I.order_candidates(spark, folder), templates=I.SHARED_TEMPLATES)
+    share = I.table(spark, folder, "customer").count() // len(fixed.CATEGORIES)
+    return generate.counted(filled, dict.fromkeys(fixed.CATEGORIES, share))
+
+
+@query
+def generate_unbalanced(spark, folder):
+    return generate.drawn(I.order_attempts(spark, folder)).select("draw", "attempt", "category", "user", "assistant")
+
+
+@query
+def hybrid_mix(spark, folder):
+    """Four fifths from the templates, the rest from a model's parsed completions."""
+    total = I.table(spark, folder, "customer").count()
+    filled = generate.fill_templates(I.order_candidates(spark, folder), templates=I.SHARED_TEMPLATES)
+    answered = generate.parsed_completions(I.completions(spark, folder), "model").withColumnRenamed("example_id", "row")
+    return generate.hybrid_of(filled, total, fixed.CATEGORIES, second=answered).select("example_id", "user", "assistant", "category", "source")
+
+
 @query
 def generation_stats(spark, folder):
     filled = generate.fill_templates(I.order_candidates(spark, folder))

@@ -1,6 +1,7 @@
 """Operators over tables: splits, pairs, preference, generation, evaluation, logs."""
 
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -114,7 +115,7 @@ def test_best_step_first_wins_ties(spark):
 def test_throughput_guards_zero(spark):
     df, _ = log(spark)
     rows = {(r.run_id, r.step): r for r in runlogs.throughput(df, F.lit(100)).collect()}
-    cut = {(r.run_id, r.step): r for r in runlogs.throughput(df, F.lit(100), chunk_rows=10).collect()}
+    cut = {(r.run_id, r.step): r for r in runlogs.throughput(df.repartition(3), F.lit(100)).collect()}
     assert rows == cut
     assert rows[1, 1].steps_per_second == 0.0 and rows[1, 1].remaining == 0.0
     assert rows[1, 11].steps_per_second == pytest.approx(11 / 20) and rows[1, 11].remaining == pytest.approx(89 / (11 / 20))
@@ -247,3 +248,89 @@ def test_hybrid_takes_no_more_than_the_share_of_the_second_producer(spark):
     other = [r for r in rows if r.source == "other"]
     assert len(rows) <= 50 and len(other) == 10 // len(names) * len(names)
     assert max(-1 - r.example_id for r in other) < 10
+
+
+def one_after_another(rows, counts):
+    """Categories in turn; each tries its first 5 * count candidates and takes those of new openings."""
+    seen, taken = set(), set()
+    for category, count in counts.items():
+        got = 0
+        for candidate, _, user, _ in sorted(r for r in rows if r[1] == category)[: 5 * count]:
+            if got < count and user[:80] not in seen:
+                seen.add(user[:80])
+                taken.add((category, candidate))
+                got += 1
+    return taken
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_counted_generation_equals_one_category_after_another(spark, seed):
+    rng = random.Random(seed)
+    rows = [(i, rng.choice("abcd"), f"q{rng.randrange(25)}" + "x" * 90, "s") for i in range(400)]
+    counts = {"b": 9, "d": 0, "a": 12, "c": 30, "none": 4}
+    df = spark.createDataFrame(rows, "candidate long, category string, user string, assistant string").repartition(3)
+    found = generate.counted(df, counts).collect()
+    want = one_after_another(rows, counts)
+    assert {(r.category, r.candidate) for r in found} == want and len(found) == len(want)
+    assert 0 < sum(r.category == "c" for r in found) < 30
+    seen = spark.createDataFrame([(f"q{i}" + "x" * 90,) for i in range(25)], "o string").select(generate.opening("o").alias("opening"))
+    assert generate.counted(df, counts, seen=seen).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_drawn_generation_equals_one_draw_after_another(spark, seed):
+    rng = random.Random(seed)
+    rows = [(d, a, f"q{rng.randrange(60)}") for d in range(100) for a in range(5)]
+    seen, want = {"q7"}, set()
+    for d, a, user in rows:
+        if user not in seen and d not in {w[0] for w in want}:
+            seen.add(user)
+            want.add((d, a))
+    df = spark.createDataFrame(rows, "draw long, attempt int, user string").repartition(3)
+    found = generate.drawn(df, seen=spark.createDataFrame([("q7",)], "opening string")).collect()
+    assert {(r.draw, r.attempt) for r in found} == want and 50 < len(found) == len(want) <= 59
+
+
+def test_hybrid_from_a_table_falls_back_on_its_own_candidates(spark):
+    rows = [(i, "ab"[i % 2], f"q{i // 2}", "s") for i in range(400)]
+    df = spark.createDataFrame(rows, "candidate long, category string, user string, assistant string")
+    found = generate.hybrid_of(df, 50, ["a", "b"]).collect()
+    assert sum(r.source == "template" for r in found) == 40 and sum(r.source == "template_fallback" for r in found) == 10
+    assert len({r.user for r in found}) == 50
+
+
+def test_ranks_of_several_groups_in_one_search(spark, monkeypatch):
+    monkeypatch.setattr(cuts, "FEW_ROWS", 5)
+    monkeypatch.setattr(cuts, "BUCKETS", 4)
+    rows = [(i % 3, i * 37 % 101 if i % 3 else 7, i) for i in range(600)]
+    table = cuts.numbered(spark.createDataFrame(rows, "g int, v long, id long"), F.col("v"), [F.col("id")], F.col("g"))
+    order = {g: sorted((v, i) for h, v, i in rows if h == g) for g in range(3)}
+    found = cuts.of_ranks(table, {0: [1, 150, 201], 1: [1, 2, 200], 2: [77, 0], 9: [1]})
+    assert found == {(0, 1): order[0][0], (0, 150): order[0][149], **{(1, k): order[1][k - 1] for k in (1, 2, 200)}, (2, 77): order[2][76]}
+
+
+@pytest.mark.parametrize("order", [["ts", "event_id"], ["event_id"]])
+def test_positions_of_one_time_stamp_and_many_large_keys(spark, order):
+    rows = [(0, 5, (i * 7919) % 3_000) for i in range(3_000)] + [(k, 5, i) for k in range(1, 201) for i in range(12)] + [(None, 5, i) for i in range(15)]
+    df = spark.createDataFrame(rows, "user long, ts long, event_id long").repartition(4)
+    for chunk_rows in (10, 250):
+        placed = hotkeys.add_position(df, "user", order, chunk_rows=chunk_rows).collect()
+        assert len(placed) == len(rows) and all(r.position == r.event_id + 1 for r in placed)
+    chunked, cut = hotkeys.add_chunks(df, "user", order, 250)
+    assert cut and max(r["count"] for r in chunked.groupBy("chunk").count().collect()) < 1_500
+
+
+@pytest.mark.parametrize("smoothing, block_rows", [(0.9, 512), (0.9, 7), (0.999, 3), (0.01, 50), (1.0, 8), (0.0, 8)])
+def test_smoothing_in_blocks_equals_a_loop(spark, smoothing, block_rows):
+    rng = random.Random(1)
+    rows = [(run, step, rng.uniform(-5, 9) if rng.random() < 0.9 else None) for run in (1, None) for step in range(400)]
+    found = {(r.run_id, r.step): r.smoothed for r in runlogs.smoothed_loss(spark.createDataFrame(rows, "run_id long, step long, loss double"), smoothing, block_rows=block_rows).collect()}
+    value, last = None, object()
+    for run, step, x in rows:
+        if run is not last:
+            value, last = None, run
+        if x is None:
+            assert (run, step) not in found
+            continue
+        value = x if value is None else smoothing * value + (1 - smoothing) * x
+        assert abs(found[run, step] - value) < 1e-9
