@@ -3,20 +3,22 @@
 A row is dropped when it is similar to a kept row of lower key, as if rows were
 scanned in key order.  The steps:
 
-1. Rows of equal words collapse to the lowest key (one hash aggregate).
-2. The n-grams of every remaining row are put in one order for all rows, rarest
-   first, and its first ones become entries (prefix filter).  The shorter row of a
+1. The n-grams of every row are put in one order for all rows, and its first ones
+   are written as its prefix (prefix filter).  Rows of equal words collapse to the
+   lowest key (one hash aggregate).
+2. The prefixes of the remaining rows become entries; those of n-grams in one row
+   only go before anything is stored.  The shorter row of a
    similar pair shares one of its still fewer *index* entries with the longer one,
    and at the first n-gram they share, enough n-grams follow in both rows to reach
-   the threshold.  Text that many rows share comes last in the order, so it brings
-   no rows together.  Entries are 64-bit hashes; chance collisions only bring more
-   pairs.
+   the threshold.  Any order would give the same rows; this one puts what a sample of rows
+   holds often last, so text that many rows share brings no rows together.  Entries are
+   64-bit hashes; chance collisions only bring more pairs.
 3. An n-gram with few entries yields their pairs.  One with many, as near-copies
    have, yields only the pairs with its lowest row; when those drop the copies, the
    rest goes on in the next round.  When a round drops too little, the remaining
    groups are compared whole, in tiles of bounded size.
-4. Pairs are checked on the stored hashes first and the survivors on the full sets,
-   and rows decided in rounds: a row without an undecided lower neighbour is kept,
+4. Pairs are checked on hashes of the rows that have entries left, those that one chance collision
+   could decide on the full sets, and rows decided in rounds: a row without an undecided lower neighbour is kept,
    the higher neighbours of a kept row drop.
 """
 
@@ -34,9 +36,9 @@ from colloquy.operators.lineage import settle
 
 #: Rows of a group whose pairs are listed at once; larger ones start with their lowest row.
 SMALL_GROUP = 50
-#: N-grams holding more than this share of all are put in order by their count, the
-#: others by hash alone; there are never more than a million of them.
-FREQUENT_SHARE = 1e-6
+#: Rows, about, whose n-grams are counted for the order.  N-grams holding more than a share of theirs, and seen in
+#: several, are put in order by count, the others by hash alone; there are never more than a million of them.
+SAMPLE_ROWS, FREQUENT_SHARE = 4_096, 1e-6
 #: Rows at one side of a tile.
 TILE_ROWS = 2_000
 #: Rounds must leave no more than this share of the rows that wait.
@@ -51,18 +53,11 @@ def _hashed(texts: DataFrame, n: int) -> DataFrame:
     return texts.select("rid", hashes).select("rid", F.size("hashes").alias("size"), "hashes")
 
 
-def _distinct_texts(texts: DataFrame, n: int) -> DataFrame:
-    """The lowest key per word sequence; equal sequences have equal sets."""
+def _sequence(n: int) -> Column:
+    """A digest of the words; equal sequences have equal sets."""
     whole = X.strip(F.lower("text"))
-    sequence = X.let(
-        X.words(whole), lambda t: F.when(F.size(t) < n, whole).otherwise(F.array_join(t, " "))
-    )
-    return (
-        texts.select("rid", F.sha2(sequence, 256).alias("digest"))
-        .groupBy("digest")
-        .agg(F.min("rid").alias("rid"))
-        .select("rid")
-    )
+    words = X.let(X.words(whole), lambda t: F.when(F.size(t) < n, whole).otherwise(F.array_join(t, " ")))
+    return F.unhex(F.sha2(words, 256))
 
 
 def _frequent(hashed: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -73,14 +68,11 @@ def _frequent(hashed: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return found["h"].to_numpy("int64"), found["n"].to_numpy("int64")
 
 
-def _entries(hashed: DataFrame, threshold: float) -> DataFrame:
-    """``rid, size, key, pos, index``: the first n-grams of each row, rarest first.
-
-    A row of ``s`` n-grams has ``s - ceil(t * s) + 1`` entries; the first
-    ``s - ceil(2t / (1 + t) * s) + 1`` are its index entries, enough towards rows no
-    shorter than itself."""
-    hashes, counts = _frequent(hashed)
-    order = hashed.sparkSession.sparkContext.broadcast((hashes, counts))
+def _prefixes(hashed: DataFrame, threshold: float, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """The rows with ``keys`` for ``hashes``: the first n-grams in order, of ``s`` n-grams ``s - ceil(t * s) + 1``."""
+    order = hashed.sparkSession.sparkContext.broadcast(frequent)
+    kept = [f for f in hashed.schema.fields if f.name != "hashes"]
+    schema = T.StructType([*kept, T.StructField("keys", T.ArrayType(T.LongType()))])
 
     def first_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, times = order.value
@@ -94,24 +86,29 @@ def _entries(hashed: DataFrame, threshold: float) -> DataFrame:
             row = np.repeat(np.arange(len(size)), size)
             by = np.lexsort((grams, n, row))
             pos = np.arange(len(grams)) - np.repeat(np.cumsum(size) - size, size)
-            length = size - np.ceil(size * threshold - SLACK).astype("int64") + 1
-            index = size - np.ceil(size * (2 * threshold / (1 + threshold)) - SLACK).astype("int64") + 1
-            taken = pos < length[row]
-            row, pos = row[taken], pos[taken]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("rid").take(pa.array(row)), pa.array(size[row].astype("int32")),
-                 pa.array(grams[by][taken]), pa.array(pos.astype("int32")), pa.array(pos < index[row])],
-                ["rid", "size", "key", "pos", "index"],
-            )
+            length = np.minimum(size, size - np.ceil(size * threshold - SLACK).astype("int64") + 1)
+            keys = pa.array(grams[by][pos < length[row]], pa.int64())
+            ends = pa.array(np.r_[0, np.cumsum(length)].astype("int32"))
+            columns = [batch.column(f.name) for f in kept]
+            yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(ends, keys)], schema.names)
 
-    schema = T.StructType([
-        T.StructField("rid", hashed.schema["rid"].dataType), T.StructField("size", T.IntegerType()),
-        T.StructField("key", T.LongType()), T.StructField("pos", T.IntegerType()),
-        T.StructField("index", T.BooleanType()),
-    ])
     return hashed.mapInArrow(first_ones, schema)
 
 
+def _exploded(prefixes: DataFrame, threshold: float) -> DataFrame:
+    """``rid, size, key, pos, index``: an entry for each n-gram of a prefix.  The
+    first ``s - ceil(2t / (1 + t) * s) + 1`` are index entries, enough towards rows no
+    shorter than the row itself."""
+    index = F.col("size") - F.ceil(F.col("size") * F.lit(2 * threshold / (1 + threshold)) - F.lit(SLACK)) + 1
+    return prefixes.select("rid", "size", F.posexplode("keys").alias("pos", "key")).select(
+        "rid", "size", "key", "pos", (F.col("pos") < index).alias("index")
+    )
+
+
+def _entries(hashed: DataFrame, threshold: float) -> DataFrame:
+    return _exploded(_prefixes(hashed, threshold, _frequent(hashed)), threshold)
+
+
 def _may_be_similar(a: str, b: str, threshold: float) -> Column:
     """Whether two entries of one n-gram, in columns of these prefixes, can be the first
     common ones of a similar pair."""
@@ -155,21 +152,28 @@ def _pairs_in_tiles(entries: DataFrame, threshold: float) -> DataFrame:
 
 
 def _check_pairs(pairs: DataFrame, hashed: DataFrame, texts: DataFrame, threshold: float, n: int) -> DataFrame:
-    """The pairs that reach the threshold, on the stored hashes and then on their full sets."""
+    """The pairs that reach the threshold, by their hashes; where one hash of two n-grams could
+    make the difference, by the full sets."""
 
-    def joined(pairs, sets, left, right):
-        low = sets.select(F.col("rid").alias("lo"), F.col("set").alias(left))
-        high = sets.select(F.col("rid").alias("hi"), F.col("set").alias(right))
+    def joined(pairs, sets):
+        low = sets.select(F.col("rid").alias("lo"), F.col("set").alias("lo_set"))
+        high = sets.select(F.col("rid").alias("hi"), F.col("set").alias("hi_set"))
         return pairs.join(low, "lo").join(high, "hi")
 
-    similar = lambda: X.jaccard(F.col("lo_set"), F.col("hi_set")) >= F.lit(threshold)
-    near = joined(pairs, hashed.select("rid", F.col("hashes").alias("set")), "lo_set", "hi_set")
-    near = settle(near.where(similar()).select("lo", "hi"), "near")
-    ends = near.select(F.explode(F.array("lo", "hi")).alias("rid")).distinct()
+    both = F.size("lo_set") + F.size("hi_set")
+    near = joined(pairs, hashed.select("rid", F.col("hashes").alias("set"))).select(
+        "lo", "hi", both.alias("both"), F.size(F.array_intersect("lo_set", "hi_set")).alias("shared")
+    )
+    share = lambda less: (F.col("shared") - less) / (F.col("both") - F.col("shared") + less)
+    near = near.where((F.col("shared") > 0) & (share(0) >= F.lit(threshold)))
+    near = settle(near.select("lo", "hi", (share(1) >= F.lit(threshold)).alias("sure")), "near")
+    sure, close = near.where("sure").select("lo", "hi"), near.where("not sure").select("lo", "hi")
+    ends = close.select(F.explode(F.array("lo", "hi")).alias("rid")).distinct()
     sets = texts.join(ends, "rid", "left_semi").select(
         "rid", X.once(X.shingles(F.col("text"), n)).alias("set")
     )
-    return joined(near, sets, "lo_set", "hi_set").where(similar()).select("lo", "hi")
+    similar = X.jaccard(F.col("lo_set"), F.col("hi_set")) >= F.lit(threshold)
+    return sure if close.isEmpty() else sure.unionByName(joined(close, sets).where(similar).select("lo", "hi"))
 
 
 def _decide(edges: DataFrame, waiting: DataFrame | None):
@@ -212,13 +216,21 @@ def kept_keys(
         raise ValueError(f"threshold must lie in (0, 1], got {threshold}")
     text = F.col(text) if isinstance(text, str) else text
     texts = df.select(F.col(key).alias("rid"), F.coalesce(text, F.lit("")).alias("text"))
-    distinct = settle(_distinct_texts(texts, n), "distinct")
+    every = max(1, df.count() // SAMPLE_ROWS)
+    sample = _hashed(texts.where(F.pmod(F.xxhash64("rid"), F.lit(every)) == 0), n)
+    frequent = _frequent(settle(sample, "sample"))
+    digested = texts.select("rid", _sequence(n).alias("digest"), X.once(X.shingle_hashes(F.col("text"), n, 1)).alias("hashes"))
+    digested = digested.select("rid", "digest", F.size("hashes").alias("size"), "hashes")
+    prefixes = settle(_prefixes(digested, threshold, frequent), "prefixes")
+    distinct = settle(prefixes.groupBy("digest").agg(F.min("rid").alias("rid")).select("rid"), "distinct")
     everything = distinct.select(F.col("rid").alias(key))
-    texts = texts.join(distinct, "rid", "left_semi")
-    hashed = settle(_hashed(texts, n), "hashes")
+    entries = _exploded(prefixes.drop("digest").join(distinct, "rid", "left_semi"), threshold)
+    shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count_if("index").alias("indexed"))
+    shared = settle(shared.where("n > 1 and indexed > 0").select("key"), "shared")
+    entries = settle(entries.join(shared, "key", "left_semi"), "entries")
+    hashed = settle(_hashed(texts.join(entries.select("rid").distinct(), "rid", "left_semi"), n), "hashes")
     check = lambda pairs: _check_pairs(pairs, hashed, texts, threshold, n)
 
-    entries = settle(_entries(hashed, threshold), "entries")
     edges, dropped, waited = None, [], None
     while True:
         count = F.count(F.lit(1))
@@ -286,10 +298,13 @@ def one_of_each(
 ) -> DataFrame:
     """As ``deduplicate``, for keys that may repeat or be null: as if rows were scanned by key, rows of one key as
     stored, rows without a key last.  All columns stay."""
-    stored = df.withColumn("__row", F.monotonically_increasing_id())
-    ordered = stored.orderBy(F.col(key).asc_nulls_last(), "__row").drop("__row")
-    ranked = settle(ordered.withColumn("__rank", F.monotonically_increasing_id()), "dedup-rows")
-    return deduplicate(ranked, "__rank", text, threshold, n, small_group).drop("__rank")
+    if df.groupBy(key).count().where((F.col("count") > 1) | F.col(key).isNull()).isEmpty():
+        return deduplicate(df, key, text, threshold, n, small_group)
+    stored = settle(df.withColumn("__row", F.monotonically_increasing_id()), "dedup-rows")
+    order = stored.select(key, "__row").orderBy(F.col(key).asc_nulls_last(), "__row")
+    ranks = settle(order.select("__row", F.monotonically_increasing_id().alias("__rank")), "dedup-ranks")
+    ranked = stored.join(ranks, "__row")
+    return deduplicate(ranked, "__rank", text, threshold, n, small_group).drop("__row", "__rank")
 
 
 def deduplicate_examples(df: DataFrame, threshold: float = fixed.DEDUP_THRESHOLD, **kwargs) -> DataFrame:
