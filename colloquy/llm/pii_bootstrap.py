@@ -289,14 +289,16 @@ def mask(text: str, spans) -> str:
 
 
 def masked(df: DataFrame, text: str = "text", **options) -> DataFrame:
-    """All columns of ``df``, the text masked (null stays null); one row per row."""
-    stored = settle(df.withColumn("__id", F.monotonically_increasing_id()), "pii-rows")
-    spans = marked(stored, ["__id"], text, **options)
-    spans = spans.select("__id", F.concat("base", "found").alias("spans")).where(F.size("spans") > 0)
-    both = stored.join(spans, "__id", "left")
-    plain = both.where("spans is null").select(*df.columns)
-    hit = both.where("spans is not null").withColumn("__both", F.struct(F.col(text).alias("text"), "spans"))
-    new = T.StructType([T.StructField("__masked", T.StringType())])
+    """All columns of ``df``, whatever their names, the text masked (null stays null, empty stays empty); one row per row,
+    repeated ones too.  An empty table gives an empty result."""
+    stored = settle(df.select(F.struct(*df.columns).alias("row"), F.monotonically_increasing_id().alias("id")), "pii-rows")
+    spans = marked(stored, ["id"], f"row.{text}", **options)
+    spans = spans.select("id", F.concat("base", "found").alias("spans")).where(F.size("spans") > 0)
+    both = stored.join(spans, "id", "left")
+    hit = both.where("spans is not null").select("row", F.struct(F.col("row")[text].alias("text"), "spans").alias("both"))
+    new = T.StructType([T.StructField("masked", T.StringType())])
     replace = lambda: lambda x: [(mask(x["text"], [(s["kind"], s["start"], s["end"]) for s in x["spans"]]),)]
-    done = map_rows(hit, "__both", df.columns, new, replace)
-    return plain.union(done.withColumn(text, F.col("__masked")).select(*df.columns))
+    done = map_rows(hit, "both", ["row"], new, replace)
+    columns = lambda changed: [changed if c == text else F.col("row")[c].alias(c) for c in df.columns]
+    plain = both.where("spans is null").select(*columns(F.col("row")[text].alias(text)))
+    return plain.union(done.select(*columns(F.col("masked").alias(text))))
