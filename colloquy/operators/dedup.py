@@ -17,7 +17,7 @@ scanned in key order.  The steps:
    have, yields only the pairs with its lowest row; when those drop the copies, the
    rest goes on in the next round.  When a round drops too little, the remaining
    groups are compared whole, in tiles of bounded size.
-4. Pairs are checked on hashes of the rows that have entries left, those that one chance collision
+4. Pairs are checked on hashes of their rows, those that one chance collision
    could decide on the full sets, and rows decided in rounds: a row without an undecided lower neighbour is kept,
    the higher neighbours of a kept row drop.
 """
@@ -151,9 +151,11 @@ def _pairs_in_tiles(entries: DataFrame, threshold: float) -> DataFrame:
     return _listed(low, high, ["key", "line", "column"], threshold).distinct()
 
 
-def _check_pairs(pairs: DataFrame, hashed: DataFrame, texts: DataFrame, threshold: float, n: int) -> DataFrame:
+def _check_pairs(pairs: DataFrame, texts: DataFrame, threshold: float, n: int) -> DataFrame:
     """The pairs that reach the threshold, by their hashes; where one hash of two n-grams could
     make the difference, by the full sets."""
+    pairs = settle(pairs, "pairs")
+    ends = lambda pairs: texts.join(pairs.select(F.explode(F.array("lo", "hi")).alias("rid")).distinct(), "rid", "left_semi")
 
     def joined(pairs, sets):
         low = sets.select(F.col("rid").alias("lo"), F.col("set").alias("lo_set"))
@@ -161,17 +163,15 @@ def _check_pairs(pairs: DataFrame, hashed: DataFrame, texts: DataFrame, threshol
         return pairs.join(low, "lo").join(high, "hi")
 
     both = F.size("lo_set") + F.size("hi_set")
-    near = joined(pairs, hashed.select("rid", F.col("hashes").alias("set"))).select(
+    hashed = settle(_hashed(ends(pairs), n).select("rid", F.col("hashes").alias("set")), "hashes")
+    near = joined(pairs, hashed).select(
         "lo", "hi", both.alias("both"), F.size(F.array_intersect("lo_set", "hi_set")).alias("shared")
     )
     share = lambda less: (F.col("shared") - less) / (F.col("both") - F.col("shared") + less)
     near = near.where((F.col("shared") > 0) & (share(0) >= F.lit(threshold)))
     near = settle(near.select("lo", "hi", (share(1) >= F.lit(threshold)).alias("sure")), "near")
     sure, close = near.where("sure").select("lo", "hi"), near.where("not sure").select("lo", "hi")
-    ends = close.select(F.explode(F.array("lo", "hi")).alias("rid")).distinct()
-    sets = texts.join(ends, "rid", "left_semi").select(
-        "rid", X.once(X.shingles(F.col("text"), n)).alias("set")
-    )
+    sets = ends(close).select("rid", X.once(X.shingles(F.col("text"), n)).alias("set"))
     similar = X.jaccard(F.col("lo_set"), F.col("hi_set")) >= F.lit(threshold)
     return sure if close.isEmpty() else sure.unionByName(joined(close, sets).where(similar).select("lo", "hi"))
 
@@ -228,8 +228,7 @@ def kept_keys(
     shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count_if("index").alias("indexed"))
     shared = settle(shared.where("n > 1 and indexed > 0").select("key"), "shared")
     entries = settle(entries.join(shared, "key", "left_semi"), "entries")
-    hashed = settle(_hashed(texts.join(entries.select("rid").distinct(), "rid", "left_semi"), n), "hashes")
-    check = lambda pairs: _check_pairs(pairs, hashed, texts, threshold, n)
+    check = lambda pairs: _check_pairs(pairs, texts, threshold, n)
 
     edges, dropped, waited = None, [], None
     while True:
