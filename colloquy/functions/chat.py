@@ -35,22 +35,20 @@ def chat_prompt(user: Column, system_prompt: str | None = None) -> Column:
     )
 
 
-def conversation_prompt(messages: Column, system_prompt: str | None = None) -> Column:
-    """Ordered ``(role, content)`` structs to a prompt: stored system turns give way
-    to the system prompt; only a missing prompt (not an empty one) is defaulted."""
-    system = fixed.SYSTEM_PROMPT if system_prompt is None else system_prompt
+def spoken_text(messages: Column) -> Column:
+    """Ordered ``(role, content)`` structs as blocks, without stored system turns; null where none is left."""
     role = lambda m: F.coalesce(m["role"], F.lit("user"))
     spoken = F.filter(messages, lambda m: role(m) != "system")
-    return F.array_join(
-        F.concat(
-            F.array(block("system", F.lit(system))),
-            F.transform(
-                spoken, lambda m: block(role(m), F.coalesce(m["content"], F.lit("")))
-            ),
-            F.array(F.lit(fixed.IM_START + "assistant\n")),
-        ),
-        "\n",
-    )
+    blocks = F.transform(spoken, lambda m: block(role(m), F.coalesce(m["content"], F.lit(""))))
+    return F.when(F.size(blocks) > 0, F.array_join(blocks, "\n"))
+
+
+def conversation_prompt(parts: Column, system_prompt: str | None = None) -> Column:
+    """Ordered texts of ``spoken_text`` to a prompt: stored system turns give way
+    to the system prompt; only a missing prompt (not an empty one) is defaulted."""
+    system = fixed.SYSTEM_PROMPT if system_prompt is None else system_prompt
+    ends = F.array(block("system", F.lit(system))), F.array(F.lit(fixed.IM_START + "assistant\n"))
+    return F.array_join(F.concat(ends[0], parts, ends[1]), "\n")
 
 
 def category_or_unknown(category="category") -> Column:

@@ -48,12 +48,19 @@ def adjacent_pairs(turns: DataFrame, chunk_rows: int = hotkeys.CHUNK_ROWS) -> Da
     )
 
 
-def conversation_prompts(turns: DataFrame, system_prompt: str | None = None) -> DataFrame:
-    """One open prompt per conversation.  A prompt holds its whole conversation, so
-    the grouped turns are never larger than the row they become."""
+def conversation_prompts(
+    turns: DataFrame, system_prompt: str | None = None, chunk_rows: int = hotkeys.CHUNK_ROWS
+) -> DataFrame:
+    """One open prompt per conversation.  Its turns are joined to text in chunks of about ``chunk_rows``, and
+    the chunks' texts in their order, so only the prompt itself is ever as large as its conversation."""
+    chunked, _ = hotkeys.add_chunks(turns.select("conv_id", "turn", "role", "text"), "conv_id", ["turn", "role", "text"], chunk_rows)
     messages = F.sort_array(
         F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))
     )
-    return turns.groupBy("conv_id").agg(messages.alias("messages")).select(
-        "conv_id", chat.conversation_prompt(F.col("messages"), system_prompt).alias("prompt")
+    parts = chunked.groupBy("conv_id", "chunk").agg(messages.alias("messages")).select(
+        "conv_id", F.struct("chunk", chat.spoken_text(F.col("messages")).alias("text")).alias("part")
+    )
+    in_order = F.sort_array(F.collect_list("part"))["text"]
+    return parts.groupBy("conv_id").agg(in_order.alias("parts")).select(
+        "conv_id", chat.conversation_prompt(F.col("parts"), system_prompt).alias("prompt")
     )

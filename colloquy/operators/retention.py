@@ -103,3 +103,13 @@ def forgetting(overall: DataFrame, base="baseline", tuned="finetuned") -> DataFr
         .withColumn("message", message)
         .withColumn("threshold_5pct", F.col("relative_drop") < fixed.MINIMAL_DROP)
     )
+
+
+def forgetting_report(details: DataFrame) -> DataFrame:
+    """The comparison overall (no category), with severity and message, and per category."""
+    overall = forgetting(overall_accuracy(details)).select(
+        F.lit(None).cast("string").alias("category"), F.col("baseline_accuracy").alias("baseline"),
+        F.col("finetuned_accuracy").alias("finetuned"), F.col("absolute_drop").alias("drop"),
+        "relative_drop", "severity", "message", "threshold_5pct",
+    )
+    return overall.unionByName(compare_categories(accuracy_by_category(details)), allowMissingColumns=True)

@@ -103,13 +103,22 @@ def before_after_metrics(compared: DataFrame) -> DataFrame:
 
 def metric_deltas(rows: DataFrame) -> DataFrame:
     """Per metric the mean of both models and the difference."""
-    means = rows.groupBy("model").agg(*[F.avg(m).alias(m) for m in OVERALL])
+    return _deltas(rows, [], OVERALL)
+
+
+def category_deltas(rows: DataFrame) -> DataFrame:
+    """The same for each category."""
+    return _deltas(rows, ["category"], BY_CATEGORY)
+
+
+def _deltas(rows: DataFrame, by: list[str], names: list[str]) -> DataFrame:
+    means = rows.groupBy("model", *by).agg(*[F.avg(m).alias(m) for m in names])
     long = means.select(
-        "model",
-        F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in OVERALL])).alias("x"),
-    ).select("model", "x.*")
+        "model", *by,
+        F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in names])).alias("x"),
+    ).select("model", *by, "x.*")
     return (
-        long.groupBy("metric")
+        long.groupBy(*by, "metric")
         .pivot("model", ["baseline", "finetuned"])
         .agg(F.first("value"))
         .withColumn("delta", F.col("finetuned") - F.col("baseline"))

@@ -2,7 +2,7 @@
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from colloquy import fixed
@@ -25,13 +25,16 @@ def clean(
     dedup_threshold: float = fixed.DEDUP_THRESHOLD,
     min_quality: float = fixed.MIN_QUALITY,
 ) -> Cleaned:
-    """Each stage can be switched off; it then reports the rows it was given.  The
-    masked table is written once, as the later stages each read it again."""
-    masked = settle(pii.mask_fields(examples), "masked") if mask_pii else examples
+    """Each stage can be switched off; it then reports the rows it was given.  The masked and the kept rows are
+    written once, and the counts are taken while they are."""
+    spark, one = examples.sparkSession, F.lit(1)
+    given, left = Observation(), Observation()
+    masked = pii.mask_fields(examples) if mask_pii else examples
+    masked = settle(masked.observe(given, F.count(one).alias("n")), "masked")
     found = (
         pii.pii_totals(masked)
         if mask_pii
-        else examples.sparkSession.createDataFrame([], "field string, pii_type string, n long")
+        else spark.createDataFrame([], "field string, pii_type string, n long")
     )
     plain = masked.select(*examples.columns)
     unique = dedup.deduplicate_examples(plain, dedup_threshold) if remove_duplicates else plain
@@ -40,23 +43,16 @@ def clean(
         keep = F.col("quality") >= F.lit(float(min_quality))
     else:
         scored, keep = unique, F.lit(True)
-    kept = scored.where(keep).select(*examples.columns)
-    # Masking drops no row, so the funnel needs one pass over either end.
-    before = plain.agg(F.count(F.lit(1)).alias("n_before"))
-    after = scored.agg(F.count(F.lit(1)).alias("n_unique"), F.count_if(keep).alias("n_kept"))
+    scored = scored.observe(left, F.count(one).alias("n_unique"), F.count_if(keep).alias("n_kept"))
+    kept = settle(scored.where(keep).select(*examples.columns), "kept")
+    # Masking drops no row, so the first two stages have one count.
     stages = [
-        ("original_count", "n_before"),
-        ("after_pii_masking", "n_before"),
-        ("after_deduplication", "n_unique"),
-        ("after_quality_filtering", "n_kept"),
+        ("original_count", given.get["n"]),
+        ("after_pii_masking", given.get["n"]),
+        ("after_deduplication", left.get["n_unique"]),
+        ("after_quality_filtering", left.get["n_kept"]),
     ]
-    counts = before.withColumn("one", F.lit(1)).join(after.withColumn("one", F.lit(1)), "one")
-    funnel = counts.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(s).alias("stage"), F.col(c).alias("n")) for s, c in stages])
-        ).alias("x")
-    ).select("x.*")
-    return Cleaned(kept, funnel, found)
+    return Cleaned(kept, spark.createDataFrame(stages, "stage string, n long"), found)
 
 
 def retention_rate(funnel: DataFrame) -> DataFrame:

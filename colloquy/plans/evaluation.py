@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colloquy import fixed
-from colloquy.operators import taskmetrics
+from colloquy.operators import retention, taskmetrics
 from colloquy.operators.lineage import settle
 from colloquy.sources import files
 
@@ -51,3 +51,13 @@ def evaluate_models(
         files.write_report(side("finetuned"), f"{folder}/finetuned_metrics")
         files.write_report(side("baseline"), f"{folder}/baseline_metrics")
     return Evaluation(side("finetuned"), side("baseline"), taskmetrics.first_comparisons(compared))
+
+
+def full_report(compared: DataFrame, details: DataFrame, folder: str) -> None:
+    """Everything about a training run in three small reports under ``folder``: ``task_metrics`` before and after, overall and per
+    category, ``forgetting`` on the multiple-choice items, and the first ``comparisons``."""
+    rows = settle(taskmetrics.before_after_metrics(compared), "scored")
+    overall = taskmetrics.metric_deltas(rows).withColumn("category", F.lit(None).cast("string"))
+    files.write_report(overall.unionByName(taskmetrics.category_deltas(rows)), f"{folder}/task_metrics")
+    files.write_report(retention.forgetting_report(details), f"{folder}/forgetting")
+    files.write_report(taskmetrics.first_comparisons(compared), f"{folder}/comparisons")

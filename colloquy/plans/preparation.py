@@ -14,10 +14,11 @@ def generate_examples(spark: SparkSession, total: int, seed: int = 42, **kwargs)
 
 
 def prepare(examples: DataFrame, folder: str, system_prompt: str | None = None, seed: int = 42, **cleaning) -> Cleaned:
-    """Clean the examples, cut exact splits, and store splits and preference pairs
+    """Clean the examples, cut exact splits, and store the cleaned table, splits and preference pairs
     under ``folder``."""
     cleaned = clean(examples, **cleaning)
-    kept = settle(cleaned.examples, "cleaned")
+    kept = cleaned.examples
+    files.write_json(kept, f"{folder}/cleaned")
     labelled = split.exact_split(kept, seed=seed)
     files.write_splits(labelled, f"{folder}/splits", system_prompt)
     pairs = preference.preference_splits(labelled)

@@ -137,6 +137,7 @@ def choice_scores(spark, folder):
 def choice_items(spark, folder):
     return table(spark, folder, "embeddings").select(
         F.col("vec_id").alias("question_id"),
+        F.concat(F.lit("Which quarter of half a vector holds the largest number of "), F.col("vec_id").cast("string"), F.lit("?")).alias("question"),
         (F.col("label") % 4).alias("answer"),
         F.col("label").cast("string").alias("category"),
     )

@@ -521,6 +521,14 @@ b AS (SELECT * FROM mm WHERE m = 0), t AS (SELECT * FROM mm WHERE m = 1)
     for m in ALL_SCORES
 )
 
+ORACLES["before_after_by_category"] = f"WITH RECURSIVE {COMPARED}, {BOTH}, " + f"""
+mm AS (SELECT id % 2 AS m, category, {', '.join(f'avg({m}) AS {m}' for m in FEW_SCORES)} FROM sc GROUP BY 1, 2),
+b AS (SELECT * FROM mm WHERE m = 0), t AS (SELECT * FROM mm WHERE m = 1)
+""" + " UNION ALL ".join(
+    f"SELECT category, '{m}' AS metric, round(b.{m}, 6) AS baseline, round(t.{m}, 6) AS finetuned, round(t.{m} - b.{m}, 6) AS delta FROM b JOIN t USING (category)"
+    for m in FEW_SCORES
+)
+
 # --- retention ----------------------------------------------------------------------
 
 ORACLES["mc_prompts"] = f"""
@@ -544,7 +552,8 @@ de AS (SELECT model, question_id, ['A','B','C','D'][predicted + 1] AS predicted,
 ac AS (SELECT model, category, count(*) FILTER (is_correct) AS correct, count(*) AS total,
        count(*) FILTER (is_correct)::DOUBLE / count(*) AS accuracy FROM de GROUP BY model, category)"""
 ORACLES["mc_predictions"] = f"WITH {SCORES} SELECT model, question_id, predicted FROM pr"
-ORACLES["mc_details"] = f"WITH {SCORES} SELECT * FROM de"
+ORACLES["mc_details"] = f"""WITH {SCORES}
+SELECT *, 'Which quarter of half a vector holds the largest number of ' || question_id || '?' AS question FROM de"""
 ORACLES["mc_accuracy"] = f"WITH {SCORES} SELECT model, category, correct, total, round(accuracy, 6) AS accuracy FROM ac"
 ORACLES["retention_compare"] = f"""WITH {SCORES}
 SELECT category, round(coalesce(b.accuracy, 0), 6) AS baseline, round(coalesce(f.accuracy, 0), 6) AS finetuned,
@@ -559,6 +568,16 @@ e AS (SELECT *, CASE WHEN r <= 0 THEN 'none' WHEN r < 0.05 THEN 'minimal' WHEN r
 SELECT round(b, 6) AS baseline_accuracy, round(f, 6) AS finetuned_accuracy, round(a, 6) AS absolute_drop, round(r, 6) AS relative_drop,
   severity, {MESSAGES} AS message, r < 0.05 AS threshold_5pct FROM e"""
 
+ORACLES["forgetting_report"] = f"""
+SELECT NULL AS category, baseline_accuracy AS baseline, finetuned_accuracy AS finetuned, absolute_drop AS "drop", relative_drop, severity, message, threshold_5pct::VARCHAR AS threshold_5pct
+FROM ({ORACLES['forgetting']})
+UNION ALL SELECT category, baseline, finetuned, "drop", NULL, NULL, NULL, NULL FROM ({ORACLES['retention_compare']})"""
+ORACLES["full_report"] = f"""
+SELECT 'task_metrics' AS section, NULL AS category, metric, baseline, finetuned FROM ({ORACLES['before_after']})
+UNION ALL SELECT 'task_metrics', category, metric, baseline, finetuned FROM ({ORACLES['before_after_by_category']})
+UNION ALL SELECT 'forgetting', category, 'accuracy', baseline, finetuned FROM ({ORACLES['forgetting_report']})
+UNION ALL SELECT 'comparisons', category, 'example_id', example_id::DOUBLE, NULL FROM ({ORACLES['first_comparisons']})"""
+
 # --- logs ---------------------------------------------------------------------------
 
 LOG = """
@@ -600,9 +619,12 @@ SELECT model, hour(ts)::INT AS hour, count(*) AS requests, sum(prompt_tokens)::B
 EXAMPLES = """SELECT example_id, "user", assistant, category, 'conversation' AS source FROM pairs"""
 ORACLES["csv_round_trip"] = f"WITH {PAIRS} {EXAMPLES}"
 ORACLES["json_round_trip"] = f"WITH {PAIRS} {EXAMPLES}"
-ORACLES["json_directory"] = f"""WITH {PAIRS} SELECT example_id, "user", assistant, category, 'conversation' AS source FROM pairs"""
+ORACLES["json_directory"] = f"""WITH {PAIRS} SELECT example_id, "user", assistant, category, 'conversation' AS source,
+  row_number() OVER (ORDER BY example_id) AS place FROM pairs"""
 SPLIT = f"{PAIRS}, s AS (SELECT * FROM {split_of('pairs', 'example_id')})"
 ORACLES["split_store"] = f"""WITH {SPLIT} SELECT example_id, "user", {CHAT} AS text, category FROM s WHERE split = 'train'"""
 ORACLES["formatted_copy"] = f"""WITH {SPLIT} SELECT split, example_id, {CHAT} AS text, category FROM s"""
 ORACLES["training_text"] = ORACLES["text_records"]
+ORACLES["training_text_columnar"] = ORACLES["text_records"]
+ORACLES["cleaned_store"] = ORACLES["clean_examples"]
 ORACLES["preference_store"] = f"SELECT prompt, chosen, rejected FROM ({ORACLES['preference_pairs']})"

@@ -10,8 +10,8 @@ from colloquy.operators import (
     conversation, dedup, generate, pii, preference, quality, retention, runlogs, split,
     taskmetrics, textmetrics,
 )
-from colloquy.operators.lineage import settle, shared_folder
-from colloquy.plans import cleaning
+from colloquy.operators.lineage import run_folder
+from colloquy.plans import cleaning, evaluation, preparation
 from colloquy.registry import inputs as I
 from colloquy.sources import files
 
@@ -29,7 +29,8 @@ def rounded(df, *names):
 
 
 def scratch(spark, name):
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new folder of this run, which goes with it."""
+    return f"{run_folder(spark)}/files/{name}-{uuid.uuid4().hex}"
 
 
 # --- personal data ----------------------------------------------------------------
@@ -304,6 +305,12 @@ def before_after(spark, folder):
     return rounded(taskmetrics.metric_deltas(rows), "baseline", "finetuned", "delta")
 
 
+@query
+def before_after_by_category(spark, folder):
+    rows = taskmetrics.before_after_metrics(_compared(spark, folder))
+    return rounded(taskmetrics.category_deltas(rows), "baseline", "finetuned", "delta")
+
+
 @query
 def category_report(spark, folder):
     return taskmetrics.category_report(_scored(spark, folder))
@@ -421,6 +428,29 @@ def forgetting(spark, folder):
     return rounded(report, "baseline_accuracy", "finetuned_accuracy", "absolute_drop", "relative_drop")
 
 
+@query
+def forgetting_report(spark, folder):
+    path = scratch(spark, "forgetting")
+    report = rounded(retention.forgetting_report(_details(spark, folder)), "baseline", "finetuned", "drop", "relative_drop")
+    files.write_report(report, path)
+    # A flag as text: null for categories.
+    return files.read_report(spark, path, report.schema).withColumn("threshold_5pct", F.col("threshold_5pct").cast("string"))
+
+
+@query
+def full_report(spark, folder):
+    """The stored reports of a run as one list of numbers before and after."""
+    path = scratch(spark, "report")
+    evaluation.full_report(_compared(spark, folder), _details(spark, folder), path)
+    means = "category string, metric string, baseline double, finetuned double"
+    tasks = files.read_report(spark, f"{path}/task_metrics", means).withColumn("section", F.lit("task_metrics"))
+    kept = files.read_report(spark, f"{path}/forgetting", "category string, baseline double, finetuned double")
+    kept = kept.withColumns({"section": F.lit("forgetting"), "metric": F.lit("accuracy")})
+    first = files.read_report(spark, f"{path}/comparisons", "category string, example_id long")
+    first = first.select("category", F.lit("comparisons").alias("section"), F.lit("example_id").alias("metric"), F.col("example_id").cast("double").alias("baseline"), F.lit(None).cast("double").alias("finetuned"))
+    return rounded(tasks.unionByName(kept).unionByName(first), "baseline", "finetuned")
+
+
 # --- logs ---------------------------------------------------------------------------
 
 
@@ -495,9 +525,9 @@ def json_document(spark, folder):
 @query
 def json_directory(spark, folder):
     path = scratch(spark, "folder")
-    files.write_json(_examples(spark, folder), path)
+    files.write_json(_examples(spark, folder).orderBy("example_id"), path)
     read = files.read_directory(spark, path, schemas.EXAMPLES, "part-*.json", is_jsonl=True)
-    return read.select(*schemas.EXAMPLES.names)
+    return files.in_file_order(read).select(*schemas.EXAMPLES.names, "place")
 
 
 @query
@@ -524,6 +554,20 @@ def training_text(spark, folder):
     return files.read_training_text(spark, scratch(spark, "missing"), raw)
 
 
+@query
+def training_text_columnar(spark, folder):
+    stored = scratch(spark, "columnar")
+    files.write_parquet(files.text_records(_examples(spark, folder)), stored)
+    return files.read_training_text(spark, stored, scratch(spark, "missing"))
+
+
+@query
+def cleaned_store(spark, folder):
+    path = scratch(spark, "prepared")
+    preparation.prepare(I.document_examples(spark, folder), path, min_quality=0.9)
+    return files.read_json(spark, f"{path}/cleaned", schemas.EXAMPLES, is_jsonl=True).select("example_id", "user", "assistant", "category")
+
+
 @query
 def preference_store(spark, folder):
     path = scratch(spark, "preferences")

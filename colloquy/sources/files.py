@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from colloquy import schemas
 from colloquy.functions import chat
+from colloquy.operators import hotkeys
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True, **options) -> DataFrame:
@@ -46,6 +47,12 @@ def read_directory(
     )
 
 
+def in_file_order(read: DataFrame, name: str = "place") -> DataFrame:
+    """Number the rows of ``read_directory`` from 1 in the order of file, block and row."""
+    one = read.withColumn("_folder", F.lit(0))
+    return hotkeys.add_position(one, "_folder", ["source_file", "source_block", "row_order"], name).drop("_folder")
+
+
 def write_json(df: DataFrame, path: str, mode: str = "error") -> None:
     """JSON lines, one part per task; text is written as UTF-8."""
     df.write.mode(mode).option("ignoreNullFields", False).json(path)

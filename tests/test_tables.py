@@ -334,3 +334,24 @@ def test_smoothing_in_blocks_equals_a_loop(spark, smoothing, block_rows):
             continue
         value = x if value is None else smoothing * value + (1 - smoothing) * x
         assert abs(found[run, step] - value) < 1e-9
+
+
+def test_a_conversation_in_chunks_gives_the_same_prompt(spark):
+    rows = [(1, t, ("system", "user", None, "assistant")[t % 4], f"t{t}" if t % 5 else None) for t in range(60)]
+    rows += [(2, 0, "system", "only")] + [(3, 1, "user", x) for x in "ab"] + [(4, None, "user", "none")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    whole, cut = (sorted(conversation.conversation_prompts(df, "be brief", chunk_rows=n).collect()) for n in (1_000_000, 7))
+    assert whole == cut and len(whole) == 4
+    spoken = [f"<|im_start|>{r or 'user'}\n{x or ''}\n<|im_end|>" for c, t, r, x in rows if c == 1 and r != "system"]
+    assert whole[0].prompt == "\n".join(["<|im_start|>system\nbe brief\n<|im_end|>", *spoken, "<|im_start|>assistant\n"])
+    assert whole[1].prompt == "<|im_start|>system\nbe brief\n<|im_end|>\n<|im_start|>assistant\n"
+
+
+def test_counts_of_cleaning_nothing(spark):
+    from colloquy.plans import cleaning
+
+    none = spark.createDataFrame([], "example_id long, user string, assistant string, category string")
+    done = cleaning.clean(none)
+    assert [r.n for r in done.funnel.collect()] == [0, 0, 0, 0] and done.examples.count() == 0
+    assert cleaning.retention_rate(done.funnel).first()[0] is None
+    assert [r.n for r in cleaning.clean(none, mask_pii=False, remove_duplicates=False, filter_by_quality=False).funnel.collect()] == [0] * 4
