@@ -48,6 +48,35 @@ def customers(spark, folder):
     )
 
 
+def contacts(spark, folder):
+    """A note per customer in the shapes the rules look for: phone, social security, card and network numbers, a
+    placeholder, another script, repeated words, too few characters."""
+    k = F.col("c_custkey")
+    digits = lambda number, n: F.lpad((number % 10**n).cast("string"), n, "0")
+    three, four, name = digits(k * 7, 3), digits(k, 4), F.col("c_name")
+    shapes = [
+        ("Call me at 555-", three, "-", four, " about the claim of ", name),
+        ("Call 555", three, four, " today and ask for ", name),
+        ("+1 (743) ", three, "-", four, " has blanks and is no number here"),
+        ("Her number is 123-45-", four, ", the name is ", name),
+        ("Write to c", four, "@example.org or charge 4111 1111 1111 ", four),
+        ("The server 10.0.7.", (k % 256).cast("string"), " belongs to ", name),
+        ("[PLACEHOLDER] stands where the text for ", name, " belongs"),
+        ("Страховой полис клиента номер ", four, " действует до конца года"),
+        ("claim claim claim claim claim ", four),
+        ("ok ", four),
+    ]
+    note = F.lit(None).cast("string")
+    for i, parts in enumerate(shapes):
+        text = F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+        note = F.when(k % len(shapes) == i, text).otherwise(note)
+    answer = F.concat(F.lit("We have noted this for you: "), F.col("user"))
+    return table(spark, folder, "customer").select(k.alias("example_id"), "c_name", note.alias("user")).select(
+        "example_id", "user", F.when(F.col("example_id") % 3 != 0, answer).otherwise(F.col("c_name")).alias("assistant"),
+        category_of(F.col("example_id")).alias("category"),
+    )
+
+
 def order_candidates(spark, folder):
     """Orders as generator candidates, the customer filling the slots of that kind."""
     orders = table(spark, folder, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"))

@@ -88,6 +88,28 @@ ORACLES["pii_totals"] = f"WITH {DOCS} " + " UNION ALL ".join(
     for f in ("user", "assistant") for t in fixed.PII_TYPES
 )
 
+CONTACTS = f"""
+notes AS (SELECT c_custkey AS example_id, c_name, lpad((c_custkey * 7 % 1000)::VARCHAR, 3, '0') AS three, lpad((c_custkey % 10000)::VARCHAR, 4, '0') AS four FROM customer),
+said AS (SELECT *, CASE example_id % 10
+  WHEN 0 THEN 'Call me at 555-' || three || '-' || four || ' about the claim of ' || c_name
+  WHEN 1 THEN 'Call 555' || three || four || ' today and ask for ' || c_name
+  WHEN 2 THEN '+1 (743) ' || three || '-' || four || ' has blanks and is no number here'
+  WHEN 3 THEN 'Her number is 123-45-' || four || ', the name is ' || c_name
+  WHEN 4 THEN 'Write to c' || four || '@example.org or charge 4111 1111 1111 ' || four
+  WHEN 5 THEN 'The server 10.0.7.' || (example_id % 256) || ' belongs to ' || c_name
+  WHEN 6 THEN '[PLACEHOLDER] stands where the text for ' || c_name || ' belongs'
+  WHEN 7 THEN 'Страховой полис клиента номер ' || four || ' действует до конца года'
+  WHEN 8 THEN 'claim claim claim claim claim ' || four
+  ELSE 'ok ' || four END AS "user" FROM notes),
+contacts AS (SELECT example_id, "user", CASE WHEN example_id % 3 <> 0 THEN 'We have noted this for you: ' || "user" ELSE c_name END AS assistant FROM said)"""
+CONTACT_COUNTS = ", ".join(f"{pii_n('original', t)}::INT AS {t}" for t in fixed.PII_TYPES)
+ORACLES["contact_pii"] = f"""WITH {CONTACTS}
+SELECT example_id, m AS "user", {CONTACT_COUNTS} FROM ({masked_steps('contacts', '"user"', 'example_id')})"""
+ORACLES["contact_pii_totals"] = f"WITH {CONTACTS} " + " UNION ALL ".join(
+    f"""SELECT '{f}' AS field, '{t}' AS pii_type, sum({pii_n(f'"{f}"', t)})::BIGINT AS n FROM contacts HAVING sum({pii_n(f'"{f}"', t)}) > 0"""
+    for f in ("user", "assistant") for t in fixed.PII_TYPES
+)
+
 # --- quality ----------------------------------------------------------------------
 
 
@@ -130,6 +152,10 @@ SELECT l.quality, count(*) AS n, count(*) FILTER ({bad_length('d.text')}) AS bad
        count(*) FILTER ({repetitive('d.text')}) AS repetitive, count(*) FILTER ({english('d.text')}) AS english
 FROM documents d JOIN labels l USING (doc_id) GROUP BY l.quality"""
 
+ORACLES["contact_quality"] = f"""WITH {CONTACTS}
+SELECT example_id, {bad_length('"user"')} AS bad_length, {repetitive('"user"')} AS repetitive, {english('"user"')} AS english,
+  contains("user", '[PLACEHOLDER]') OR contains(assistant, '[PLACEHOLDER]') AS placeholder, round({score()}, 6) AS quality FROM contacts"""
+
 # --- near-duplicates --------------------------------------------------------------
 
 
@@ -568,6 +594,13 @@ e AS (SELECT *, CASE WHEN r <= 0 THEN 'none' WHEN r < 0.05 THEN 'minimal' WHEN r
 SELECT round(b, 6) AS baseline_accuracy, round(f, 6) AS finetuned_accuracy, round(a, 6) AS absolute_drop, round(r, 6) AS relative_drop,
   severity, {MESSAGES} AS message, r < 0.05 AS threshold_5pct FROM e"""
 
+ORACLES["forgetting_levels"] = f"""WITH {SCORES},
+o AS (SELECT lost, count(*) FILTER (is_correct)::DOUBLE / count(*) AS b, count(*) FILTER (is_correct AND question_id % 100 >= lost)::DOUBLE / count(*) AS f
+  FROM de, (VALUES (0), (3), (8), (30)) l(lost) WHERE model = 'baseline' GROUP BY lost),
+d AS (SELECT lost, b, f, b - f AS a, CASE WHEN b > 0 THEN (b - f) / b ELSE 0 END AS r FROM o),
+e AS (SELECT *, CASE WHEN r <= 0 THEN 'none' WHEN r < 0.05 THEN 'minimal' WHEN r < 0.10 THEN 'moderate' ELSE 'significant' END AS severity FROM d)
+SELECT lost, round(b, 6) AS baseline_accuracy, round(f, 6) AS finetuned_accuracy, round(a, 6) AS absolute_drop, round(r, 6) AS relative_drop,
+  severity, {MESSAGES} AS message, r < 0.05 AS threshold_5pct FROM e"""
 ORACLES["forgetting_report"] = f"""
 SELECT NULL AS category, baseline_accuracy AS baseline, finetuned_accuracy AS finetuned, absolute_drop AS "drop", relative_drop, severity, message, threshold_5pct::VARCHAR AS threshold_5pct
 FROM ({ORACLES['forgetting']})

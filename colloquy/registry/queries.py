@@ -59,6 +59,18 @@ def pii_totals(spark, folder):
     return pii.pii_totals(pii.mask_fields(I.document_examples(spark, folder)))
 
 
+@query
+def contact_pii(spark, folder):
+    notes = I.contacts(spark, folder)
+    counts = [P.pii_count(F.col("user"), t).alias(t) for t in fixed.PII_TYPES]
+    return pii.mask_fields(notes.select("example_id", "user", *counts), ["user"]).select("example_id", "user", *fixed.PII_TYPES)
+
+
+@query
+def contact_pii_totals(spark, folder):
+    return pii.pii_totals(pii.mask_fields(I.contacts(spark, folder)))
+
+
 # --- quality ----------------------------------------------------------------------
 
 
@@ -101,6 +113,18 @@ def quality_vs_label(spark, folder):
     )
 
 
+@query
+def contact_quality(spark, folder):
+    notes = I.contacts(spark, folder)
+    user, assistant = F.col("user"), F.col("assistant")
+    flags = {
+        "bad_length": Q.bad_length(user), "repetitive": Q.repetitive(user), "english": Q.looks_english(user),
+        "placeholder": user.contains(fixed.PLACEHOLDER) | assistant.contains(fixed.PLACEHOLDER),
+    }
+    scored = quality.score_examples(notes.select("*", *[c.alias(n) for n, c in flags.items()]))
+    return rounded(scored.select("example_id", *flags, "quality"), "quality")
+
+
 # --- near-duplicates --------------------------------------------------------------
 
 
@@ -428,6 +452,22 @@ def forgetting(spark, folder):
     return rounded(report, "baseline_accuracy", "finetuned_accuracy", "absolute_drop", "relative_drop")
 
 
+@query
+def forgetting_levels(spark, folder):
+    """Four tuned models that lose some of what the base model knew: a result for each."""
+    base = _details(spark, folder).where(F.col("model") == "baseline")
+    levels = []
+    for lost in (0, 3, 8, 30):
+        knows = F.col("is_correct") & (F.col("question_id") % 100 >= lost)
+        tuned = base.withColumns({"model": F.lit("finetuned"), "is_correct": knows})
+        report = retention.forgetting(retention.overall_accuracy(base.unionByName(tuned)))
+        levels.append(report.withColumn("lost", F.lit(lost)))
+    union = levels[0]
+    for level in levels[1:]:
+        union = union.unionByName(level)
+    return rounded(union, "baseline_accuracy", "finetuned_accuracy", "absolute_drop", "relative_drop")
+
+
 @query
 def forgetting_report(spark, folder):
     path = scratch(spark, "forgetting")
