@@ -6,6 +6,8 @@ the demand is met, and a document's training position is the time at which the c
 demand reaches the middle of the document.
 """
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,12 +75,12 @@ def mixed(
     df: DataFrame, keep: list[str], key: str = "doc_id", text: str = "text", source: str = "source",
     seed: int = 6, weights=WEIGHTS, schedules=SCHEDULES, budget=BUDGET, most=MOST,
 ) -> DataFrame:
-    """The ``keep`` columns and ``size, source_size, target, taken, copies, position, position2``,
+    """The ``keep`` columns and ``size, source_size, target, taken, copies, position, position2, positions``,
     in the order of ``position``.
 
-    ``copies`` is how often the mix takes the document (0 to ``most``, here at most 2), ``taken``
-    its words so taken, ``position`` and ``position2`` the training times of the copies (null:
-    none).  Documents stand in a seeded shuffled order within their source, so reruns agree.
+    ``copies`` is how often the mix takes the document (0 to ``most``), ``taken``
+    its words so taken, ``positions`` the training times of the copies, ``position`` and ``position2`` the first two
+    (null: none).  Documents stand in a seeded shuffled order within their source, so reruns agree.
     Null texts have no words; null sources form one source; repeated rows and keys are rows of their
     own.  A source's running sum is taken over ranges of the order and then inside each
     range, so that a source with most rows is spread like any other.  An empty table gives an
@@ -88,7 +90,7 @@ def mixed(
         *[F.col(_own(c)).alias(c) for c in keep],
         "size", "source_size", "target",
         (F.col("size") * F.col("copies")).alias("taken"),
-        "copies", "position", "position2",
+        "copies", F.get("positions", F.lit(0)).alias("position"), F.get("positions", F.lit(1)).alias("position2"), "positions",
     )
     return out.orderBy(F.col("position").asc_nulls_last(), *keep)
 
@@ -104,14 +106,14 @@ def _stream(df: DataFrame, keep: list[str], key: str, text: str, source: str, se
         *[F.col(c).alias(_own(c)) for c in keep],
         F.struct(F.col(source).alias("source")).alias("of"),
         word_count(F.col(text)).alias("size"),
-        F.xxhash64(F.lit(seed), F.col(key)).alias("h"),
+        F.xxhash64(F.lit(seed), F.col(key), F.xxhash64(text)).alias("h"),
         F.col(key).alias("k"),
         F.xxhash64(text).alias("tie"),
     ).withColumn("range", F.shiftright("h", 64 - RANGE_BITS))
 
 
 def _placed(base: DataFrame, weights, schedules, budget, most) -> DataFrame:
-    """``base`` with ``size, source_size, target, copies, position, position2``.
+    """``base`` with ``size, source_size, target, copies, positions``.
 
     All that is known of a source goes into the table of its ranges first, so that rows are joined once, on the
     columns by which the running sum has already dealt them out."""
@@ -129,15 +131,15 @@ def _placed(base: DataFrame, weights, schedules, budget, most) -> DataFrame:
         .join(ranges, ["of", "range"])
         .withColumn("middle", F.col("from") + F.col("in_range") + F.col("size") / 2)
     )
-    second = F.col("middle") + F.col("source_size")
-    copies = (F.col("middle") < F.col("target")).cast("int") + (second < F.col("target")).cast("int")
+    # Copy c of a document stands as far on as c whole sources; no target is above ``most`` of them.
+    places = [F.col("middle") + c * F.col("source_size") for c in range(math.ceil(most))]
+    copies = sum(((at < F.col("target")).cast("int") for at in places), F.lit(0))
     when = lambda at: F.coalesce(
         *[F.when(F.col("kind") == i, schedule_time(at / F.col("target"), k)) for i, k in enumerate(schedules)]
     )
     return rows.withColumn("copies", copies).withColumns(
         {
-            "position": F.when(F.col("copies") > 0, when(F.col("middle"))),
-            "position2": F.when(F.col("copies") > 1, when(second)),
+            "positions": F.filter(F.array(*[F.when(F.col("copies") > c, when(at)) for c, at in enumerate(places)]), lambda t: t.isNotNull())
         }
     )
 
@@ -153,7 +155,6 @@ def in_training_order(
     running sum and with the sort; no further copy of them is written."""
     base = _stream(df, df.columns, key, text, source, seed)
     rows = _placed(base, weights, schedules, budget, most)
-    times = F.filter(F.array("position", "position2"), lambda t: t.isNotNull())
     own = [F.col(_own(c)).alias(c) for c in df.columns]
-    taken = rows.select(*[_own(c) for c in df.columns], "k", "tie", F.explode(times).alias("time"))
+    taken = rows.select(*[_own(c) for c in df.columns], "k", "tie", F.explode("positions").alias("time"))
     return taken.orderBy("time", "k", "tie").select(*own)

@@ -120,22 +120,26 @@ def links(fps: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataFra
     return out.where("a <> b")
 
 
-def _by_midpoints(fps: DataFrame, radius: int) -> DataFrame:
-    """Two fingerprints within an even radius share a point half the radius from both, and all
-    that share such a point are within the radius."""
-    if radius % 2:
-        raise ValueError("large buckets need an even radius")
+def _around(fps: DataFrame, flips: int) -> DataFrame:
+    """``fp, p``: all points at most so many bits from each fingerprint, once each."""
     points = fps.select("fp", F.col("fp").alias("p"), F.lit(0).alias("i"))
-    for _ in range(radius // 2):
+    for _ in range(flips):
         flip = F.when(F.col("j") < BITS, F.expr("shiftleft(1L, j)")).otherwise(F.lit(0).cast("long"))
         points = points.select(
             "fp", "p", F.explode(F.sequence(F.col("i"), F.lit(BITS))).alias("j")
         ).select(
             "fp", F.col("p").bitwiseXOR(flip).alias("p"), F.least(F.col("j") + 1, F.lit(BITS)).alias("i")
         )
-    points = points.select("fp", "p")
-    lowest = points.groupBy("p").agg(F.min("fp").alias("low"))
-    met = points.join(lowest, "p").where("fp <> low")
+    return points.select("fp", "p")
+
+
+def _by_midpoints(fps: DataFrame, radius: int) -> DataFrame:
+    """Two fingerprints within the radius share a point half the radius, rounded down, from one and the rest from the
+    other.  Fingerprints so near to a point are within the radius of each other, and of those at the rest."""
+    near = _around(fps, radius // 2)
+    far = _around(fps, radius - radius // 2) if radius % 2 else near
+    lowest = near.groupBy("p").agg(F.min("fp").alias("low"))
+    met = far.join(lowest, "p").where("fp <> low")
     return met.select(F.col("fp").alias("a"), F.col("low").alias("b")).distinct()
 
 

@@ -252,3 +252,43 @@ def test_ann_recall(spark, monkeypatch):
     for r in ann.nearest(table, F.col("id") % 20 == 0).collect():
         found[r.query_id].add(r.vec_id)
     assert np.mean([len(found[q] & set(ids)) / len(ids) for q, ids in best.items()]) >= 0.9
+
+
+@pytest.mark.parametrize("most, budget", [(3, 2.5), (5, 4.2), (1, 0.6)])
+def test_mix_takes_as_many_copies_as_it_is_allowed(documents, most, budget):
+    rng = random.Random(9)
+    rows = [(i, "w " * rng.randrange(1, 40), rng.choice("aab")) for i in range(1200)]
+    got = curriculum.mixed(documents(rows), ["doc_id"], most=most, budget=budget).collect()
+    sizes = collections.Counter()
+    for _, text, source in rows:
+        sizes[source] += len(text.split())
+    assert max(r.copies for r in got) == most and all(len(r.positions) == r.copies for r in got)
+    for source in "ab":
+        own = [r for r in got if rows[r.doc_id][2] == source]
+        assert own[0].target <= most * sizes[source] + 1e-6
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 40 * 2
+    assert abs(sum(r.taken for r in got) - budget * sum(sizes.values())) < 200
+    order = curriculum.in_training_order(documents(rows), most=most, budget=budget)
+    assert order.count() == sum(r.copies for r in got)
+
+
+@pytest.mark.parametrize("radius", [1, 3, 5])
+def test_odd_radii_in_large_buckets(spark, radius):
+    rng = random.Random(radius)
+    points = [rng.getrandbits(64) for _ in range(4)]
+    for _ in range(36):
+        at = rng.choice(points)
+        for b in rng.sample(range(64), rng.randint(1, radius + 1)):
+            at ^= 1 << b
+        points.append(at)
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    points = sorted({signed(p) for p in points})
+    fps = spark.createDataFrame([(p,) for p in points], "fp long")
+    near = lambda x, y: ((x ^ y) % 2**64).bit_count() <= radius
+    found = [tuple(r) for r in simhash.links(fps, radius, bucket=2).collect()]
+    assert all(near(a, b) for a, b in found)
+    linked = collections.defaultdict(set)
+    for a, b in found:
+        linked[a].add(b)
+        linked[b].add(a)
+    assert reachable(points, lambda x, y: y in linked[x]) == reachable(points, near)
