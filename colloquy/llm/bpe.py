@@ -24,15 +24,16 @@ from pyspark.sql import types as T
 from colloquy.llm.batches import map_lists, map_rows
 
 #: Bytes up to which a part is a leaf, merged directly.
-LEAF = 32
-#: Bytes up to which a list is searched for the lowest rank; a heap serves longer parts.
+LEAF = 4
+#: Bytes up to which windows are merged together, step by step; a heap serves each longer one.
 SHORT = 64
 #: Above every rank.
 NONE = 1 << 40
-#: Pieces that a worker remembers before it starts over.  Results do not depend on it.
-REMEMBERED = 700_000
+#: Bytes of pieces and ids that a worker remembers before it starts over, and bytes an entry takes
+#: besides.  Results do not depend on it.
+REMEMBERED, ENTRY = 128 << 20, 200
 #: Ids decoded at a leaf of the tree.
-DECODE_LEAF = 8_192
+DECODE_LEAF = 64
 
 DIGEST = T.StructType(
     [
@@ -56,10 +57,17 @@ class Tokenizer:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
-        self.tokens = dict((r, t) for t, r in ranks.items())
+        self.tokens = {r: t for t, r in ranks.items()}
         self.pieces = regex.compile(pattern).findall
         self._known: dict[str, bytes] = {}
+        self._held = 0
+        #: Joins of two parts so far.
+        self.joins = 0
         size = len(ranks)
+        lengths = [len(self.tokens.get(i, b"")) for i in range(max(self.tokens, default=-1) + 1)]
+        self._length = np.array(lengths, np.int64)
+        self._start = np.cumsum(self._length) - self._length
+        self._bytes = np.frombuffer(b"".join(self.tokens[i] for i in sorted(self.tokens)), np.uint8)
         self._byte = np.array([ranks[bytes([i])] for i in range(256)], np.int64)
         pairs = sorted(
             (ranks[t[:i]] * size + ranks[t[i:]], r)
@@ -73,8 +81,6 @@ class Tokenizer:
     def merge(self, data: bytes) -> list[bytes]:
         """Merge the neighbours of lowest rank, leftmost first, until none is in the ranks."""
         size = len(data)
-        if size <= SHORT:
-            return self._merge_short(data)
         ranks = self.ranks
         end = list(range(1, size + 1))
         before = list(range(-1, size - 1))
@@ -102,51 +108,14 @@ class Tokenizer:
             i = end[i]
         return out
 
-    def _merge_short(self, data: bytes) -> list[bytes]:
-        rank = self.ranks.get
-        parts = [data[i : i + 1] for i in range(len(data))]
-        pairs = [rank(data[i : i + 2], NONE) for i in range(len(data) - 1)]
-        while pairs and (lowest := min(pairs)) < NONE:
-            i = pairs.index(lowest)
-            joined = parts[i] = parts[i] + parts.pop(i + 1)
-            del pairs[i]
-            if i:
-                pairs[i - 1] = rank(parts[i - 1] + joined, NONE)
-            if i < len(pairs):
-                pairs[i] = rank(joined + parts[i + 1], NONE)
-        return parts
-
-    def join(self, left: list[bytes], right: list[bytes]) -> list[bytes]:
-        """The tokens of the joined bytes, from the tokens of both parts."""
-        if not left or not right:
-            return left or right
-        width = 1
-        while True:
-            a, b = min(width, len(left)), min(width, len(right))
-            window = self.merge(b"".join(left[-a:] + right[:b]))
-            firm_left = a == len(left) or window[0] == left[-a]
-            firm_right = b == len(right) or window[-1] == right[b - 1]
-            if firm_left and firm_right:
-                return left[: len(left) - a] + window + right[b:]
-            width *= 2
-
-    def reduce(self, data: bytes) -> list[bytes]:
-        """Tokens of one piece: encode both halves, join."""
-        if len(data) <= LEAF:
-            return self.merge(data)
-        half = len(data) // 2
-        return self.join(self.reduce(data[:half]), self.reduce(data[half:]))
-
     def _ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left * len(self.ranks) + right
         at = np.minimum(np.searchsorted(self._pair, key), len(self._pair) - 1)
         return np.where(self._pair[at] == key, self._pair_rank[at], NONE)
 
-    def leaves(self, parts: list[bytes]) -> list[bytes]:
-        """Packed ids of many leaves at once: in each step every leaf that still has a pair in
-        the ranks merges its lowest, leftmost one."""
-        ids = self._byte[np.frombuffer(b"".join(parts), np.uint8)]
-        leaf = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
+    def _merged(self, ids: np.ndarray, leaf: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their number for each of ``n`` leaves, from the leaves' single bytes: in each step every leaf
+        that still has a pair in the ranks merges its lowest, leftmost one."""
         rank = np.full(len(ids), NONE, np.int64)
         rank[:-1] = np.where(leaf[:-1] == leaf[1:], self._ranks_of(ids[:-1], ids[1:]), NONE)
         done: list[tuple[np.ndarray, np.ndarray]] = []
@@ -173,49 +142,133 @@ class Tokenizer:
             if len(ids) and at[-1] == len(ids) - 1:
                 rank[-1] = NONE
         if not done:
-            return [b""] * len(parts)
+            return np.zeros(0, np.int64), np.zeros(n, np.int64)
         leaf, ids = (np.concatenate(x) for x in zip(*done))
-        order = np.argsort(leaf, kind="stable")
-        packed = ids[order].astype("<u4").tobytes()
-        ends = np.cumsum(np.bincount(leaf, minlength=len(parts))).tolist()
-        return [packed[4 * a : 4 * b] for a, b in zip([0, *ends], ends)]
+        return ids[np.argsort(leaf, kind="stable")], np.bincount(leaf, minlength=n)
+
+    def _windows(self, ids: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The windows' tokens encoded anew from their bytes: ids of all windows and the number in each."""
+        length = self._length[ids]
+        owner = np.repeat(np.arange(len(size)), size)
+        n_bytes = np.bincount(owner, length, len(size)).astype(np.int64)
+        data = self._bytes[_ranges(self._start[ids], length)]
+        if n_bytes.max(initial=0) <= SHORT:
+            return self._merged(self._byte[data], np.repeat(owner, length), len(size))
+        long = n_bytes > SHORT
+        from_ = np.cumsum(n_bytes) - n_bytes
+        few = np.repeat(~long, n_bytes)
+        owners = np.repeat(np.arange(len(size)), n_bytes)
+        out, count = self._merged(self._byte[data[few]], owners[few], len(size))
+        pieces, bounds = [], np.concatenate([[0], np.cumsum(count)])
+        last = 0
+        for i in np.flatnonzero(long).tolist():
+            whole = data[from_[i] : from_[i] + n_bytes[i]].tobytes()
+            found = np.array([self.ranks[t] for t in self.merge(whole)], np.int64)
+            count[i] = len(found)
+            pieces += [out[last : bounds[i]], found]
+            last = bounds[i]
+        return np.concatenate([*pieces, out[last:]]), count
+
+    def joined(self, ids: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Parts 0 and 1, 2 and 3, ... joined: ``size`` holds the number of tokens of each part, ``ids``
+        all of them in order.
+
+        The window around every seam begins with one token on each side and doubles where its end
+        tokens did not come out unchanged, until they do or the window holds the part's end."""
+        end = np.cumsum(size)
+        seam, left, right = end[0::2], size[0::2], size[1::2]
+        n = len(seam)
+        self.joins += n
+        a, b = np.minimum(1, left), np.minimum(1, right)
+        source, at = [ids], len(ids)
+        window_at, window_n = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        todo, width = np.arange(n), 1
+        while len(todo):
+            x, y, s = a[todo], b[todo], seam[todo]
+            found, count = self._windows(ids[_ranges(s - x, x + y)], x + y)
+            first = np.cumsum(count) - count
+            source.append(found)
+            window_at[todo], window_n[todo] = at + first, count
+            at += len(found)
+            firm = (x == left[todo]) | (found[first] == ids[s - x])
+            firm &= (y == right[todo]) | (found[first + count - 1] == ids[s + y - 1])
+            todo, width = todo[~firm], width * 2
+            a[todo], b[todo] = np.minimum(width, left[todo]), np.minimum(width, right[todo])
+        starts = np.stack([seam - left, window_at, seam + b], 1).ravel()
+        sizes = np.stack([left - a, window_n, right - b], 1)
+        return np.concatenate(source)[_ranges(starts, sizes.ravel())], sizes.sum(1)
+
+    def reduce(self, pieces: list[bytes]) -> list[bytes]:
+        """Packed ids of each piece (none empty): a binary tree over its bytes, halved down to leaves of ``LEAF``
+        bytes at most, whose nodes are joined level by level, those of all pieces together."""
+        if not pieces:
+            return []
+        n_bytes = np.array([len(x) for x in pieces], np.int64)
+        parts = np.ones(len(pieces), np.int64)
+        while (wide := parts * LEAF < n_bytes).any():
+            parts[wide] *= 2
+        piece = np.repeat(np.arange(len(pieces)), parts)
+        nth = _ranges(np.zeros(len(pieces), np.int64), parts)
+        cut = lambda i: n_bytes[piece] * i // parts[piece]
+        data = self._byte[np.frombuffer(b"".join(pieces), np.uint8)]
+        ids, size = self._merged(data, np.repeat(np.arange(len(piece)), cut(nth + 1) - cut(nth)), len(piece))
+        out: list[bytes] = [b""] * len(pieces)
+        open_ = np.arange(len(pieces))
+        while len(open_):
+            whole = parts[open_] == 1
+            of_whole = np.repeat(whole, parts[open_])
+            of_ids = np.repeat(of_whole, size)
+            packed = ids[of_ids].astype("<u4").tobytes()
+            stops = (4 * np.cumsum(size[of_whole])).tolist()
+            for i, start, stop in zip(open_[whole].tolist(), [0, *stops], stops):
+                out[i] = packed[start:stop]
+            open_ = open_[~whole]
+            if len(open_):
+                ids, size = self.joined(ids[~of_ids], size[~of_whole])
+                parts[open_] //= 2
+        return out
 
     def _learn(self, pieces: set[str]) -> None:
         """Encode pieces into the memory.  A piece that is a token is that token."""
-        short, parts = [], []
+        others, parts = [], []
         for piece in pieces:
             data = piece.encode("utf-8")
             rank = self.ranks.get(data)
             if rank is not None:
                 self._known[piece] = rank.to_bytes(4, "little")
-            elif len(data) <= LEAF:
-                short.append(piece)
-                parts.append(data)
             else:
-                ids = [self.ranks[t] for t in self.reduce(data)]
-                self._known[piece] = np.array(ids, "<u4").tobytes()
-        self._known.update(zip(short, self.leaves(parts)))
+                others.append(piece)
+                parts.append(data)
+        self._known.update(zip(others, self.reduce(parts)))
+        self._held += sum(ENTRY + len(x) + len(self._known[x]) for x in pieces)
 
     def encode_packed(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers.  Between pieces nothing
         merges, so there the join is concatenation."""
         cut = [self.pieces(text) for text in texts]
-        new = set().union(*cut).difference(self._known)
-        if len(self._known) + len(new) > REMEMBERED:
+        if self._held > REMEMBERED:
             self._known.clear()
-            new = set().union(*cut)
-        self._learn(new)
+            self._held = 0
+        self._learn(set().union(*cut).difference(self._known))
         return [b"".join(map(self._known.__getitem__, pieces)) for pieces in cut]
 
     def encode(self, text: str) -> list[int]:
         return unpack(self.encode_packed([text])[0]).tolist()
 
     def decode(self, ids) -> bytes:
-        """The bytes of the ids, concatenated up the tree of halves."""
-        if len(ids) <= DECODE_LEAF:
-            return b"".join(map(self.tokens.__getitem__, np.asarray(ids).tolist()))
-        half = len(ids) // 2
-        return self.decode(ids[:half]) + self.decode(ids[half:])
+        """The bytes of the ids: those of leaves of ``DECODE_LEAF`` ids, concatenated two by two up the tree."""
+        ids = np.asarray(ids).tolist()
+        token = self.tokens.__getitem__
+        parts = [b"".join(map(token, ids[i : i + DECODE_LEAF])) for i in range(0, len(ids), DECODE_LEAF)]
+        while len(parts) > 1:
+            parts = [b"".join(parts[i : i + 2]) for i in range(0, len(parts), 2)]
+        return parts[0] if parts else b""
+
+
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers start, start + 1, ... of each range, one range after the other."""
+    before = np.cumsum(size) - size
+    return np.repeat(start - before, size) + np.arange(size.sum())
 
 
 def unpack(packed: bytes) -> np.ndarray:
