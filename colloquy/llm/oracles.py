@@ -7,7 +7,7 @@ _STOPS = ", ".join(f"'{w}'" for w in dict.fromkeys(STOP_WORDS))
 ORACLES = {
     "op5_quality_rules": rf"""
 with d as (
-  select row_number() over () id, doc_id, coalesce(text, '') t,
+  select row_number() over () id, doc_id, lang, coalesce(text, '') t,
     list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') w
   from documents),
 g as (
@@ -17,7 +17,7 @@ again as (select id, i from (select id, i, count(*) over (partition by id, s) c
 cover as (
   select id, count(distinct i + k) n from again, (select unnest(range(0, 8)) k) group by id),
 m as (
-  select doc_id, len(w) n_words, length(array_to_string(w, '')) word_chars,
+  select doc_id, lang, len(w) n_words, length(array_to_string(w, '')) word_chars,
     length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) n_symbols,
     list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) l,
     coalesce(n, 0) n_repeat_words,
@@ -30,7 +30,8 @@ f as (
 select doc_id, n_words::bigint n_words, word_chars::bigint word_chars, n_symbols::bigint n_symbols,
   n_dup_lines::bigint n_dup_lines, n_repeat_words::bigint n_repeat_words, base_failed,
   not base_failed and word_chars between 2.5 * n_words and 12 * n_words
-    and n_symbols <= 0.1::double * n_words and n_stop_words >= 0.04::double * n_words
+    and n_symbols <= 0.1::double * n_words 
+    and (coalesce(lang not in ('en', 'fr', 'de', 'es'), true) or n_stop_words >= 0.04::double * n_words)
     and n_dup_lines <= 0.5 * len(l) kept
 from f""",
     "op9_preference": """

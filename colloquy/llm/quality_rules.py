@@ -18,18 +18,22 @@ STOP_WORDS = (
     "der die das und ist nicht mit den von zu ein eine auf im dem sich für "
     "el los las y del se por con su para lo al como"
 ).split()
+#: The languages of ``STOP_WORDS``.
+LANGUAGES = ("en", "fr", "de", "es")
 
 
 @dataclass(frozen=True)
 class Rule:
     """A text fails if ``part`` is below ``least`` or above ``most`` per unit of ``whole`` (both
-    names of measures; no ``whole``: the measure itself).  A ratio over zero passes."""
+    names of measures; no ``whole``: the measure itself).  A ratio over zero passes.  With ``langs`` only
+    texts of these languages can fail."""
 
     name: str
     part: str
     whole: str | None = None
     least: float | None = None
     most: float | None = None
+    langs: tuple[str, ...] | None = None
 
 
 BASE = [
@@ -39,7 +43,7 @@ BASE = [
 MORE = [
     Rule("word_length", "word_chars", "n_words", least=2.5, most=12),
     Rule("symbols", "n_symbols", "n_words", most=0.1),
-    Rule("stop_words", "n_stop_words", "n_words", least=0.04),
+    Rule("stop_words", "n_stop_words", "n_words", least=0.04, langs=LANGUAGES),
     Rule("same_lines", "n_dup_lines", "n_lines", most=0.5),
 ]
 MEASURES = [
@@ -106,7 +110,7 @@ def measured(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     return words.select(*keep, *[columns[m].cast("long").alias(m) for m in MEASURES])
 
 
-def fails(rule: Rule) -> Column:
+def fails(rule: Rule, lang: Column | None = None) -> Column:
     """Whether a measured row breaks the rule; never null."""
     part, per = F.col(rule.part), F.lit(1) if rule.whole is None else F.col(rule.whole)
     broken = F.lit(False)
@@ -114,22 +118,30 @@ def fails(rule: Rule) -> Column:
         broken = broken | (part < per * F.lit(rule.least))
     if rule.most is not None:
         broken = broken | (part > per * F.lit(rule.most))
+    if rule.langs is not None and lang is not None:
+        broken = broken & F.coalesce(lang.isin(*rule.langs), F.lit(False))
     return broken
 
 
 def judged(
-    df: DataFrame, keep: list[str], text: str = "text", base: list[Rule] = BASE, more: list[Rule] = MORE
+    df: DataFrame, keep: list[str], text: str = "text", base: list[Rule] = BASE, more: list[Rule] = MORE,
+    lang: Column | None = None,
 ) -> DataFrame:
     """``measured`` plus ``base_failed``, ``kept`` and ``broken`` (the names of the rules that
-    the text breaks).  Only ``keep`` columns are carried on, so other columns may have any name."""
+    the text breaks).  Only ``keep`` columns are carried on, so other columns may have any name.
+
+    ``lang`` tells a text's language; a rule for some languages passes texts of others and of none known.
+    Without ``lang`` all rules hold for all texts.  An empty table gives an empty table."""
+    said = None if lang is None else F.col("__lang")
     names = F.filter(
-        F.array(*[F.when(fails(r), F.lit(r.name)) for r in [*base, *more]]), lambda x: x.isNotNull()
+        F.array(*[F.when(fails(r, said), F.lit(r.name)) for r in [*base, *more]]), lambda x: x.isNotNull()
     )
     failed = F.lit(False)
     for rule in base:
-        failed = failed | fails(rule)
+        failed = failed | fails(rule, said)
+    rows = measured(df, keep, text) if lang is None else measured(df.withColumn("__lang", lang), [*keep, "__lang"], text)
     return (
-        measured(df, keep, text)
-        .withColumns({"base_failed": failed, "broken": names})
+        rows.withColumns({"base_failed": failed, "broken": names})
         .withColumn("kept", F.size("broken") == 0)
+        .drop("__lang")
     )

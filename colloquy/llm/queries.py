@@ -65,7 +65,7 @@ def op4_gam_quality(spark, folder):
 
 @query
 def op5_quality_rules(spark, folder):
-    return quality_rules.judged(table(spark, folder, "documents"), ["doc_id"]).select(
+    return quality_rules.judged(table(spark, folder, "documents"), ["doc_id"], lang=F.col("lang")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
 
