@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: The chat markup.
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
@@ -27,7 +28,10 @@ def with_other_answers(rows: DataFrame) -> DataFrame:
 
     Every conversation with an assistant turn is chosen once; its rejected version says, in its last assistant turn,
     what the conversation of the next number says in its own (nothing, if that has none), and
-    ends there."""
+    ends there.  Conversations must be whole numbers; for ids of another type, which have no next one, give both sides
+    to ``paired``."""
+    if not isinstance(rows.schema["conv"].dataType, T.IntegralType):
+        raise TypeError(f"no next conversation for ids of {rows.schema['conv'].dataType.simpleString()}; use paired()")
     last = rows.where("role = 'assistant'").groupBy("conv").agg(
         F.max("turn").alias("at"), F.max_by("text", "turn").alias("answer")
     )
@@ -42,7 +46,7 @@ def with_other_answers(rows: DataFrame) -> DataFrame:
 
 
 def paired(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Pairs from two tables of turns, by the same conversation number: as ``with_other_answers``."""
+    """Pairs from two tables of turns, by the same conversation id, of any type: as ``with_other_answers``."""
     side = lambda d, name: d.select(F.col("conv").alias("pair"), "turn", F.struct("role", "text").alias(name))
     return side(chosen, "chosen").join(side(rejected, "rejected"), ["pair", "turn"], "full")
 
