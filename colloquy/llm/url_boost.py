@@ -22,6 +22,8 @@ TREES, DEPTH, RATE, BINS = 10, 2, 0.4, 12
 SCALE = 1_000_000
 #: Rows that a suffix's block rate counts besides its own, at the overall rate.
 PRIOR = 10.0
+#: Groups of hosts; a row's suffix statistics in training are those of the other groups' rows.
+FOLDS = 5
 
 LEXICAL = [
     "url_length", "host_length", "path_length", "depth", "labels", "digit_ratio", "host_digit_ratio",
@@ -136,6 +138,9 @@ class UrlModel:
             df = df.withColumns({"s_rate": none, "s_count": none})
         else:
             df = df.join(self.suffixes, "__suffix", "left")
+        return self.with_statistics(df)
+
+    def with_statistics(self, df: DataFrame) -> DataFrame:
         return df.withColumns(
             {
                 "f_suffix_rate": F.coalesce("s_rate", F.lit(self.rate)),
@@ -161,12 +166,19 @@ def _compiled(tree, goes_left) -> Column:
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> UrlModel:
     """Train on rows of ``with_features`` whose ``ruled`` is allow or block.
 
+    Suffix statistics are out of fold: they leave out the rows of hosts in the row's own fold.  Half of the rows
+    (by hash of the URL) train without any, as URLs of an unseen suffix are scored, so that the lexical features
+    must decide there and no tree can rest on what the rules say of a suffix.
+
     Of more than ``sample`` rows those with the smallest URL hash are used.  Without rows, or with
     rows of one verdict, the model is that constant (without rows: allow)."""
     rows = (
         labelled.where(F.col("ruled").isNotNull())
         .withColumn("y", (F.col("ruled") == "block").cast("int"))
-        .select("y", "__suffix", F.xxhash64("__url").alias("h"), "__url", *[f"f_{f}" for f in LEXICAL])
+        .select(
+            "y", "__suffix", F.xxhash64("__url").alias("h"), "__url",
+            F.pmod(F.xxhash64(F.lit(2), "host"), F.lit(FOLDS)).alias("fold"), *[f"f_{f}" for f in LEXICAL],
+        )
         .orderBy("h", "__url", "y")
         .limit(sample)
         .drop("__url")
@@ -176,15 +188,22 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> UrlModel:
     rate = blocked / n if n else 0.0
     if blocked in (0, n):
         return UrlModel(30.0 if n and blocked == n else -30.0, rate, None)
-    suffixes = settle(
-        rows.groupBy("__suffix").agg(
-            ((F.sum("y") + PRIOR * rate) / (F.count("*") + PRIOR)).alias("s_rate"),
-            F.count("*").cast("double").alias("s_count"),
-        ),
-        "url-suffix",
+    folds = settle(
+        rows.groupBy("__suffix", "fold").agg(F.sum("y").alias("own_y"), F.count("*").alias("own_n")), "url-folds"
     )
+    sums = folds.groupBy("__suffix").agg(F.sum("own_y").alias("all_y"), F.sum("own_n").alias("all_n"))
+    statistics = lambda y, n: [((y + PRIOR * rate) / (n + PRIOR)).alias("s_rate"), n.cast("double").alias("s_count")]
+    suffixes = settle(sums.select("__suffix", *statistics(F.col("all_y"), F.col("all_n"))), "url-suffix")
     model = UrlModel(math.log(rate / (1 - rate)), rate, suffixes)
-    rows = model.joined(rows)
+    others = folds.join(sums, "__suffix").select(
+        "__suffix", "fold", *statistics(F.col("all_y") - F.col("own_y"), F.col("all_n") - F.col("own_n"))
+    )
+    seen = F.col("h") % 2 == 0
+    rows = model.with_statistics(
+        rows.join(others, ["__suffix", "fold"]).withColumns(
+            {s: F.when(seen, F.col(s)) for s in ("s_rate", "s_count")}
+        )
+    )
     at = [i / BINS for i in range(1, BINS)]
     cuts = rows.agg(*[F.percentile(f"f_{f}", F.array(*map(F.lit, at))).alias(f) for f in FEATURES]).first()
     edges = [sorted(set(cuts[f])) for f in FEATURES]
