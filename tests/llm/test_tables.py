@@ -1,7 +1,9 @@
 """Operators over whole small tables, against brute force."""
 
 import collections
+import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -201,6 +203,97 @@ def test_url_trees_learn_what_features_tell(spark):
     assert np.mean([r.bad == r.said for r in got]) > 0.97
 
 
+def test_suffix_alone_does_not_decide(spark):
+    """Rules that follow the suffix: an unseen suffix is judged by what else tells the two apart."""
+    rng = random.Random(6)
+    rows = []
+    for i in range(1500):
+        suffix = rng.choice(["com", "net", "org"])
+        bad = suffix == "net" or (suffix == "org" and rng.random() < 0.5)
+        word = "".join(rng.choice("0123456789" if bad else "abcdefgh") for _ in range(8))
+        rows.append((i, f"http://h{rng.randrange(40)}.{suffix}/{word}", bad))
+    rules = [url_boost.UrlRule("allow", "com/"), url_boost.UrlRule("block", "net/")]
+    table = spark.createDataFrame(rows, "i long, url string, bad boolean")
+    got = [r for r in url_boost.judged(table, ["i", "bad"], rules).collect() if r.rule is None]
+    assert np.mean([(r.verdict == "block") == r.bad for r in got]) > 0.97 and len({r.verdict for r in got}) == 2
+
+
+def slow_lexical(url):
+    rest = url.partition("://")[2] if "://" in url else ""
+    host = re.match("[^/?#]*", rest)[0]
+    path = re.match("[^?#]*", rest[len(host) :])[0]
+    host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+    digits = lambda x: sum(c in "0123456789" for c in x)
+    query = url.partition("?")[2].partition("#")[0]
+    counts = collections.Counter(url)
+    values = [
+        len(url), len(host), len(path), len([x for x in path.split("/") if x]), host.count(".") + 1 if host else 0,
+        digits(url) / len(url) if url else 0, digits(host) / len(host) if host else 0,
+        -sum(n / len(url) * math.log2(n / len(url)) for n in counts.values()),
+        len([x for x in query.split("&") if x]), host.count("-"),
+        len(path.split("/")[1]) if path.startswith("/") else 0,
+    ]
+    return dict(zip(url_boost.LEXICAL, values)), host.rpartition(".")[2]
+
+
+def test_url_scores_equal_a_walk_down_the_trees(spark):
+    rng = random.Random(13)
+    make = lambda: f"http://{rng.choice(['a-b', 'C9', 'd.e'])}.{rng.choice(['com', 'net', 'org'])}/" + "".join(
+        rng.choice("ab12/&?=#") for _ in range(rng.randrange(25))
+    )
+    urls = ["", "x", "http://", *{make() for _ in range(400)}]
+    featured = url_boost.with_features(spark.createDataFrame([(u,) for u in urls], "url string"), ["url"], "url", [])
+    featured = featured.withColumn("ruled", F.when(F.col("f_digit_ratio") > 0.15, "block").when(F.col("f_depth") > 1, "allow"))
+    model = url_boost.fit(featured)
+    known = {r["__suffix"]: (r.s_rate, r.s_count) for r in model.suffixes.collect()}
+
+    def walk(tree, x):
+        while isinstance(tree, url_boost.Split):
+            tree = tree.left if x[url_boost.FEATURES[tree.feature]] <= tree.edge else tree.right
+        return tree
+
+    assert model.trees
+    for r in model.joined(featured).withColumn("m", model.margin()).collect():
+        x, suffix = slow_lexical(r.url)
+        assert all(abs(r[f"f_{k}"] - v) < 1e-9 for k, v in x.items()), r
+        rate, count = known.get(suffix, (model.rate, 0))
+        x |= {"suffix_rate": rate, "suffix_log_count": math.log1p(count), "entropy": r.f_entropy}
+        assert abs(r.m - model.base - sum(walk(t, x) for t in model.trees)) < 1e-9
+
+
+def slow_tree(g, h, leaves):
+    spans = [list(range(len(g)))]
+    worth = lambda s: sum(g[i] for i in s) ** 2 / (sum(h[i] for i in s) + gam_quality.SHRINK)
+    while len(spans) < leaves:
+        options = [(worth(s[:c]) + worth(s[c:]) - worth(s), s, c) for s in spans for c in range(1, len(s))]
+        gain, s, c = max(options, key=lambda o: o[0], default=(0, None, 0))
+        if gain <= 1e-9:
+            break
+        spans.remove(s)
+        spans += [s[:c], s[c:]]
+    return {i: sum(g[j] for j in s) / (sum(h[j] for j in s) + gam_quality.SHRINK) for s in spans for i in s}
+
+
+def test_quality_trees_and_scores_equal_plain_sums():
+    rng = np.random.default_rng(14)
+    for leaves in (2, 3, 5):
+        for _ in range(60):
+            g, h = rng.normal(size=9), rng.random(9)
+            slow = slow_tree(g.tolist(), h.tolist(), leaves)
+            assert np.allclose(gam_quality._tree(g, h, leaves), [slow[i] for i in range(9)])
+    x = rng.normal(size=(600, 4)).round(1)
+    y = ((x[:, 0] > 0) ^ (x[:, 1] > 0.3)).astype(float)
+    model = gam_quality.fit_gam(x, y)
+    for row, score in zip(x.tolist(), model.score(x)):
+        total = model.base
+        for f, (edges, table) in enumerate(zip(model.edges, model.tables)):
+            total += table[sum(e < row[f] for e in edges.tolist())]
+        for a, b, table in model.pairs:
+            total += table[sum(e < row[a] for e in model.coarse[a].tolist()), sum(e < row[b] for e in model.coarse[b].tolist())]
+        assert abs(score - 1 / (1 + math.exp(-max(-30, min(30, total))))) < 1e-12
+    assert np.mean((model.score(x) > 0.5) == y) > 0.9
+
+
 def test_quality_model_on_held_out_rows(spark):
     docs, labels = (spark.read.parquet(f"{SMALL}/../sf0.01/{t}.parquet") for t in ("documents", "labels"))
     usable = F.expr("crc32(cast(doc_id as string)) % 4 <> 2")

@@ -5,7 +5,9 @@ import random
 import re
 import textwrap
 
+import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -55,7 +57,52 @@ def test_join_of_any_cut_equals_the_whole(tokenizer):
     for _ in range(300):
         data = "".join(rng.choice("etaonsh") for _ in range(rng.randrange(2, 120))).encode()
         cut = rng.randrange(1, len(data))
-        assert tokenizer.join(tokenizer.reduce(data[:cut]), tokenizer.reduce(data[cut:])) == tokenizer.merge(data)
+        sides = [bpe.unpack(x).astype(np.int64) for x in tokenizer.reduce([data[:cut], data[cut:]])]
+        ids, size = tokenizer.joined(np.concatenate(sides), np.array([len(x) for x in sides]))
+        assert [tokenizer.tokens[i] for i in ids.tolist()] == tokenizer.merge(data) and size.tolist() == [len(ids)]
+
+
+def test_pieces_of_all_lengths_go_up_the_tree_together(tokenizer, library):
+    rng = random.Random(12)
+    pieces = ["".join(rng.choice("etaonshé人") for _ in range(n)).encode() for n in [*range(1, 130), 700, 5000]]
+    pieces += [b"=" * 4096, b"ab" * 3000, b"=" * 64]
+    rng.shuffle(pieces)
+    before = tokenizer.joins
+    got = [bpe.unpack(x).tolist() for x in tokenizer.reduce(pieces)]
+    assert got == [[tokenizer.ranks[t] for t in tokenizer.merge(p)] for p in pieces]
+    leaves = 0
+    for p in pieces:
+        n = 1
+        while n * bpe.LEAF < len(p):
+            n *= 2
+        leaves += n
+    assert tokenizer.joins - before == leaves - len(pieces)
+    assert tokenizer.reduce([]) == []
+
+
+def test_given_texts_are_joined(library):
+    tokenizer = bpe.Tokenizer(bpe.load_ranks(PATH), public_tokenizers.PATTERN)
+    texts = pq.read_table("/root/testdata/sf0.001/documents.parquet")["text"].to_pylist()
+    packed = tokenizer.encode_packed([t or "" for t in texts])
+    assert [bpe.unpack(x).tolist() for x in packed] == [library.encode_ordinary(t or "") for t in texts]
+    assert tokenizer.joins > 1_000
+
+
+def test_memory_is_bounded_by_bytes(monkeypatch, library):
+    tokenizer = bpe.Tokenizer(bpe.load_ranks(PATH), public_tokenizers.PATTERN)
+    monkeypatch.setattr(bpe, "REMEMBERED", 10_000)
+    for i in range(6):
+        text = f"{i}" + "q" * 9_000 + " zq" * 50
+        assert tokenizer.encode(text) == library.encode_ordinary(text)
+        assert tokenizer._held < 10_000 + 50_000 and len(tokenizer._known) < 30
+
+
+def test_decoding_concatenates_any_number_of_ids(tokenizer):
+    ids = list(range(256)) * 5
+    for n in (0, 1, 63, 64, 65, 128, 129, 1000, 1280):
+        assert tokenizer.decode(ids[:n]) == b"".join(tokenizer.tokens[i] for i in ids[:n])
+    with pytest.raises(KeyError):
+        tokenizer.decode([len(tokenizer.ranks) + 7])
 
 
 def test_bpe_over_a_table(documents, library):
@@ -102,6 +149,14 @@ def test_quality_measures(documents):
     assert quality_rules.judged(documents([]), ["doc_id"]).count() == 0
 
 
+def test_stop_words_of_known_languages_only(documents):
+    texts = [" ".join(f"slowo{i}{x}" for x in "abcdefghijklmnopqrstuvwxyz") for i in range(4)]
+    docs = documents(texts).withColumn("lang", F.expr("element_at(array('en', 'pl', null, 'de'), int(doc_id) + 1)"))
+    kept = lambda **more: [r.kept for r in quality_rules.judged(docs, ["doc_id"], **more).orderBy("doc_id").collect()]
+    assert kept(lang=F.col("lang")) == [False, True, True, False]
+    assert kept() == [False] * 4
+
+
 BASE = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
@@ -321,6 +376,17 @@ def test_preference_prompts_once(spark):
     assert preference.formatted(preference.with_other_answers(preference.turns(table.limit(0)))).count() == 0
 
 
+def test_ids_of_any_type_with_both_sides_given(spark):
+    say = lambda text: spark.createDataFrame(
+        [("a", 0, "user", "q"), ("a", 1, "assistant", text)], "conv_id string, turn long, role string, text string"
+    )
+    chosen, rejected = preference.turns(say("yes")), preference.turns(say("no"))
+    rows = {(r.pair, r.part): r.text for r in preference.formatted(preference.paired(chosen, rejected)).collect()}
+    assert set(rows) == {("a", "prompt"), ("a", "chosen"), ("a", "rejected")} and "no" in rows["a", "rejected"]
+    with pytest.raises(TypeError, match="paired"):
+        preference.with_other_answers(chosen)
+
+
 def test_long_conversations_come_in_chunks(spark):
     turns = spark.range(50).selectExpr("1L as pair", "id as turn", "struct('assistant' as role, cast(id as string) as text) as chosen")
     pairs = turns.withColumn("rejected", F.when(F.col("turn") < 20, F.col("chosen")))
