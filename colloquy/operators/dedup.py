@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from colloquy import fixed
 from colloquy.functions import text as X
-from colloquy.operators.lineage import settle
+from colloquy.operators.lineage import passing, scoped, settle
 
 #: Rows of a group whose pairs are listed at once; larger ones start with their lowest row.
 SMALL_GROUP = 50
@@ -152,9 +152,8 @@ def _pairs_in_tiles(entries: DataFrame, threshold: float) -> DataFrame:
 
 
 def _check_pairs(pairs: DataFrame, texts: DataFrame, threshold: float, n: int) -> DataFrame:
-    """The pairs that reach the threshold, by their hashes; where one hash of two n-grams could
+    """The settled pairs that reach the threshold, by their hashes; where one hash of two n-grams could
     make the difference, by the full sets."""
-    pairs = settle(pairs, "pairs")
     ends = lambda pairs: texts.join(pairs.select(F.explode(F.array("lo", "hi")).alias("rid")).distinct(), "rid", "left_semi")
 
     def joined(pairs, sets):
@@ -163,13 +162,15 @@ def _check_pairs(pairs: DataFrame, texts: DataFrame, threshold: float, n: int) -
         return pairs.join(low, "lo").join(high, "hi")
 
     both = F.size("lo_set") + F.size("hi_set")
-    hashed = settle(_hashed(ends(pairs), n).select("rid", F.col("hashes").alias("set")), "hashes")
-    near = joined(pairs, hashed).select(
-        "lo", "hi", both.alias("both"), F.size(F.array_intersect("lo_set", "hi_set")).alias("shared")
-    )
     share = lambda less: (F.col("shared") - less) / (F.col("both") - F.col("shared") + less)
-    near = near.where((F.col("shared") > 0) & (share(0) >= F.lit(threshold)))
-    near = settle(near.select("lo", "hi", (share(1) >= F.lit(threshold)).alias("sure")), "near")
+    with passing(texts.sparkSession) as around:
+        hashed = settle(_hashed(ends(pairs), n).select("rid", F.col("hashes").alias("set")), "hashes")
+        near = joined(pairs, hashed).select(
+            "lo", "hi", both.alias("both"), F.size(F.array_intersect("lo_set", "hi_set")).alias("shared")
+        )
+        near = near.where((F.col("shared") > 0) & (share(0) >= F.lit(threshold)))
+        with scoped(around):
+            near = settle(near.select("lo", "hi", (share(1) >= F.lit(threshold)).alias("sure")), "near")
     sure, close = near.where("sure").select("lo", "hi"), near.where("not sure").select("lo", "hi")
     sets = ends(close).select("rid", X.once(X.shingles(F.col("text"), n)).alias("set"))
     similar = X.jaccard(F.col("lo_set"), F.col("hi_set")) >= F.lit(threshold)
@@ -219,16 +220,20 @@ def kept_keys(
     every = max(1, df.count() // SAMPLE_ROWS)
     sample = _hashed(texts.where(F.pmod(F.xxhash64("rid"), F.lit(every)) == 0), n)
     frequent = _frequent(settle(sample, "sample"))
+    spark = df.sparkSession
     digested = texts.select("rid", _sequence(n).alias("digest"), X.once(X.shingle_hashes(F.col("text"), n, 1)).alias("hashes"))
     digested = digested.select("rid", "digest", F.size("hashes").alias("size"), "hashes")
-    prefixes = settle(_prefixes(digested, threshold, frequent), "prefixes")
-    distinct = settle(prefixes.groupBy("digest").agg(F.min("rid").alias("rid")).select("rid"), "distinct")
+    with passing(spark) as around:
+        prefixes = settle(_prefixes(digested, threshold, frequent), "prefixes")
+        with scoped(around):
+            distinct = settle(prefixes.groupBy("digest").agg(F.min("rid").alias("rid")).select("rid"), "distinct")
+        entries = _exploded(prefixes.drop("digest").join(distinct, "rid", "left_semi"), threshold)
+        shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count_if("index").alias("indexed"))
+        shared = settle(shared.where("n > 1 and indexed > 0").select("key"), "shared")
+        with scoped(around):
+            entries = settle(entries.join(shared, "key", "left_semi"), "entries")
     everything = distinct.select(F.col("rid").alias(key))
-    entries = _exploded(prefixes.drop("digest").join(distinct, "rid", "left_semi"), threshold)
-    shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count_if("index").alias("indexed"))
-    shared = settle(shared.where("n > 1 and indexed > 0").select("key"), "shared")
-    entries = settle(entries.join(shared, "key", "left_semi"), "entries")
-    check = lambda pairs: _check_pairs(pairs, texts, threshold, n)
+    check = lambda pairs: _check_pairs(settle(pairs, "pairs"), texts, threshold, n)
 
     edges, dropped, waited = None, [], None
     while True:

@@ -63,6 +63,19 @@ def scoped(name: str) -> Iterator[None]:
         _SCOPE.reset(token)
 
 
+@contextlib.contextmanager
+def passing(spark: SparkSession) -> Iterator[str]:
+    """Tables settled inside go when the block ends, and shuffle files of finished queries with them.  Yields the scope
+    around, for tables that stay: ``with scoped(...)``."""
+    around = _SCOPE.get()
+    scope = f"{around}/passing-{uuid.uuid4().hex}"
+    with scoped(scope):
+        yield around
+    release(spark, scope)
+    # Spark's cleaner removes the shuffles that the driver's collector has found unused.
+    spark._jvm.System.gc()
+
+
 def release(spark: SparkSession, scope: str = "tables") -> None:
     """Remove the tables settled so far in a scope.  Call it when every result that builds on
     them has been written."""
