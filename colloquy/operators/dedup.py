@@ -17,7 +17,8 @@ scanned in key order.  The steps:
    have, yields only the pairs with its lowest row; when those drop the copies, the
    rest goes on in the next round.  When a round drops too little, the remaining
    groups are compared whole, in tiles of bounded size.
-4. Pairs are checked on hashes of their rows, those that one chance collision
+4. Pairs whose sketches, a few bytes for each ten n-grams, already differ too much go;
+   no similar pair can.  The others are checked on hashes of their rows, those that one chance collision
    could decide on the full sets, and rows decided in rounds: a row without an undecided lower neighbour is kept,
    the higher neighbours of a kept row drop.
 """
@@ -68,11 +69,25 @@ def _frequent(hashed: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return found["h"].to_numpy("int64"), found["n"].to_numpy("int64")
 
 
+def _sketches(grams: np.ndarray, row: np.ndarray, size: np.ndarray) -> pa.ListArray:
+    """For each row a list of 64-bit words with at least two bits for an n-gram, a power of two of them.  A bit tells
+    whether an odd number of the row's hashes fall on it, so two sketches differ in no more bits than the sets
+    in n-grams.  One of twice the length folds to the shorter by XOR of its halves."""
+    words = 2 ** np.ceil(np.log2(np.maximum(size, 32) / 32)).astype("int64")
+    ends = np.r_[0, np.cumsum(words)]
+    bit = grams & (64 * words - 1)[row]
+    out = np.zeros(ends[-1], "uint64")
+    np.bitwise_xor.at(out, ends[row] + (bit >> 6), np.uint64(1) << (bit & 63).astype("uint64"))
+    return pa.ListArray.from_arrays(ends.astype("int32"), pa.array(out.view("int64")))
+
+
 def _prefixes(hashed: DataFrame, threshold: float, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """The rows with ``keys`` for ``hashes``: the first n-grams in order, of ``s`` n-grams ``s - ceil(t * s) + 1``."""
+    """The rows with ``keys`` and ``sketch`` for ``hashes``.  Keys are the first n-grams in order, of ``s`` n-grams
+    ``s - ceil(t * s) + 1``."""
     order = hashed.sparkSession.sparkContext.broadcast(frequent)
     kept = [f for f in hashed.schema.fields if f.name != "hashes"]
-    schema = T.StructType([*kept, T.StructField("keys", T.ArrayType(T.LongType()))])
+    longs = T.ArrayType(T.LongType())
+    schema = T.StructType([*kept, T.StructField("keys", longs), T.StructField("sketch", longs)])
 
     def first_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, times = order.value
@@ -89,8 +104,8 @@ def _prefixes(hashed: DataFrame, threshold: float, frequent: tuple[np.ndarray, n
             length = np.minimum(size, size - np.ceil(size * threshold - SLACK).astype("int64") + 1)
             keys = pa.array(grams[by][pos < length[row]], pa.int64())
             ends = pa.array(np.r_[0, np.cumsum(length)].astype("int32"))
-            columns = [batch.column(f.name) for f in kept]
-            yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(ends, keys)], schema.names)
+            columns = [*[batch.column(f.name) for f in kept], pa.ListArray.from_arrays(ends, keys)]
+            yield pa.RecordBatch.from_arrays([*columns, _sketches(grams, row, size)], schema.names)
 
     return hashed.mapInArrow(first_ones, schema)
 
@@ -151,30 +166,57 @@ def _pairs_in_tiles(entries: DataFrame, threshold: float) -> DataFrame:
     return _listed(low, high, ["key", "line", "column"], threshold).distinct()
 
 
-def _check_pairs(pairs: DataFrame, texts: DataFrame, threshold: float, n: int) -> DataFrame:
-    """The settled pairs that reach the threshold, by their hashes; where one hash of two n-grams could
+def _with_both(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The pairs with the other columns of ``rows`` for each end, as ``lo_...`` and ``hi_...``."""
+    for end in ("lo", "hi"):
+        columns = [F.col(c).alias(end if c == "rid" else f"{end}_{c}") for c in rows.columns]
+        pairs = pairs.join(rows.select(*columns), end)
+    return pairs
+
+
+def _sketches_allow(pairs: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
+    """The pairs without those whose sketches differ in more bits than sets of a similar pair in elements:
+    ``(1 - t) / (1 + t)`` of both sizes.  One chance collision in either row is allowed for."""
+
+    def folded(a, b):
+        half = F.shiftright(F.size(a), 1)
+        halves = F.zip_with(F.slice(a, F.lit(1), half), F.slice(a, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(a) > F.size(b), halves).otherwise(F.col(a))
+
+    bits = F.zip_with(
+        folded("lo_sketch", "hi_sketch"), folded("hi_sketch", "lo_sketch"), lambda x, y: F.bit_count(x.bitwiseXOR(y))
+    )
+    differ = F.aggregate(bits, F.lit(0), lambda total, more: total + more)
+    most = (F.col("lo_size") + F.col("hi_size")) * F.lit((1 - threshold) / (1 + threshold)) + 2 + F.lit(SLACK)
+    # Lengths more than one doubling apart leave nulls: such a pair is left to the sets.
+    return _with_both(pairs, sketches).where(F.coalesce(differ <= most, F.lit(True))).select("lo", "hi")
+
+
+def _check_pairs(pairs: DataFrame, texts: DataFrame, sketches: DataFrame, threshold: float, n: int) -> DataFrame:
+    """The settled pairs that reach the threshold, by sketches and their hashes; where one hash of two n-grams could
     make the difference, by the full sets."""
-    ends = lambda pairs: texts.join(pairs.select(F.explode(F.array("lo", "hi")).alias("rid")).distinct(), "rid", "left_semi")
 
-    def joined(pairs, sets):
-        low = sets.select(F.col("rid").alias("lo"), F.col("set").alias("lo_set"))
-        high = sets.select(F.col("rid").alias("hi"), F.col("set").alias("hi_set"))
-        return pairs.join(low, "lo").join(high, "hi")
+    def ends(pairs):
+        rows = settle(pairs.select(F.explode(F.array("lo", "hi")).alias("rid")).distinct(), "ends")
+        return texts.join(rows, "rid", "left_semi")
 
     both = F.size("lo_set") + F.size("hi_set")
     share = lambda less: (F.col("shared") - less) / (F.col("both") - F.col("shared") + less)
     with passing(texts.sparkSession) as around:
+        pairs = settle(_sketches_allow(pairs, sketches, threshold), "allowed")
         hashed = settle(_hashed(ends(pairs), n).select("rid", F.col("hashes").alias("set")), "hashes")
-        near = joined(pairs, hashed).select(
+        near = _with_both(pairs, hashed).select(
             "lo", "hi", both.alias("both"), F.size(F.array_intersect("lo_set", "hi_set")).alias("shared")
         )
         near = near.where((F.col("shared") > 0) & (share(0) >= F.lit(threshold)))
         with scoped(around):
             near = settle(near.select("lo", "hi", (share(1) >= F.lit(threshold)).alias("sure")), "near")
     sure, close = near.where("sure").select("lo", "hi"), near.where("not sure").select("lo", "hi")
+    if close.isEmpty():
+        return sure
     sets = ends(close).select("rid", X.once(X.shingles(F.col("text"), n)).alias("set"))
     similar = X.jaccard(F.col("lo_set"), F.col("hi_set")) >= F.lit(threshold)
-    return sure if close.isEmpty() else sure.unionByName(joined(close, sets).where(similar).select("lo", "hi"))
+    return sure.unionByName(_with_both(close, sets).where(similar).select("lo", "hi"))
 
 
 def _decide(edges: DataFrame, waiting: DataFrame | None):
@@ -227,13 +269,16 @@ def kept_keys(
         prefixes = settle(_prefixes(digested, threshold, frequent), "prefixes")
         with scoped(around):
             distinct = settle(prefixes.groupBy("digest").agg(F.min("rid").alias("rid")).select("rid"), "distinct")
-        entries = _exploded(prefixes.drop("digest").join(distinct, "rid", "left_semi"), threshold)
+            sketches = settle(
+                prefixes.join(distinct, "rid", "left_semi").select("rid", "size", "sketch"), "sketches"
+            )
+        entries = _exploded(prefixes.drop("digest", "sketch").join(distinct, "rid", "left_semi"), threshold)
         shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count_if("index").alias("indexed"))
         shared = settle(shared.where("n > 1 and indexed > 0").select("key"), "shared")
         with scoped(around):
             entries = settle(entries.join(shared, "key", "left_semi"), "entries")
     everything = distinct.select(F.col("rid").alias(key))
-    check = lambda pairs: _check_pairs(settle(pairs, "pairs"), texts, threshold, n)
+    check = lambda pairs: _check_pairs(settle(pairs, "pairs"), texts, sketches, threshold, n)
 
     edges, dropped, waited = None, [], None
     while True:

@@ -112,3 +112,27 @@ def test_examples_compare_both_fields_and_keep_rows_whole(spark):
 def test_threshold_is_checked(spark):
     with pytest.raises(ValueError):
         dedup.kept_keys(spark.createDataFrame([(1, "a")], "example_id long, text string"), threshold=0)
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.8])
+def test_sketches_let_every_similar_pair_through(spark, threshold):
+    """Sizes on both sides of a doubling, so that sketches of two lengths meet; far pairs go."""
+    rng = random.Random(9)
+    pairs, rows, similar, far = [], [], set(), set()
+    for p in range(300):
+        base = [f"p{p}x{i}" for i in range(rng.choice([1, 3, 30, 31, 33, 60, 65, 130, 500]))]
+        other = base[: len(base) - rng.randint(0, len(base) // 4)] + [f"q{p}x{i}" for i in range(rng.randint(0, len(base) // 2))]
+        rows += [(2 * p, " ".join(base)), (2 * p + 1, " ".join(other))]
+        pairs.append((2 * p, 2 * p + 1))
+        share = len(set(base) & set(other)) / len(set(base) | set(other))
+        (similar if share >= threshold else far).add(pairs[-1])
+    pairs += [(2 * p, 2 * p + 3) for p in range(299)]
+    texts = spark.createDataFrame(rows, "rid long, text string")
+    sketches = dedup._prefixes(dedup._hashed(texts, 1), threshold, dedup._frequent(dedup._hashed(texts, 1)))
+    sketches = sketches.select("rid", "size", "sketch")
+    allowed = dedup._sketches_allow(spark.createDataFrame(pairs, "lo long, hi long"), sketches, threshold)
+    allowed = {tuple(r) for r in allowed.collect()}
+    assert similar <= allowed and len(similar) > 50
+    sizes = {key: len(set(text.split())) for key, text in rows}
+    long = [(a, b) for a, b in pairs[300:] if 130 <= min(sizes[a], sizes[b]) and max(sizes[a], sizes[b]) <= 1.25 * min(sizes[a], sizes[b])]
+    assert long and not allowed & set(long)
