@@ -266,13 +266,15 @@ def kept_keys(
     digested = texts.select("rid", _sequence(n).alias("digest"), X.once(X.shingle_hashes(F.col("text"), n, 1)).alias("hashes"))
     digested = digested.select("rid", "digest", F.size("hashes").alias("size"), "hashes")
     with passing(spark) as around:
-        prefixes = settle(_prefixes(digested, threshold, frequent), "prefixes")
+        with passing(spark) as outside:
+            prefixes = settle(_prefixes(digested, threshold, frequent), "prefixes")
+            with scoped(around):
+                distinct = settle(prefixes.groupBy("digest").agg(F.min("rid").alias("rid")).select("rid"), "distinct")
+            with scoped(outside):
+                lowest = settle(prefixes.drop("digest").join(distinct, "rid", "left_semi"), "lowest")
         with scoped(around):
-            distinct = settle(prefixes.groupBy("digest").agg(F.min("rid").alias("rid")).select("rid"), "distinct")
-            sketches = settle(
-                prefixes.join(distinct, "rid", "left_semi").select("rid", "size", "sketch"), "sketches"
-            )
-        entries = _exploded(prefixes.drop("digest", "sketch").join(distinct, "rid", "left_semi"), threshold)
+            sketches = settle(lowest.select("rid", "size", "sketch"), "sketches")
+        entries = _exploded(lowest, threshold)
         shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count_if("index").alias("indexed"))
         shared = settle(shared.where("n > 1 and indexed > 0").select("key"), "shared")
         with scoped(around):
