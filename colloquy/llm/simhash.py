@@ -169,6 +169,20 @@ def grouped(
     )
 
 
+def candidates(texts: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> tuple[DataFrame, DataFrame]:
+    """Of ``rid, text, digest``: the lowest ``rid`` of each fingerprint and digest, and pairs ``lo, hi`` of these for an exact
+    check: the lowest of a fingerprint with its others, and the lowest of linked fingerprints with each other."""
+    rows = settle(fingerprints(texts, ["rid", "digest"]), "simhash")
+    first = settle(rows.groupBy("fp", "digest").agg(F.min("rid").alias("rid")).select("rid", "fp"), "simhash-firsts")
+    lowest = first.groupBy("fp").agg(F.min("rid").alias("low"))
+    inside = first.join(lowest, "fp").where("rid <> low").select(F.col("low").alias("lo"), F.col("rid").alias("hi"))
+    pairs = links(first, radius, bucket)
+    for end in ("a", "b"):
+        pairs = pairs.join(lowest.select(F.col("fp").alias(end), F.col("low").alias(f"low_{end}")), end)
+    across = pairs.select(F.least("low_a", "low_b").alias("lo"), F.greatest("low_a", "low_b").alias("hi"))
+    return first.select("rid"), inside.union(across)
+
+
 def hexadecimal(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 

@@ -23,7 +23,7 @@ scanned in key order.  The steps:
    the higher neighbours of a kept row drop.
 """
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -253,8 +253,13 @@ def kept_keys(
     threshold: float = fixed.DEDUP_THRESHOLD,
     n: int = fixed.DEDUP_NGRAM,
     small_group: int = SMALL_GROUP,
+    copies: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None,
 ) -> DataFrame:
-    """The keys that survive, as one column named ``key``."""
+    """The keys that survive, as one column named ``key``.
+
+    ``copies`` may find copies in its own way: from ``rid, text, digest``, equal digests being equal words, it gives the
+    ``rid`` that are no copy of a lower one and candidate pairs ``lo, hi`` of these.  Pairs are checked exactly before
+    any other is sought, and not listed again; what it misses is found as without it."""
     if not 0 < threshold <= 1:
         raise ValueError(f"threshold must lie in (0, 1], got {threshold}")
     text = F.col(text) if isinstance(text, str) else text
@@ -263,13 +268,16 @@ def kept_keys(
     sample = _hashed(texts.where(F.pmod(F.xxhash64("rid"), F.lit(every)) == 0), n)
     frequent = _frequent(settle(sample, "sample"))
     spark = df.sparkSession
+    first, pairs = copies(texts.withColumn("digest", X.once(_sequence(n)))) if copies else (None, None)
     digested = texts.select("rid", _sequence(n).alias("digest"), X.once(X.shingle_hashes(F.col("text"), n, 1)).alias("hashes"))
     digested = digested.select("rid", "digest", F.size("hashes").alias("size"), "hashes")
     with passing(spark) as around:
         with passing(spark) as outside:
             prefixes = settle(_prefixes(digested, threshold, frequent), "prefixes")
             with scoped(around):
-                distinct = settle(prefixes.groupBy("digest").agg(F.min("rid").alias("rid")).select("rid"), "distinct")
+                if first is None:
+                    first = prefixes.groupBy("digest").agg(F.min("rid").alias("rid")).select("rid")
+                distinct = settle(first, "distinct")
             with scoped(outside):
                 lowest = settle(prefixes.drop("digest").join(distinct, "rid", "left_semi"), "lowest")
         with scoped(around):
@@ -280,9 +288,12 @@ def kept_keys(
         with scoped(around):
             entries = settle(entries.join(shared, "key", "left_semi"), "entries")
     everything = distinct.select(F.col("rid").alias(key))
-    check = lambda pairs: _check_pairs(settle(pairs, "pairs"), texts, sketches, threshold, n)
+    known = pairs and settle(pairs.select("lo", "hi").distinct(), "known")
+    unknown = lambda pairs: pairs.join(known, ["lo", "hi"], "left_anti") if known else pairs
+    exact = lambda pairs: _check_pairs(pairs, texts, sketches, threshold, n)
+    check = lambda pairs: exact(settle(unknown(pairs), "pairs"))
 
-    edges, dropped, waited = None, [], None
+    edges, dropped, waited = known and settle(exact(known), "edges"), [], None
     while True:
         count = F.count(F.lit(1))
         hot = settle(
@@ -339,23 +350,25 @@ def deduplicate(
     threshold: float = fixed.DEDUP_THRESHOLD,
     n: int = fixed.DEDUP_NGRAM,
     small_group: int = SMALL_GROUP,
+    copies: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None,
 ) -> DataFrame:
     """The rows whose text is not similar to that of a kept row of lower key."""
-    return df.join(kept_keys(df, key, text, threshold, n, small_group), key, "left_semi")
+    return df.join(kept_keys(df, key, text, threshold, n, small_group, copies), key, "left_semi")
 
 
 def one_of_each(
-    df: DataFrame, key: str, text: str, threshold: float, n: int, small_group: int = SMALL_GROUP
+    df: DataFrame, key: str, text: str, threshold: float, n: int, small_group: int = SMALL_GROUP,
+    copies: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None,
 ) -> DataFrame:
     """As ``deduplicate``, for keys that may repeat or be null: as if rows were scanned by key, rows of one key as
     stored, rows without a key last.  All columns stay."""
     if df.groupBy(key).count().where((F.col("count") > 1) | F.col(key).isNull()).isEmpty():
-        return deduplicate(df, key, text, threshold, n, small_group)
+        return deduplicate(df, key, text, threshold, n, small_group, copies)
     stored = settle(df.withColumn("__row", F.monotonically_increasing_id()), "dedup-rows")
     order = stored.select(key, "__row").orderBy(F.col(key).asc_nulls_last(), "__row")
     ranks = settle(order.select("__row", F.monotonically_increasing_id().alias("__rank")), "dedup-ranks")
     ranked = stored.join(ranks, "__row")
-    return deduplicate(ranked, "__rank", text, threshold, n, small_group).drop("__row", "__rank")
+    return deduplicate(ranked, "__rank", text, threshold, n, small_group, copies).drop("__row", "__rank")
 
 
 def deduplicate_examples(df: DataFrame, threshold: float = fixed.DEDUP_THRESHOLD, **kwargs) -> DataFrame:

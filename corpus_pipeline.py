@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colloquy.functions.text import once
-from colloquy.llm import bpe, curriculum, pii_bootstrap, quality_rules
+from colloquy.llm import bpe, curriculum, pii_bootstrap, quality_rules, simhash
 from colloquy.operators import dedup
 from colloquy.operators.lineage import release, scoped, settle
 
@@ -54,9 +54,10 @@ def _dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """No document that is a near copy of one that stays and has a smaller doc_id; of equal keys the one stored first
     stays, documents without a key come last.
 
-    Compared by exact Jaccard similarity: fingerprints of 64 bits, as ``op3`` has them, miss most pairs
-    between 0.8 and 0.95."""
-    return dedup.one_of_each(docs, "doc_id", "text", NEAR, SHINGLE_WORDS)
+    SimHash (``op3``) comes first: rows of one fingerprint and equal words are one, rows of equal or linked fingerprints are
+    compared by exact Jaccard similarity.  Fingerprints of 64 bits miss most pairs between 0.8 and 0.95, so these are then
+    sought by the prefixes of their sets of words in a row."""
+    return dedup.one_of_each(docs, "doc_id", "text", NEAR, SHINGLE_WORDS, copies=simhash.candidates)
 
 
 @_stage

@@ -126,3 +126,20 @@ def test_stages_take_clashing_columns_and_nulls(spark, documents):
     masked = pii_bootstrap.masked(docs).collect()
     assert len(masked) == len(rows) and sum("[EMAIL]" in (r.text or "") for r in masked) == 1
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).count() == len(rows)
+
+
+def test_dedup_stage_takes_copies_by_simhash(spark, documents, monkeypatch):
+    """Copies and near copies come from fingerprints and an exact check; nothing else lists their pairs."""
+    from colloquy.llm import simhash
+    from colloquy.operators import dedup
+
+    words = [f"w{i}" for i in range(400)]
+    rows = [(1, " ".join(words), "s"), (2, "  ".join(words), "s"), (3, " ".join([*words[:-1], "other"]), "s"), (4, "something else", "s")]
+    bits = simhash.fingerprint(rows[0][1]) ^ simhash.fingerprint(rows[2][1])
+    assert 0 <= (bits % (1 << 64)).bit_count() <= simhash.RADIUS
+    first, pairs = simhash.candidates(documents(rows).selectExpr("doc_id as rid", "text", "md5(regexp_replace(text, ' +', ' ')) as digest"))
+    assert sorted(r.rid for r in first.collect()) == [1, 3, 4]
+    assert {(r.lo, r.hi) for r in pairs.collect()} == {(1, 3)}
+    monkeypatch.setattr(dedup, "_pairs_of_small", lambda entries, threshold: entries.selectExpr("rid as lo", "rid as hi").limit(0))
+    stage = dict(corpus_pipeline.STAGES)["exact_near_dedup"]
+    assert sorted(r.doc_id for r in stage(spark, documents(rows), SMALL).collect()) == [1, 4]
