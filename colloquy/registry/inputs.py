@@ -100,13 +100,16 @@ def wanted_counts(spark, folder, factor):
     return {c: found.get(s, 0) * factor**i for i, (c, s) in enumerate(zip(fixed.CATEGORIES, segments))}
 
 
-def order_attempts(spark, folder):
-    """A draw per order: a category picked by its customer, and five attempts."""
-    attempt = F.explode(F.sequence(F.lit(0), F.lit(fixed.ATTEMPTS_PER_EXAMPLE - 1))).alias("attempt")
-    number = F.col("draw") * fixed.ATTEMPTS_PER_EXAMPLE + F.col("attempt")
+def order_attempts(spark, folder, taken=None):
+    """A draw per order: a category picked by its customer, and five attempts, or those ``taken`` (``draw, attempt``)."""
     orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("draw"), F.col("o_custkey").alias("c_custkey"))
-    draws = orders.join(customers(spark, folder), "c_custkey").withColumn("category", category_of(F.col("c_custkey")))
-    candidates = draws.select("category", "customer", "segment", "nation", "draw", attempt).withColumn("candidate", number)
+    if taken is None:
+        every = F.explode(F.sequence(F.lit(0), F.lit(fixed.ATTEMPTS_PER_EXAMPLE - 1))).alias("attempt")
+        slots = orders.join(customers(spark, folder), "c_custkey").select("*", every)
+    else:
+        slots = orders.join(taken, "draw").join(customers(spark, folder), "c_custkey")
+    number = F.col("draw") * fixed.ATTEMPTS_PER_EXAMPLE + F.col("attempt")
+    candidates = slots.select("customer", "segment", "nation", category_of(F.col("c_custkey")).alias("category"), number.alias("candidate"))
     filled = generate.fill_templates(candidates, templates=SHARED_TEMPLATES)
     return filled.withColumns({
         "draw": F.expr(f"candidate div {fixed.ATTEMPTS_PER_EXAMPLE}"), "attempt": (F.col("candidate") % fixed.ATTEMPTS_PER_EXAMPLE).cast("int"),

@@ -375,7 +375,9 @@ def generate_balanced(spark, folder):
 
 @query
 def generate_unbalanced(spark, folder):
-    return generate.drawn(I.order_attempts(spark, folder)).select("draw", "attempt", "category", "user", "assistant")
+    """Only numbers and digests of openings move between the draws; texts are filled again for those taken."""
+    taken = generate.taken_attempts(I.order_attempts(spark, folder))
+    return I.order_attempts(spark, folder, taken).select("draw", "attempt", "category", "user", "assistant")
 
 
 @query

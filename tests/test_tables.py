@@ -291,6 +291,24 @@ def test_drawn_generation_equals_one_draw_after_another(spark, seed):
     assert {(r.draw, r.attempt) for r in found} == want and 50 < len(found) == len(want) <= 59
 
 
+def test_draws_move_digests_instead_of_texts(spark, monkeypatch):
+    """What is stored between the rounds holds no text, and shrinks to the draws still open."""
+    stored = []
+    monkeypatch.setattr(generate, "settle", lambda df, name="table": stored.append(df.cache()) or df)
+    rows = [(d, a, f"q{(d * 7 + a * 11) % 90}" + "x" * 90) for d in range(120) for a in range(5)]
+    df = spark.createDataFrame(rows, "draw long, attempt int, user string").repartition(3)
+    found = [tuple(r) for r in generate.taken_attempts(df).collect()]
+    want, seen = [], set()
+    for d, a, user in rows:
+        if user[:80] not in seen and d not in {w[0] for w in want}:
+            seen.add(user[:80])
+            want.append((d, a))
+    assert sorted(found) == want
+    assert stored and not any("string" in s.schema.simpleString() for s in stored)
+    sizes = [s.count() for s in stored]
+    assert sizes == sorted(sizes, reverse=True) and sizes[-1] < sizes[0]
+
+
 def test_hybrid_from_a_table_falls_back_on_its_own_candidates(spark):
     rows = [(i, "ab"[i % 2], f"q{i // 2}", "s") for i in range(400)]
     df = spark.createDataFrame(rows, "candidate long, category string, user string, assistant string")
