@@ -116,9 +116,15 @@ def order_attempts(spark, folder, taken=None):
     })
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """The narrow rows dealt over four tasks a core before long texts are made of them: their file is so small that one
+    task would read it, and make and score all texts.  A number of tasks given here is not merged again."""
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def answers(spark, folder, seed):
     """One filled example per customer; other seeds give other answers."""
-    candidates = customers(spark, folder).select(
+    candidates = spread(customers(spark, folder), "c_custkey").select(
         F.col("c_custkey").alias("candidate"), category_of(F.col("c_custkey")).alias("category"),
         "customer", "segment", "nation",
     )

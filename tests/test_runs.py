@@ -153,3 +153,11 @@ def test_query_equals_sql(spark, duck, name):
     order = [theirs.index(c) for c in columns]
     assert sorted(theirs) == columns
     assert ours == sorted(tuple(str(r[i]) for i in order) for r in result.fetchall())
+
+
+def test_answers_are_made_in_many_tasks(spark):
+    """The customers' file is one task's; texts and scores are not left to it."""
+    from colloquy.registry import inputs
+
+    assert inputs.customers(spark, DATA).rdd.getNumPartitions() == 1
+    assert inputs.reference_answers(spark, DATA).rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
