@@ -44,6 +44,8 @@ SAMPLE_ROWS, FREQUENT_SHARE = 4_096, 1e-6
 TILE_ROWS = 2_000
 #: Rounds must leave no more than this share of the rows that wait.
 LEFT_SHARE = 0.5
+#: N-grams that a Python worker orders at once; a longer row goes alone.
+BATCH_GRAMS = 1 << 18
 #: Slack of the floating-point bounds; it only lets more pairs through.
 SLACK = 1e-6
 
@@ -81,6 +83,18 @@ def _sketches(grams: np.ndarray, row: np.ndarray, size: np.ndarray) -> pa.ListAr
     return pa.ListArray.from_arrays(ends.astype("int32"), pa.array(out.view("int64")))
 
 
+def _pieces(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of at most ``most`` n-grams, or of one row."""
+    for batch in batches:
+        ends = np.cumsum(batch.column("size").to_numpy(zero_copy_only=False).astype("int64"))
+        start = 0
+        while start < len(ends):
+            stop = int(np.searchsorted(ends, (ends[start - 1] if start else 0) + most, "right"))
+            stop = max(stop, start + 1)
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def _prefixes(hashed: DataFrame, threshold: float, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """The rows with ``keys`` and ``sketch`` for ``hashes``.  Keys are the first n-grams in order, of ``s`` n-grams
     ``s - ceil(t * s) + 1``."""
@@ -88,10 +102,11 @@ def _prefixes(hashed: DataFrame, threshold: float, frequent: tuple[np.ndarray, n
     kept = [f for f in hashed.schema.fields if f.name != "hashes"]
     longs = T.ArrayType(T.LongType())
     schema = T.StructType([*kept, T.StructField("keys", longs), T.StructField("sketch", longs)])
+    most = BATCH_GRAMS
 
     def first_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, times = order.value
-        for batch in batches:
+        for batch in _pieces(batches, most):
             grams = batch.column("hashes").flatten().to_numpy(zero_copy_only=False)
             size = batch.column("size").to_numpy(zero_copy_only=False).astype("int64")
             n = np.zeros(len(grams), "int64")

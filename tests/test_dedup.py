@@ -136,3 +136,18 @@ def test_sketches_let_every_similar_pair_through(spark, threshold):
     sizes = {key: len(set(text.split())) for key, text in rows}
     long = [(a, b) for a, b in pairs[300:] if 130 <= min(sizes[a], sizes[b]) and max(sizes[a], sizes[b]) <= 1.25 * min(sizes[a], sizes[b])]
     assert long and not allowed & set(long)
+
+
+def test_a_worker_orders_few_ngrams_at_once(spark, monkeypatch):
+    import pyarrow as pa
+
+    sizes = [5, 4, 1, 30, 2, 8, 3]
+    lists = [list(range(n)) for n in sizes]
+    batch = pa.record_batch([pa.array(range(7)), pa.array(sizes, pa.int32()), pa.array(lists, pa.list_(pa.int64()))], ["rid", "size", "hashes"])
+    parts = list(dedup._pieces(iter([batch]), 10))
+    assert [p.column("size").to_pylist() for p in parts] == [[5, 4, 1], [30], [2, 8], [3]]
+    assert [x for p in parts for x in p.column("hashes").to_pylist()] == lists
+    rows = [(i, " ".join(f"w{(i // 3 * 50 + k)}" for k in range(40)) + (" x" if i % 3 else "")) for i in range(30)]
+    df = spark.createDataFrame(rows, "k long, t string").coalesce(1)
+    monkeypatch.setattr(dedup, "BATCH_GRAMS", 50)
+    assert sorted(r.k for r in dedup.kept_keys(df, "k", "t", 0.8).collect()) == list(range(0, 30, 3))
