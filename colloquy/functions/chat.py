@@ -43,7 +43,12 @@ def spoken_text(messages: Column) -> Column:
     return F.when(F.size(blocks) > 0, F.array_join(blocks, "\n"))
 
 
-def conversation_prompt(parts: Column, system_prompt: str | None = None) -> Column:
+def conversation_prompt(messages: Column, system_prompt: str | None = None) -> Column:
+    """Ordered ``(role, content)`` structs to a prompt; see ``prompt_of_texts``."""
+    return prompt_of_texts(F.array(spoken_text(messages)), system_prompt)
+
+
+def prompt_of_texts(parts: Column, system_prompt: str | None = None) -> Column:
     """Ordered texts of ``spoken_text`` to a prompt: stored system turns give way
     to the system prompt; only a missing prompt (not an empty one) is defaulted."""
     system = fixed.SYSTEM_PROMPT if system_prompt is None else system_prompt

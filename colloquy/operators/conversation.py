@@ -62,5 +62,5 @@ def conversation_prompts(
     )
     in_order = F.sort_array(F.collect_list("part"))["text"]
     return parts.groupBy("conv_id").agg(in_order.alias("parts")).select(
-        "conv_id", chat.conversation_prompt(F.col("parts"), system_prompt).alias("prompt")
+        "conv_id", chat.prompt_of_texts(F.col("parts"), system_prompt).alias("prompt")
     )
