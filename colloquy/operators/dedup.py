@@ -26,6 +26,7 @@ scanned in key order.  The steps:
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,9 +38,11 @@ from colloquy.operators.lineage import passing, scoped, settle
 
 #: Rows of a group whose pairs are listed at once; larger ones start with their lowest row.
 SMALL_GROUP = 50
-#: Rows, about, whose n-grams are counted for the order.  N-grams holding more than a share of theirs, and seen in
-#: several, are put in order by count, the others by hash alone; there are never more than a million of them.
-SAMPLE_ROWS, FREQUENT_SHARE = 4_096, 1e-6
+#: Every so manieth row, of more than so many rows, has its n-grams counted for the order.  A share and not a number: with
+#: a number the n-grams seen too seldom to be told from rare ones would be in ever more rows of a larger table.
+SAMPLE_EVERY, SAMPLE_ROWS = 16, 4_096
+#: Counters of the n-grams, one byte each; n-grams that share one count together.  A block is packed in one task.
+SLOTS, BLOCK = 1 << 24, 1 << 16
 #: Rows at one side of a tile.
 TILE_ROWS = 2_000
 #: Rounds must leave no more than this share of the rows that wait.
@@ -50,37 +53,73 @@ BATCH_GRAMS = 1 << 18
 SLACK = 1e-6
 
 
+def _worded(texts: DataFrame) -> DataFrame:
+    """The rows with ``whole``, the text in lower case without outer white space, and its ``words``, made once."""
+    whole = X.once(X.strip(F.lower("text"))).alias("whole")
+    return texts.select("rid", whole).select("rid", "whole", X.once(X.words(F.col("whole"))).alias("words"))
+
+
 def _hashed(texts: DataFrame, n: int) -> DataFrame:
     """The n-grams of each row as 64-bit hashes, and their number."""
-    hashes = X.once(X.shingle_hashes(F.col("text"), n, 1)).alias("hashes")
-    return texts.select("rid", hashes).select("rid", F.size("hashes").alias("size"), "hashes")
+    hashes = X.once(X.gram_hashes(F.col("whole"), F.col("words"), n, 1)).alias("hashes")
+    return _worded(texts).select("rid", hashes).select("rid", F.size("hashes").alias("size"), "hashes")
+
+
+def _digest(whole: Column, words: Column, n: int) -> Column:
+    """Of the words; equal sequences have equal sets."""
+    return F.unhex(F.sha2(F.when(F.size(words) < n, whole).otherwise(F.array_join(words, " ")), 256))
 
 
 def _sequence(n: int) -> Column:
-    """A digest of the words; equal sequences have equal sets."""
     whole = X.strip(F.lower("text"))
-    words = X.let(X.words(whole), lambda t: F.when(F.size(t) < n, whole).otherwise(F.array_join(t, " ")))
-    return F.unhex(F.sha2(words, 256))
+    return X.let(X.words(whole), lambda words: _digest(whole, words, n))
+
+
+def _digested(texts: DataFrame, n: int) -> DataFrame:
+    """As ``_hashed``, with the digest of the words."""
+    whole, words = F.col("whole"), F.col("words")
+    digest = X.once(_digest(whole, words, n)).alias("digest")
+    rows = _worded(texts).select("rid", digest, X.once(X.gram_hashes(whole, words, n, 1)).alias("hashes"))
+    return rows.select("rid", "digest", F.size("hashes").alias("size"), "hashes")
 
 
-def _frequent(hashed: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes, ascending, and counts of the n-grams above ``FREQUENT_SHARE`` of all."""
-    total = hashed.agg(F.sum("size")).first()[0] or 0
-    counts = hashed.select(F.explode("hashes").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
-    found = counts.where(F.col("n") > max(1, int(total * FREQUENT_SHARE))).toPandas().sort_values("h")
-    return found["h"].to_numpy("int64"), found["n"].to_numpy("int64")
+def _frequent(hashed: DataFrame) -> np.ndarray:
+    """The counters of the n-grams by the low bits of their hash, as logarithms in one byte."""
+    slots = hashed.select(F.explode("hashes").alias("h")).groupBy(F.col("h").bitwiseAND(SLOTS - 1).cast("int").alias("slot"))
+    times = F.floor(F.log2(F.count(F.lit(1)) + 1) * 16)
+    counts = slots.agg(F.least(times, F.lit(255)).cast("int").alias("n"))
 
+    def pack(block):
+        out = np.zeros(BLOCK, "uint8")
+        out[block["slot"].to_numpy() % BLOCK] = block["n"].to_numpy()
+        return pd.DataFrame({"at": [int(block["slot"].iloc[0]) // BLOCK], "counts": [out.tobytes()]})
 
-def _sketches(grams: np.ndarray, row: np.ndarray, size: np.ndarray) -> pa.ListArray:
-    """For each row a list of 64-bit words with at least two bits for an n-gram, a power of two of them.  A bit tells
-    whether an odd number of the row's hashes fall on it, so two sketches differ in no more bits than the sets
-    in n-grams.  One of twice the length folds to the shorter by XOR of its halves."""
-    words = 2 ** np.ceil(np.log2(np.maximum(size, 32) / 32)).astype("int64")
+    blocks = counts.groupBy(F.floor(F.col("slot") / F.lit(BLOCK)).alias("block")).applyInPandas(pack, "at int, counts binary")
+    table = np.zeros(SLOTS, "uint8")
+    for at, packed in blocks.collect():
+        table[at * BLOCK : (at + 1) * BLOCK] = np.frombuffer(packed, "uint8")
+    return table
+
+
+def _order(grams: np.ndarray, row: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """The places of the n-grams by row, then count, then hash.  Most of the hash fits into one number with the others."""
+    one = row << 45 | times.astype("int64") << 37 | (grams >> 27) & ((1 << 37) - 1)
+    by = np.argsort(one)
+    return np.lexsort((grams, one)) if (np.diff(one[by]) == 0).any() else by
+
+
+def _sketches(grams: np.ndarray, row: np.ndarray, size: np.ndarray, threshold: float) -> pa.ListArray:
+    """For each row a list of 64-bit words, a power of two of them.  A bit tells whether an odd number of the row's
+    hashes fall on it, so two sketches differ in no more bits than the sets in n-grams.  One of twice the length folds
+    to the shorter by XOR of its halves.  Sketches of unlike sets differ in half their bits, which at least is twice what
+    those of similar sets can, or there are two bits an n-gram."""
+    bits = np.maximum(size * min(2, 8 * (1 - threshold) / (1 + threshold)), 64)
+    words = 2 ** np.ceil(np.log2(bits / 64)).astype("int64")
     ends = np.r_[0, np.cumsum(words)]
-    bit = grams & (64 * words - 1)[row]
-    out = np.zeros(ends[-1], "uint64")
-    np.bitwise_xor.at(out, ends[row] + (bit >> 6), np.uint64(1) << (bit & 63).astype("uint64"))
-    return pa.ListArray.from_arrays(ends.astype("int32"), pa.array(out.view("int64")))
+    at = 64 * ends[row] + (grams & (64 * words - 1)[row])
+    odd = (np.bincount(at, minlength=64 * ends[-1]) & 1).astype("uint8")
+    out = np.packbits(odd, bitorder="little").view("int64")
+    return pa.ListArray.from_arrays(ends.astype("int32"), pa.array(out))
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
@@ -95,7 +134,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordB
             start = stop
 
 
-def _prefixes(hashed: DataFrame, threshold: float, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+def _prefixes(hashed: DataFrame, threshold: float, frequent: np.ndarray) -> DataFrame:
     """The rows with ``keys`` and ``sketch`` for ``hashes``.  Keys are the first n-grams in order, of ``s`` n-grams
     ``s - ceil(t * s) + 1``."""
     order = hashed.sparkSession.sparkContext.broadcast(frequent)
@@ -105,22 +144,18 @@ def _prefixes(hashed: DataFrame, threshold: float, frequent: tuple[np.ndarray, n
     most = BATCH_GRAMS
 
     def first_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, times = order.value
+        times = order.value
         for batch in _pieces(batches, most):
             grams = batch.column("hashes").flatten().to_numpy(zero_copy_only=False)
             size = batch.column("size").to_numpy(zero_copy_only=False).astype("int64")
-            n = np.zeros(len(grams), "int64")
-            if len(known):
-                at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
-                n = np.where(known[at] == grams, times[at], 0)
             row = np.repeat(np.arange(len(size)), size)
-            by = np.lexsort((grams, n, row))
+            by = _order(grams, row, times[grams & (len(times) - 1)])
             pos = np.arange(len(grams)) - np.repeat(np.cumsum(size) - size, size)
             length = np.minimum(size, size - np.ceil(size * threshold - SLACK).astype("int64") + 1)
             keys = pa.array(grams[by][pos < length[row]], pa.int64())
             ends = pa.array(np.r_[0, np.cumsum(length)].astype("int32"))
             columns = [*[batch.column(f.name) for f in kept], pa.ListArray.from_arrays(ends, keys)]
-            yield pa.RecordBatch.from_arrays([*columns, _sketches(grams, row, size)], schema.names)
+            yield pa.RecordBatch.from_arrays([*columns, _sketches(grams, row, size, threshold)], schema.names)
 
     return hashed.mapInArrow(first_ones, schema)
 
@@ -279,22 +314,22 @@ def kept_keys(
         raise ValueError(f"threshold must lie in (0, 1], got {threshold}")
     text = F.col(text) if isinstance(text, str) else text
     texts = df.select(F.col(key).alias("rid"), F.coalesce(text, F.lit("")).alias("text"))
-    every = max(1, df.count() // SAMPLE_ROWS)
-    sample = _hashed(texts.where(F.pmod(F.xxhash64("rid"), F.lit(every)) == 0), n)
-    frequent = _frequent(settle(sample, "sample"))
+    every = max(1, min(SAMPLE_EVERY, df.count() // SAMPLE_ROWS))
+    frequent = _frequent(_hashed(texts.where(F.pmod(F.xxhash64("rid"), F.lit(every)) == 0), n))
     spark = df.sparkSession
     first, pairs = copies(texts.withColumn("digest", X.once(_sequence(n)))) if copies else (None, None)
-    digested = texts.select("rid", _sequence(n).alias("digest"), X.once(X.shingle_hashes(F.col("text"), n, 1)).alias("hashes"))
-    digested = digested.select("rid", "digest", F.size("hashes").alias("size"), "hashes")
     with passing(spark) as around:
-        with passing(spark) as outside:
-            prefixes = settle(_prefixes(digested, threshold, frequent), "prefixes")
+        prefixes = _prefixes(_digested(texts, n), threshold, frequent)
+        if first is None:
+            row = F.struct("rid", "size", "keys", "sketch")
+            lowest = prefixes.groupBy("digest").agg(F.min_by(row, "rid").alias("row")).select("row.*")
+        else:
             with scoped(around):
-                if first is None:
-                    first = prefixes.groupBy("digest").agg(F.min("rid").alias("rid")).select("rid")
-                distinct = settle(first, "distinct")
-            with scoped(outside):
-                lowest = settle(prefixes.drop("digest").join(distinct, "rid", "left_semi"), "lowest")
+                first = settle(first, "distinct")
+            lowest = prefixes.drop("digest").join(first, "rid", "left_semi")
+        lowest = settle(lowest, "lowest")
+        with scoped(around):
+            distinct = settle(lowest.select("rid"), "distinct") if first is None else first
         with scoped(around):
             sketches = settle(lowest.select("rid", "size", "sketch"), "sketches")
         entries = _exploded(lowest, threshold)

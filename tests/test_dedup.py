@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -151,3 +152,43 @@ def test_a_worker_orders_few_ngrams_at_once(spark, monkeypatch):
     df = spark.createDataFrame(rows, "k long, t string").coalesce(1)
     monkeypatch.setattr(dedup, "BATCH_GRAMS", 50)
     assert sorted(r.k for r in dedup.kept_keys(df, "k", "t", 0.8).collect()) == list(range(0, 30, 3))
+
+
+def test_ngrams_of_many_rows_bring_few_pairs_in_a_large_table(spark, monkeypatch):
+    """Words in 160 of 1,600 rows go last in the order, as the rows counted for it grow with the table."""
+    monkeypatch.setattr(dedup, "SAMPLE_ROWS", 4)
+    real, listed = dedup._check_pairs, []
+
+    def spy(pairs, *rest):
+        listed.append(pairs.count())
+        return real(pairs, *rest)
+
+    monkeypatch.setattr(dedup, "_check_pairs", spy)
+    rng = random.Random(2)
+    pool = [f"p{i}" for i in range(300)]
+    texts = [" ".join([f"r{r}x{i}" for i in range(30)] + rng.sample(pool, 30)) for r in range(1_600)]
+    assert kept(spark, texts, 0.8, n=1) == list(range(1_600))
+    assert sum(listed) < 1_600
+
+
+def test_rows_are_written_once_before_entries(spark, monkeypatch):
+    names, real = [], dedup.settle
+    monkeypatch.setattr(dedup, "settle", lambda df, name="table": names.append(name) or real(df, name))
+    texts = corpus(12, n_base=4)
+    assert kept(spark, texts, 0.8) == plain.kept(texts, 0.8)
+    assert not {"sample", "prefixes"} & set(names)
+
+
+def test_order_is_total_where_numbers_tie():
+    rng = np.random.default_rng(4)
+    grams = rng.permutation(np.unique(rng.integers(0, 1 << 40, 500)))
+    row, times = np.arange(len(grams)) * 3 // len(grams), rng.integers(0, 3, len(grams)).astype("uint8")
+    short = grams >> 27 & ((1 << 37) - 1)
+    assert dedup._order(grams, row, times).tolist() == np.lexsort((grams, short, times, row)).tolist()
+
+
+def test_sketches_are_as_long_as_the_threshold_asks():
+    size = np.array([400])
+    grams = np.random.default_rng(1).integers(-(1 << 62), 1 << 62, 400)
+    words = [len(dedup._sketches(grams, np.zeros(400, "int64"), size, t)[0]) for t in (0.5, 0.8, 0.95)]
+    assert words == [16, 8, 2]
