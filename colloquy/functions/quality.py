@@ -34,19 +34,30 @@ def has_placeholder(text: Column) -> Column:
     return text.contains(fixed.PLACEHOLDER)
 
 
+def _penalty(rule: Column, points: float) -> Column:
+    return F.when(rule, F.lit(points)).otherwise(F.lit(0.0))
+
+
+def _after_lengths(u: Column, a: Column) -> Column:
+    points = fixed.LENGTH_PENALTY
+    return F.lit(1.0) - _penalty(bad_length(u), points) - _penalty(bad_length(a), points)
+
+
 def quality_score(user="user", assistant="assistant") -> Column:
     """One minus the penalties, subtracted in a set order, never below zero."""
     u, a = X.text_or_empty(user), X.text_or_empty(assistant)
-
-    def penalty(rule, points):
-        return F.when(rule, F.lit(points)).otherwise(F.lit(0.0))
-
     score = (
-        F.lit(1.0)
-        - penalty(bad_length(u), fixed.LENGTH_PENALTY)
-        - penalty(bad_length(a), fixed.LENGTH_PENALTY)
-        - penalty(repetitive(u) | repetitive(a), fixed.REPETITION_PENALTY)
-        - penalty(~looks_english(u) | ~looks_english(a), fixed.LANGUAGE_PENALTY)
-        - penalty(has_placeholder(u) | has_placeholder(a), fixed.PLACEHOLDER_PENALTY)
+        _after_lengths(u, a)
+        - _penalty(repetitive(u) | repetitive(a), fixed.REPETITION_PENALTY)
+        - _penalty(~looks_english(u) | ~looks_english(a), fixed.LANGUAGE_PENALTY)
+        - _penalty(has_placeholder(u) | has_placeholder(a), fixed.PLACEHOLDER_PENALTY)
     )
     return F.greatest(F.lit(0.0), score)
+
+
+def reaches(least: float, user="user", assistant="assistant") -> Column:
+    """Whether the score is at least so high.  Words and letters are only looked at where the lengths, the first
+    penalties, leave that open."""
+    most = F.greatest(F.lit(0.0), _after_lengths(X.text_or_empty(user), X.text_or_empty(assistant)))
+    least = F.lit(float(least))
+    return F.when(most >= least, quality_score(user, assistant) >= least).otherwise(F.lit(False))

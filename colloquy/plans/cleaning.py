@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from colloquy import fixed
-from colloquy.operators import dedup, pii, quality
+from colloquy.functions.quality import reaches
+from colloquy.functions.text import once
+from colloquy.operators import dedup, pii
 from colloquy.operators.lineage import settle
 
 
@@ -38,13 +40,10 @@ def clean(
     )
     plain = masked.select(*examples.columns)
     unique = dedup.deduplicate_examples(plain, dedup_threshold) if remove_duplicates else plain
-    if filter_by_quality:
-        scored = quality.score_examples(unique)
-        keep = F.col("quality") >= F.lit(float(min_quality))
-    else:
-        scored, keep = unique, F.lit(True)
-    scored = scored.observe(left, F.count(one).alias("n_unique"), F.count_if(keep).alias("n_kept"))
-    kept = settle(scored.where(keep).select(*examples.columns), "kept")
+    keep = reaches(min_quality) if filter_by_quality else F.lit(True)
+    judged = unique.select(F.struct(*examples.columns).alias("row"), once(keep).alias("keep"))
+    judged = judged.observe(left, F.count(one).alias("n_unique"), F.count_if("keep").alias("n_kept"))
+    kept = settle(judged.where("keep").select("row.*"), "kept")
     # Masking drops no row, so the first two stages have one count.
     stages = [
         ("original_count", given.get["n"]),
