@@ -23,11 +23,13 @@ scanned in key order.  The steps:
    the higher neighbours of a kept row drop.
 """
 
-from collections.abc import Callable, Iterator
+import hashlib
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,38 +51,68 @@ TILE_ROWS = 2_000
 LEFT_SHARE = 0.5
 #: N-grams that a Python worker orders at once; a longer row goes alone.
 BATCH_GRAMS = 1 << 18
+#: Bytes of text that count as a word where a worker splits texts, few enough for most languages.
+BYTES_A_WORD = 4
+#: An odd number, as of many bits as not (the golden ratio's).
+MIXER = np.uint64(0x9E3779B97F4A7C15)
 #: Slack of the floating-point bounds; it only lets more pairs through.
 SLACK = 1e-6
 
 
-def _worded(texts: DataFrame) -> DataFrame:
-    """The rows with ``whole``, the text in lower case without outer white space, and its ``words``, made once."""
-    whole = X.once(X.strip(F.lower("text"))).alias("whole")
-    return texts.select("rid", whole).select("rid", "whole", X.once(X.words(F.col("whole"))).alias("words"))
+def _whole(texts: DataFrame) -> DataFrame:
+    """The rows with ``whole``, the text in lower case without outer white space."""
+    return texts.select("rid", X.strip(F.lower("text")).alias("whole"))
 
 
-def _hashed(texts: DataFrame, n: int) -> DataFrame:
-    """The n-grams of each row as 64-bit hashes, and their number."""
-    hashes = X.once(X.gram_hashes(F.col("whole"), F.col("words"), n, 1)).alias("hashes")
-    return _worded(texts).select("rid", hashes).select("rid", F.size("hashes").alias("size"), "hashes")
+def _hash(texts: pa.Array) -> np.ndarray:
+    return pd.util.hash_array(texts.to_numpy(zero_copy_only=False), categorize=False)
 
 
-def _digest(whole: Column, words: Column, n: int) -> Column:
-    """Of the words; equal sequences have equal sets."""
-    return F.unhex(F.sha2(F.when(F.size(words) < n, whole).otherwise(F.array_join(words, " ")), 256))
+def _grams(batches: Iterator[pa.RecordBatch], n: int, most: int) -> Iterator[pa.RecordBatch]:
+    """``rid, digest, size, hashes`` of batches of ``rid, whole``: the n-grams with repeats as 64-bit hashes, and the
+    digest of the words; equal sequences have equal sets.  Arrow splits at the same white space as ``X.words``
+    (tested); only the different words of about ``most`` words are hashed, and n-grams are made of words' hashes."""
+    for batch in batches:
+        length = pc.binary_length(batch.column("whole"))
+        for rows in _pieces([batch.append_column("size", length)], BYTES_A_WORD * most):
+            whole = rows.column("whole").cast(pa.string())
+            split = pc.utf8_split_whitespace(whole)
+            size = pc.list_value_length(split).to_numpy().astype("int64")
+            known = split.flatten().dictionary_encode()
+            one = _hash(known.dictionary)[known.indices.to_numpy()]
+            hashes, short = one, size < n
+            for later in range(1, n):
+                # A bijection of the hash so far, so that places count; the words themselves are hashed well.
+                hashes = (hashes ^ hashes >> np.uint64(32)) * MIXER
+                hashes[:-later] += one[later:]
+            # An n-gram starts at each word but a row's last ones; a row of fewer words has one, itself.
+            after = np.repeat(np.cumsum(size), size) - np.arange(len(hashes))
+            first, alone = after == np.repeat(size, size), np.repeat(short, size)
+            hashes[first & alone] = _hash(whole.filter(pa.array(short)))
+            hashes = hashes[np.where(alone, first, after >= n)].view("int64")
+            size = np.where(short, 1, size - n + 1)
+            words = pc.if_else(pa.array(short), whole, pc.binary_join(split, " ")).cast(pa.binary())
+            digest = pa.array([hashlib.sha256(w).digest() for w in words.to_pylist()], pa.binary())
+            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(size)].astype("int32")), pa.array(hashes))
+            columns = [rows.column("rid"), digest, pa.array(size.astype("int32")), lists]
+            yield pa.RecordBatch.from_arrays(columns, ["rid", "digest", "size", "hashes"])
 
 
-def _sequence(n: int) -> Column:
-    whole = X.strip(F.lower("text"))
-    return X.let(X.words(whole), lambda words: _digest(whole, words, n))
+def _hashed(texts: DataFrame, n: int) -> DataFrame:
+    """The set of n-grams of each row as 64-bit hashes, and their number."""
+    whole = _whole(texts)
+    schema = T.StructType([whole.schema["rid"], T.StructField("hashes", T.ArrayType(T.LongType()))])
+    most = BATCH_GRAMS
+    made = lambda batches: (b.select(schema.names) for b in _grams(batches, n, most))
+    hashes = X.once(F.array_distinct("hashes")).alias("hashes")
+    return whole.mapInArrow(made, schema).select("rid", hashes).select("rid", F.size("hashes").alias("size"), "hashes")
 
 
-def _digested(texts: DataFrame, n: int) -> DataFrame:
-    """As ``_hashed``, with the digest of the words."""
-    whole, words = F.col("whole"), F.col("words")
-    digest = X.once(_digest(whole, words, n)).alias("digest")
-    rows = _worded(texts).select("rid", digest, X.once(X.gram_hashes(whole, words, n, 1)).alias("hashes"))
-    return rows.select("rid", "digest", F.size("hashes").alias("size"), "hashes")
+def _sequence(n: int) -> Column:
+    """The digest of the words, as in ``_grams``."""
+    whole = X.strip(F.lower("text"))
+    words = lambda w: F.when(F.size(w) < n, whole).otherwise(F.array_join(w, " "))
+    return X.let(X.words(whole), lambda w: F.unhex(F.sha2(words(w), 256)))
 
 
 def _frequent(hashed: DataFrame) -> np.ndarray:
@@ -105,7 +137,8 @@ def _order(grams: np.ndarray, row: np.ndarray, times: np.ndarray) -> np.ndarray:
     """The places of the n-grams by row, then count, then hash.  Most of the hash fits into one number with the others."""
     one = row << 45 | times.astype("int64") << 37 | (grams >> 27) & ((1 << 37) - 1)
     by = np.argsort(one)
-    return np.lexsort((grams, one)) if (np.diff(one[by]) == 0).any() else by
+    ties = (np.diff(one[by]) == 0) & (np.diff(grams[by]) != 0)
+    return np.lexsort((grams, one)) if ties.any() else by
 
 
 def _sketches(grams: np.ndarray, row: np.ndarray, size: np.ndarray, threshold: float) -> pa.ListArray:
@@ -122,8 +155,8 @@ def _sketches(grams: np.ndarray, row: np.ndarray, size: np.ndarray, threshold: f
     return pa.ListArray.from_arrays(ends.astype("int32"), pa.array(out))
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    """The rows in batches of at most ``most`` n-grams, or of one row."""
+def _pieces(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of at most ``most`` n-grams, by ``size``, or of one row."""
     for batch in batches:
         ends = np.cumsum(batch.column("size").to_numpy(zero_copy_only=False).astype("int64"))
         start = 0
@@ -134,30 +167,37 @@ def _pieces(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordB
             start = stop
 
 
-def _prefixes(hashed: DataFrame, threshold: float, frequent: np.ndarray) -> DataFrame:
-    """The rows with ``keys`` and ``sketch`` for ``hashes``.  Keys are the first n-grams in order, of ``s`` n-grams
+def _prefixes(rows: DataFrame, threshold: float, frequent: np.ndarray, n: int | None = None) -> DataFrame:
+    """``rid, digest, size, keys, sketch`` of rows ``rid, whole``, made of their ``n``-grams in the same pass; or of
+    rows that have their ``hashes``, without the digest.  Keys are the first n-grams in order, of ``s`` n-grams
     ``s - ceil(t * s) + 1``."""
-    order = hashed.sparkSession.sparkContext.broadcast(frequent)
-    kept = [f for f in hashed.schema.fields if f.name != "hashes"]
-    longs = T.ArrayType(T.LongType())
-    schema = T.StructType([*kept, T.StructField("keys", longs), T.StructField("sketch", longs)])
+    order = rows.sparkSession.sparkContext.broadcast(frequent)
+    longs, whole = T.ArrayType(T.LongType()), [T.StructField("digest", T.BinaryType())] if n else []
+    kept = [rows.schema["rid"], *whole]
+    schema = T.StructType([
+        *kept, T.StructField("size", T.IntegerType()), T.StructField("keys", longs), T.StructField("sketch", longs),
+    ])
     most = BATCH_GRAMS
 
     def first_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         times = order.value
-        for batch in _pieces(batches, most):
+        for batch in _pieces(_grams(batches, n, most) if n else batches, most):
             grams = batch.column("hashes").flatten().to_numpy(zero_copy_only=False)
             size = batch.column("size").to_numpy(zero_copy_only=False).astype("int64")
             row = np.repeat(np.arange(len(size)), size)
             by = _order(grams, row, times[grams & (len(times) - 1)])
+            grams, row = grams[by], row[by]
+            new = np.r_[True, (np.diff(grams) != 0) | (np.diff(row) != 0)]
+            grams, row = grams[new], row[new]
+            size = np.bincount(row, minlength=len(size))
             pos = np.arange(len(grams)) - np.repeat(np.cumsum(size) - size, size)
             length = np.minimum(size, size - np.ceil(size * threshold - SLACK).astype("int64") + 1)
-            keys = pa.array(grams[by][pos < length[row]], pa.int64())
+            keys = pa.array(grams[pos < length[row]], pa.int64())
             ends = pa.array(np.r_[0, np.cumsum(length)].astype("int32"))
-            columns = [*[batch.column(f.name) for f in kept], pa.ListArray.from_arrays(ends, keys)]
+            columns = [*[batch.column(f.name) for f in kept], pa.array(size.astype("int32")), pa.ListArray.from_arrays(ends, keys)]
             yield pa.RecordBatch.from_arrays([*columns, _sketches(grams, row, size, threshold)], schema.names)
 
-    return hashed.mapInArrow(first_ones, schema)
+    return rows.mapInArrow(first_ones, schema)
 
 
 def _exploded(prefixes: DataFrame, threshold: float) -> DataFrame:
@@ -319,7 +359,7 @@ def kept_keys(
     spark = df.sparkSession
     first, pairs = copies(texts.withColumn("digest", X.once(_sequence(n)))) if copies else (None, None)
     with passing(spark) as around:
-        prefixes = _prefixes(_digested(texts, n), threshold, frequent)
+        prefixes = _prefixes(_whole(texts), threshold, frequent, n)
         if first is None:
             row = F.struct("rid", "size", "keys", "sketch")
             lowest = prefixes.groupBy("digest").agg(F.min_by(row, "rid").alias("row")).select("row.*")
